@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +62,26 @@ def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, l2: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method; the last column of ``x`` is the constant and is not penalised.
+
+    Without rows, all weights are 0. ``y`` may hold probabilities.
+    """
+    w = np.zeros(x.shape[1])
+    if not len(x):
+        return w
+    weight = np.ones(len(x)) if weight is None else weight
+    penalty = np.full(x.shape[1], l2)
+    penalty[-1] = 1e-3
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (p - y)) + penalty * w
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-6)
+        step = np.linalg.solve(curve, slope)
+        step *= min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
+        w -= step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w

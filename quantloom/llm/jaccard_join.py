@@ -4,7 +4,7 @@ Each distinct set of word shingles is a node. Its shingles are put in one global
 and only a prefix goes to the inverted lists: two sets with a Jaccard similarity of at least the
 threshold share a shingle of their prefixes. Then
 
-* index level: a list is sorted by size and cut into blocks that know their sizes and least position;
+* index level: a list is sorted by size and cut into blocks that know the range of their sizes and positions;
   a pair of blocks that cannot reach the needed overlap, by size or position, is skipped whole;
 * answer level: the first set of each list is compared with the others first. A set that proves highly
   similar to such a leader takes its answers over from the leader's: the leader's overlaps bound those
@@ -158,8 +158,9 @@ def _needed(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def _open(n, p, m, q, num: int, den: int):
-    """Whether sets of sizes n <= m that meet at positions p and q may link."""
-    return (den * n >= num * m) & (1 + np.minimum(n - p, m - q) - 1 >= _needed(n, m, num, den))
+    """Whether sets of sizes n <= m that meet at positions p and q may link: no more than the lesser
+    position is shared before, and no more than the lesser rest from there on."""
+    return (den * n >= num * m) & (np.minimum(p, q) + np.minimum(n - p, m - q) >= _needed(n, m, num, den))
 
 
 def _pair_batches(pairs: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -168,15 +169,17 @@ def _pair_batches(pairs: Iterator[tuple[np.ndarray, ...]], names: list[str]) ->
         held.append(x)
         rows += len(x[0])
         if rows > 1 << 16:
-            yield _distinct(held, names)
+            yield _counted(held, names)
             held, rows = [], 0
     if held:
-        yield _distinct(held, names)
+        yield _counted(held, names)
 
 
-def _distinct(held, names):
-    table = np.unique(np.stack([np.concatenate(x) for x in zip(*held)], axis=1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(names))], names)
+def _counted(held, names):
+    a, b, n_a, n_b = (np.concatenate(x) for x in zip(*held))
+    turn = (n_a == n_b) & (a > b)  # one way round in all lists; a is no larger than b already
+    table, times = np.unique(np.stack([np.where(turn, b, a), np.where(turn, a, b), n_a, n_b], axis=1), axis=0, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(names))] + [pa.array(times)], [*names, "met"])
 
 
 def _leader_pairs(num: int, den: int):
@@ -204,12 +207,12 @@ def _block_pairs(num: int, den: int):
             size, position = place >> 32, place & 0xFFFFFFFF
             starts = np.arange(0, len(node), BLOCK_SETS)
             least, most = size[starts], size[np.minimum(starts + BLOCK_SETS, len(node)) - 1]
-            left = np.maximum.reduceat(size - position, starts)
+            left, far = np.maximum.reduceat(size - position, starts), np.maximum.reduceat(position, starts)
             for i, a in enumerate(starts):
                 rows = slice(a, a + BLOCK_SETS)
                 # blocks j >= i hold sets as large or larger: by size, and by what is left behind the position
                 ahead = np.arange(i, len(starts))
-                ahead = ahead[(den * most[i] >= num * least[ahead]) & (np.minimum(left[i], left[ahead]) >= _needed(least[i], least[ahead], num, den))]
+                ahead = ahead[(den * most[i] >= num * least[ahead]) & (np.minimum(far[i], far[ahead]) + np.minimum(left[i], left[ahead]) >= _needed(least[i], least[ahead], num, den))]
                 for j in ahead:
                     cols = slice(starts[j], starts[j] + BLOCK_SETS)
                     ok = _open(size[rows, None], position[rows, None], size[None, cols], position[None, cols], num, den) & (root[rows, None] != root[None, cols])
@@ -220,6 +223,17 @@ def _block_pairs(num: int, den: int):
     return lambda batches: _pair_batches(pairs(batches), ["a", "b", "n_a", "n_b"])
 
 
+def _met_enough(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that share enough prefix shingles.
+
+    Of the two prefixes, one ends first in the global order; what it does not share is not in the other
+    set at all, so the intersection is at most the shared prefix shingles and what is behind that prefix.
+    """
+    behind = "greatest({0}, {1})".format(*(f"cast(ceil({num} * n_{x} / {den}) - 1 as long)" for x in "ab"))
+    need = f"cast(ceil({num} * (n_a + n_b) / {num + den}) as long)"
+    return pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("met").alias("met")).where(f"met + {behind} >= {need}").drop("met")
+
+
 def _bloom(nodes: DataFrame) -> np.ndarray:
     """A filter of 2**BLOOM_BITS bits over nodes; at most 2**(BLOOM_BITS - 6) rows reach the driver."""
     mask = (1 << BLOOM_BITS) - 1
@@ -269,7 +283,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     bloom = pairs.sparkSession.sparkContext.broadcast(_bloom(nodes))
     sets = texts.mapInArrow(_wanted_sets(width, bloom), "node long, shingles array<long>")
-    sets = saved(sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    sets = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
     met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
     return met.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("of_a", "of_b")).cast("long").alias("both"))
 
@@ -297,9 +311,10 @@ def ngram_jaccard_join(docs: DataFrame, width: int = SHINGLE_WORDS, num: int = 7
     postings = texts.mapInArrow(_postings(width, rarity, num, den), "code long, node long, place long")
     lists = saved(postings.repartition(n_parts, "code").mapInArrow(_shared_lists, "code long, node long, place long"), "lists")
     # answers of the leaders
-    kind = "a long, b long, n_a long, n_b long"
+    kind = "a long, b long, n_a long, n_b long, met long"
     stars = lists.repartition(n_parts, "code").sortWithinPartitions("code", "place", "node").mapInArrow(_leader_pairs(num, den), kind)
-    answers = saved(_overlaps(saved(stars.distinct(), "stars"), texts, width), "answers")
+    # (a leader leads only some of the lists it shares with a set, so this may leave out links; the next pass finds those)
+    answers = saved(_overlaps(saved(_met_enough(stars, num, den), "stars"), texts, width), "answers")
     near = _links(answers, num, den)
     roots = saved(components(near), "roots")
     # lists that still hold different components
@@ -308,7 +323,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = SHINGLE_WORDS, num: int = 7
     split = rooted.groupBy("code").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("code")
     open_lists = rooted.join(split, "code").select("code", "node", "place", "root")
     rest = open_lists.repartition(n_parts, "code").sortWithinPartitions("code", "place", "node").mapInArrow(_block_pairs(num, den), kind)
-    rest = saved(rest.distinct().join(answers.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    rest = saved(_met_enough(rest, num, den).join(answers.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = _derived(rest, answers, num, den)
     decided = saved(more, "decided")
     compared = _overlaps(decided.where("state = 0").select("a", "b", "n_a", "n_b"), texts, width)
@@ -329,8 +344,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = SHINGLE_WORDS, num: int = 7
 def _derived(rest: DataFrame, answers: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs with ``state``: 1 linked, -1 not linked, both by the bounds of a leader's answers; 0 open.
 
-    For a leader L of b, ``|a & L| - |L - b| <= |a & b| <= |a & L| + |b - L|``; a pair (L, a) that no list left
-    open or that was compared and failed is known to stay below its own threshold.
+    For a leader L of b that was compared with a: ``|a & L| - |L - b| <= |a & b| <= |a & L| + |b - L|``.
     """
     near = _links(answers, num, den)
     leader = near.groupBy("b").agg(F.max_by(F.struct("a", "n_a", "both"), F.struct("both", "a")).alias("l")).select(F.col("b").alias("f"), F.col("l.a").alias("l"), F.col("l.n_a").alias("n_l"), F.col("l.both").alias("with_l"))
@@ -340,8 +354,7 @@ def _derived(rest: DataFrame, answers: DataFrame, num: int, den: int) -> DataFra
         led = leader.toDF("f", "l", "n_leader", "with_leader")
         met = known.toDF("k1", "k2", "seen")
         out = out.join(led, F.col(side) == F.col("f"), "left").join(met, (F.col("l") == F.col("k1")) & (F.col(other) == F.col("k2")), "left")
-        limit = F.expr(f"cast(ceil({num} * (n_leader + n_{other}) / {num + den}) - 1 as long)")
-        out = out.withColumn(f"up_{side}", F.coalesce("seen", limit) + F.col(f"n_{side}") - F.col("with_leader"))
+        out = out.withColumn(f"up_{side}", F.col("seen") + F.col(f"n_{side}") - F.col("with_leader"))
         out = out.withColumn(f"low_{side}", F.col("seen") - F.col("n_leader") + F.col("with_leader")).drop("f", "l", "n_leader", "with_leader", "k1", "k2", "seen")
     need = F.expr(f"{num} * (n_a + n_b)")
     low, up = F.greatest("low_a", "low_b"), F.least("up_a", "up_b")

@@ -11,6 +11,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import ngram_jaccard_join
 
@@ -28,13 +34,25 @@ sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
 met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sets a JOIN sets b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
 links AS (
   SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, both.b FROM reach JOIN both ON reach.b = both.a)
+ties AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, ties.b FROM reach JOIN ties ON reach.b = ties.a)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least AS component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import secret_scan
+
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

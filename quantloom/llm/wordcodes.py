@@ -25,6 +25,8 @@ for _upper in range(ord("A"), ord("Z") + 1):
     _BYTES[_upper] = _BYTES[_upper + 32]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NOT_LETTER = np.ones(256, dtype=bool)
+NOT_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = False
 _STEPS = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
@@ -51,15 +53,28 @@ class Words(NamedTuple):
     starts: np.ndarray
     ends: np.ndarray
     offsets: np.ndarray
+    total: np.ndarray
 
+    def heads(self, size: int) -> np.ndarray:
+        """Codes of the words' first ``size`` bytes (of the whole word, if shorter)."""
+        stops = np.minimum(self.starts + size, self.ends)
+        return mix((self.total[stops] - self.total[self.starts]) * _power("down", len(self.total))[self.starts])
 
-def words_of(data: np.ndarray, bounds: np.ndarray) -> Words:
-    """Words of the rows ``data[bounds[i]:bounds[i + 1]]`` (UTF-8 bytes); no word crosses a row's end."""
+    def rows(self) -> np.ndarray:
+        """The row of each word."""
+        return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
+
+
+def words_of(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE) -> Words:
+    """Words of the rows ``data[bounds[i]:bounds[i + 1]]`` (UTF-8 bytes); no word crosses a row's end.
+
+    ``space`` tells for each byte whether it separates words.
+    """
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
-        return Words(np.zeros(0, np.uint64), none, none, np.zeros(len(bounds), np.int64))
-    solid = ~_SPACE[data]
+        return Words(np.zeros(0, np.uint64), none, none, np.zeros(len(bounds), np.int64), np.zeros(1, np.uint64))
+    solid = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     before, after = np.empty(n, bool), np.empty(n, bool)
@@ -71,7 +86,7 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> Words:
     total[0] = 0
     np.cumsum(_BYTES[data] * _power("up", n)[:n], out=total[1:])
     codes = mix((total[ends] - total[starts]) * _power("down", n)[starts])
-    return Words(codes, starts, ends, np.searchsorted(starts, bounds))
+    return Words(codes, starts, ends, np.searchsorted(starts, bounds), total)
 
 
 def shingle_codes(codes: np.ndarray, width: int = SHINGLE_WORDS) -> np.ndarray:
