@@ -41,12 +41,24 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least
 """
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece_codec import encode_digests
+
+    return encode_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import secret_scan
 
