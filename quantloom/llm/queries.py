@@ -53,6 +53,33 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_format import rotate_perspectives
+
+    return rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
+OP5_SQL = r"""
+WITH t AS (
+  SELECT conv_id::BIGINT AS conv_id, turn, coalesce(role, 'unknown') AS speaker,
+    replace(replace(coalesce(text, ''), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') AS body FROM conversations),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+r AS (
+  SELECT t.conv_id, perspective, turn, speaker, body,
+    CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS role
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+h AS (SELECT *, '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) AS head FROM r),
+s AS (SELECT *, head || body || '<|im_end|>' || chr(10) AS segment FROM h),
+w AS (
+  SELECT *, row_number() OVER o - 1 AS seq, sum(length(segment)) OVER (o ROWS UNBOUNDED PRECEDING) AS end_at FROM s
+  WINDOW o AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, body))
+SELECT conv_id, perspective, seq::BIGINT AS seq, speaker, role, segment, (end_at - length(segment))::BIGINT AS start_at, end_at::BIGINT AS end_at,
+  CASE WHEN speaker = perspective THEN (end_at - length(segment) + length(head))::BIGINT END AS mask_from,
+  CASE WHEN speaker = perspective THEN (end_at - 1)::BIGINT END AS mask_until
+FROM w
+"""
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score_quality
 
@@ -77,6 +104,12 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
