@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CACHE_CHUNKS = 400_000  # distinct chunks that a task remembers; then it starts anew
@@ -216,8 +217,8 @@ def encode_texts(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     """
     shared = load_model(docs.sparkSession, path)
     docs = docs.drop("n_tokens", "token_ids", "round_trip", "parity")
-    # nested fields keep their kinds: only the text column is looked at
-    schema = docs.schema.add("n_tokens", "long").add("token_ids", "array<int>").add("round_trip", "boolean").add("parity", "boolean")
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType()), T.StructField("parity", T.BooleanType())]
+    schema = T.StructType([*docs.schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, processor = _codec(shared.value)
@@ -249,7 +250,7 @@ def decode_ids(encoded: DataFrame, path: str = MODEL_PATH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     encoded = encoded.drop("decoded")
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "string"))
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def encode_digests(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
