@@ -153,7 +153,9 @@ class Codec:
         if processor is not None:  # the library adds a marker of its own in front
             lead = 1 if self.model.add_prefix else 0
             expected = processor.encode([c.replace(MARK, " ")[lead:] if c[0] == MARK else c for c in new], num_threads=2)
-            same = np.array([c[0] != MARK and lead == 1 or a == b for c, a, b in zip(new, ids, expected)], bool)
+            # an empty text gets no marker, so the marker alone is looked up
+            alone = [processor.piece_to_id(MARK)]
+            same = np.array([a == (alone if c == MARK else b) for c, a, b in zip(new, ids, expected)], bool)
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
         self.same = np.concatenate((self.same, same))
         self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.int32)))
