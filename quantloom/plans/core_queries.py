@@ -12,7 +12,10 @@ from ..sources import panels as P
 from . import tables as T
 from .registry import AS_OF, CANDLES, EVENT_CANDLES, FILINGS, IMPLIED, RETURNS, grid, padded_sql, query, ranges_sql, sql_grid, with_stocks
 
-D = F.lit(AS_OF).cast("date")
+
+def as_of():
+    return F.lit(AS_OF).cast("date")
+
 
 
 def candles(s: SparkSession, d: str) -> DataFrame:
@@ -26,7 +29,7 @@ def returns(s: SparkSession, d: str) -> DataFrame:
 
 def stocks(s: SparkSession, d: str) -> DataFrame:
     c = candles(s, d)
-    return T.stocks_daily(c, T.padded_facts(T.implied_float_shares(P.filings(s, d), c), D))
+    return T.stocks_daily(c, T.padded_facts(T.implied_float_shares(P.filings(s, d), c), as_of()))
 
 
 def gridded(df: DataFrame, skip=(), digits: int = 4) -> DataFrame:
@@ -70,7 +73,7 @@ def i11(s, d):
 # --- facts, valuations, rankings
 @query("M5_padded_facts", f"WITH {FILINGS}, {padded_sql()} SELECT cik, reference_date, shares, float, earnings, last_filed FROM padded")
 def m5(s, d):
-    return T.padded_facts(P.filings(s, d), D).select("cik", "reference_date", "shares", "float", "earnings", "last_filed")
+    return T.padded_facts(P.filings(s, d), as_of()).select("cik", "reference_date", "shares", "float", "earnings", "last_filed")
 
 
 _STOCK_COLUMNS = "symbol, timeframe, open, close, high, low, volume, shares, {0} AS float, earnings, market_cap, {1} AS price_to_earnings, {2} AS float_cap, {3} AS earnings_per_share".format(*(sql_grid(x) for x in ("float", "price_to_earnings", "float_cap", "earnings_per_share")))
@@ -88,7 +91,7 @@ def m6(s, d):
 @query("M6b_stocks_daily_asof", f"WITH {with_stocks()} SELECT {_STOCK_COLUMNS} FROM stocks")
 def m6b(s, d):
     c = candles(s, d)
-    return _stock_columns(T.stocks_daily_asof(c, T.implied_float_shares(P.filings(s, d), c), D))
+    return _stock_columns(T.stocks_daily_asof(c, T.implied_float_shares(P.filings(s, d), c), as_of()))
 
 
 @query("M7_stocks_rankings", f"WITH {with_stocks()} SELECT * FROM rankings")
@@ -343,8 +346,12 @@ RETURNS_ALL = f"{CANDLES}, {RETURNS}"
 
 def _win(name, expr_sql, f, digits=None):
     sql = sql_grid(expr_sql, digits) if digits else expr_sql
-    w = Window.partitionBy("symbol").orderBy("timeframe")
-    query(name, f"WITH {RETURNS_ALL} SELECT symbol, timeframe, {sql} AS x FROM returns WINDOW w AS (PARTITION BY symbol ORDER BY timeframe)")(lambda s, d: returns(s, d).select("symbol", "timeframe", (grid(f(w), digits) if digits else f(w)).alias("x")))
+
+    def run(s, d):
+        x = f(Window.partitionBy("symbol").orderBy("timeframe"))
+        return returns(s, d).select("symbol", "timeframe", (grid(x, digits) if digits else x).alias("x"))
+
+    query(name, f"WITH {RETURNS_ALL} SELECT symbol, timeframe, {sql} AS x FROM returns WINDOW w AS (PARTITION BY symbol ORDER BY timeframe)")(run)
 
 
 _win("W1_lag", "lag(close, 5) OVER w", lambda w: F.lag("close", 5).over(w))
@@ -515,4 +522,4 @@ def m17(s, d):
 
 @query("M5b_valid_ranges", f"WITH {FILINGS} SELECT cik, filed, valid_until, value FROM {ranges_sql('shares')}")
 def m5b(s, d):
-    return valid_ranges(P.filings(s, d).where("metric = 'shares'"), "cik", "filed", ["period_end"], D).select("cik", "filed", "valid_until", "value")
+    return valid_ranges(P.filings(s, d).where("metric = 'shares'"), "cik", "filed", ["period_end"], as_of()).select("cik", "filed", "valid_until", "value")

@@ -228,7 +228,10 @@ nd AS (SELECT window_end, count(DISTINCT week) AS n_days FROM windowed GROUP BY
 kept AS (SELECT window_end, symbol FROM windowed JOIN nd USING (window_end) GROUP BY window_end, symbol, n_days HAVING 1 - count(ret) / n_days <= 0.4),
 means AS (SELECT window_end, week, avg(ret) AS day_mean FROM windowed GROUP BY ALL HAVING avg(ret) IS NOT NULL),
 panel AS (SELECT k.window_end, k.symbol, m.week, coalesce(w.ret, m.day_mean) AS ret FROM kept k JOIN means m USING (window_end) LEFT JOIN windowed w ON w.window_end = k.window_end AND w.symbol = k.symbol AND w.week = m.week)"""
-ENDS = V.window_ends(date(1996, 1, 1), date(2001, 7, 1), 6)
+
+
+def half_years():
+    return V.window_ends(date(1996, 1, 1), date(2001, 7, 1), 6)
 
 
 def weekly_returns(s, d):
@@ -237,12 +240,12 @@ def weekly_returns(s, d):
 
 
 def panel(s, d):
-    return V.complete_panel(V.assign_windows(weekly_returns(s, d), "week", ENDS, 12), "week", "ret", 0.4)
+    return V.complete_panel(V.assign_windows(weekly_returns(s, d), "week", half_years(), 12), "week", "ret", 0.4)
 
 
 @query("V1_window_assignment", f"WITH {_WEEKS} SELECT window_end, symbol, week FROM windowed")
 def v1(s, d):
-    return V.assign_windows(weekly_returns(s, d), "week", ENDS, 12).select("window_end", "symbol", "week")
+    return V.assign_windows(weekly_returns(s, d), "week", half_years(), 12).select("window_end", "symbol", "week")
 
 
 @query("V2_completed_panel", f"WITH {_WEEKS} SELECT window_end, symbol, week, {sql_grid('ret')} AS ret FROM panel")
@@ -448,11 +451,14 @@ edges AS (SELECT a.window_end, a.symbol, a.i, b.i AS j FROM points a JOIN points
   WHERE NOT EXISTS (SELECT 1 FROM points k WHERE k.window_end = a.window_end AND k.symbol = a.symbol AND k.i > a.i AND k.i < b.i AND (k.y - a.y) / (k.i - a.i) >= (b.y - a.y) / (b.i - a.i))),
 ties AS (SELECT window_end, symbol, i AS u, j AS v FROM edges UNION ALL SELECT window_end, symbol, j, i FROM edges),
 deg AS (SELECT window_end, symbol, u, count(*) AS k FROM ties GROUP BY ALL)"""
-GRAPH_ENDS = V.window_ends(date(1996, 3, 1), date(1998, 3, 1), 3)
+
+
+def graph_ends():
+    return V.window_ends(date(1996, 3, 1), date(1998, 3, 1), 3)
 
 
 def graph(s, d):
-    rows = V.assign_windows(candles(s, d).select("symbol", "timeframe", "open"), "timeframe", GRAPH_ENDS, 1, left_open=True)
+    rows = V.assign_windows(candles(s, d).select("symbol", "timeframe", "open"), "timeframe", graph_ends(), 1, left_open=True)
     p = G.graph_points(rows)
     return p, G.visibility_edges(p)
 
