@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, partitions, saved
@@ -157,10 +157,9 @@ def _needed(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
     return -((num * (n + m)) // -(num + den))
 
 
-def _open(n, p, m, q, num: int, den: int):
-    """Whether sets of sizes n <= m that meet at positions p and q may link: no more than the lesser
-    position is shared before, and no more than the lesser rest from there on."""
-    return (den * n >= num * m) & (np.minimum(p, q) + np.minimum(n - p, m - q) >= _needed(n, m, num, den))
+def _meet_first(n, p, m, q, num: int, den: int):
+    """Whether sets of sizes n <= m that link may meet at positions p and q for the first time."""
+    return (den * n >= num * m) & (np.minimum(n - p, m - q) >= _needed(n, m, num, den))
 
 
 def _pair_batches(pairs: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -169,32 +168,35 @@ def _pair_batches(pairs: Iterator[tuple[np.ndarray, ...]], names: list[str]) ->
         held.append(x)
         rows += len(x[0])
         if rows > 1 << 16:
-            yield _counted(held, names)
+            yield _distinct(held, names)
             held, rows = [], 0
     if held:
-        yield _counted(held, names)
+        yield _distinct(held, names)
 
 
-def _counted(held, names):
+def _distinct(held, names):
     a, b, n_a, n_b = (np.concatenate(x) for x in zip(*held))
     turn = (n_a == n_b) & (a > b)  # one way round in all lists; a is no larger than b already
-    table, times = np.unique(np.stack([np.where(turn, b, a), np.where(turn, a, b), n_a, n_b], axis=1), axis=0, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(names))] + [pa.array(times)], [*names, "met"])
+    table = np.unique(np.stack([np.where(turn, b, a), np.where(turn, a, b), n_a, n_b], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(names))], names)
 
 
 def _leader_pairs(num: int, den: int):
-    """In each list, pairs of a leader with the sets that its size admits; the first set beyond is the next leader."""
+    """In each list, pairs of a leader with the sets that its size admits; of the others, the next leader.
+    Leaders are the sets that share the largest part of their shingles."""
 
     def pairs(batches):
-        for _, node, place in _lists(batches, 3):
+        for _, node, place, rank in _lists(batches, 4):
             size, position = place >> 32, place & 0xFFFFFFFF
-            i = 0
-            while i < len(node) - 1:
-                j = i + 1 + int(np.searchsorted(size[i + 1 :], den * size[i] // num, "right"))
-                keep = np.flatnonzero(_open(size[i], position[i], size[i + 1 : j], position[i + 1 : j], num, den)) + i + 1
-                if len(keep):
-                    yield np.repeat(node[i], len(keep)), node[keep], np.repeat(size[i], len(keep)), size[keep]
-                i = j
+            left = np.lexsort((node, -rank))
+            while len(left) > 1:
+                a, b = left[0], left[1:]
+                fits = (den * size[a] >= num * size[b]) & (den * size[b] >= num * size[a])
+                left, b = b[~fits], b[fits]
+                lo, hi = np.where(size[b] < size[a], b, a), np.where(size[b] < size[a], a, b)
+                keep = _meet_first(size[lo], position[lo], size[hi], position[hi], num, den)
+                if keep.any():
+                    yield node[lo[keep]], node[hi[keep]], size[lo[keep]], size[hi[keep]]
 
     return lambda batches: _pair_batches(pairs(batches), ["a", "b", "n_a", "n_b"])
 
@@ -204,18 +206,20 @@ def _block_pairs(num: int, den: int):
 
     def pairs(batches):
         for _, node, place, root in _lists(batches, 4):
+            if (root == root[0]).all():
+                continue
             size, position = place >> 32, place & 0xFFFFFFFF
             starts = np.arange(0, len(node), BLOCK_SETS)
             least, most = size[starts], size[np.minimum(starts + BLOCK_SETS, len(node)) - 1]
-            left, far = np.maximum.reduceat(size - position, starts), np.maximum.reduceat(position, starts)
+            left = np.maximum.reduceat(size - position, starts)
             for i, a in enumerate(starts):
                 rows = slice(a, a + BLOCK_SETS)
                 # blocks j >= i hold sets as large or larger: by size, and by what is left behind the position
                 ahead = np.arange(i, len(starts))
-                ahead = ahead[(den * most[i] >= num * least[ahead]) & (np.minimum(far[i], far[ahead]) + np.minimum(left[i], left[ahead]) >= _needed(least[i], least[ahead], num, den))]
+                ahead = ahead[(den * most[i] >= num * least[ahead]) & (np.minimum(left[i], left[ahead]) >= _needed(least[i], least[ahead], num, den))]
                 for j in ahead:
                     cols = slice(starts[j], starts[j] + BLOCK_SETS)
-                    ok = _open(size[rows, None], position[rows, None], size[None, cols], position[None, cols], num, den) & (root[rows, None] != root[None, cols])
+                    ok = _meet_first(size[rows, None], position[rows, None], size[None, cols], position[None, cols], num, den) & (root[rows, None] != root[None, cols])
                     x, y = np.nonzero(np.triu(ok, 1) if i == j else ok)
                     if len(x):
                         yield node[rows][x], node[cols][y], size[rows][x], size[cols][y]
@@ -223,17 +227,6 @@ def _block_pairs(num: int, den: int):
     return lambda batches: _pair_batches(pairs(batches), ["a", "b", "n_a", "n_b"])
 
 
-def _met_enough(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that share enough prefix shingles.
-
-    Of the two prefixes, one ends first in the global order; what it does not share is not in the other
-    set at all, so the intersection is at most the shared prefix shingles and what is behind that prefix.
-    """
-    behind = "greatest({0}, {1})".format(*(f"cast(ceil({num} * n_{x} / {den}) - 1 as long)" for x in "ab"))
-    need = f"cast(ceil({num} * (n_a + n_b) / {num + den}) as long)"
-    return pairs.groupBy("a", "b", "n_a", "n_b").agg(F.sum("met").alias("met")).where(f"met + {behind} >= {need}").drop("met")
-
-
 def _bloom(nodes: DataFrame) -> np.ndarray:
     """A filter of 2**BLOOM_BITS bits over nodes; at most 2**(BLOOM_BITS - 6) rows reach the driver."""
     mask = (1 << BLOOM_BITS) - 1
@@ -283,7 +276,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     bloom = pairs.sparkSession.sparkContext.broadcast(_bloom(nodes))
     sets = texts.mapInArrow(_wanted_sets(width, bloom), "node long, shingles array<long>")
-    sets = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
     met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
     return met.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("of_a", "of_b")).cast("long").alias("both"))
 
@@ -310,20 +303,17 @@ def ngram_jaccard_join(docs: DataFrame, width: int = SHINGLE_WORDS, num: int = 7
     rarity = spark.sparkContext.broadcast(_rarity(first.where("part is not null").select("part", "counts")))
     postings = texts.mapInArrow(_postings(width, rarity, num, den), "code long, node long, place long")
     lists = saved(postings.repartition(n_parts, "code").mapInArrow(_shared_lists, "code long, node long, place long"), "lists")
-    # answers of the leaders
-    kind = "a long, b long, n_a long, n_b long, met long"
-    stars = lists.repartition(n_parts, "code").sortWithinPartitions("code", "place", "node").mapInArrow(_leader_pairs(num, den), kind)
-    # (a leader leads only some of the lists it shares with a set, so this may leave out links; the next pass finds those)
-    answers = saved(_overlaps(saved(_met_enough(stars, num, den), "stars"), texts, width), "answers")
-    near = _links(answers, num, den)
-    roots = saved(components(near), "roots")
-    # lists that still hold different components
+    # answers of leaders
+    kind = "a long, b long, n_a long, n_b long"
+    rank = F.count(F.lit(1)).over(Window.partitionBy("node")) / F.shiftright("place", 32)  # as many rows a node as its prefix is long
+    ranked = lists.withColumn("rank", rank).repartition(n_parts, "code").sortWithinPartitions("code")
+    stars = saved(ranked.mapInArrow(_leader_pairs(num, den), kind).distinct(), "stars")
+    answers = saved(_overlaps(stars, texts, width), "answers")
+    roots = saved(components(_links(answers, num, den)), "roots")
+    # what the lists leave open between different components
     rooted = lists.join(roots.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select("code", "node", "place", F.coalesce("root", "node").alias("root"))
-    rooted = saved(rooted, "rooted")
-    split = rooted.groupBy("code").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("code")
-    open_lists = rooted.join(split, "code").select("code", "node", "place", "root")
-    rest = open_lists.repartition(n_parts, "code").sortWithinPartitions("code", "place", "node").mapInArrow(_block_pairs(num, den), kind)
-    rest = saved(_met_enough(rest, num, den).join(answers.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    rest = rooted.repartition(n_parts, "code").sortWithinPartitions("code", "place", "node").mapInArrow(_block_pairs(num, den), kind)
+    rest = saved(rest.distinct().join(answers.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = _derived(rest, answers, num, den)
     decided = saved(more, "decided")
     compared = _overlaps(decided.where("state = 0").select("a", "b", "n_a", "n_b"), texts, width)
@@ -360,3 +350,13 @@ def _derived(rest: DataFrame, answers: DataFrame, num: int, den: int) -> DataFra
     low, up = F.greatest("low_a", "low_b"), F.least("up_a", "up_b")
     state = F.when((num + den) * low >= need, 1).when((num + den) * up < need, -1).otherwise(0)
     return out.select("a", "b", "n_a", "n_b", state.alias("state"))
+
+
+def keep_one_per_component(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the least of its component: one document of each group of near copies.
+
+    Of several rows with one doc_id, one stays. Rows without doc_id all stay, since nothing names them.
+    """
+    kept = ngram_jaccard_join(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_")).distinct()
+    named = docs.where("doc_id is not null").join(kept, F.col("doc_id").cast("long") == F.col("kept_"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))
