@@ -122,41 +122,48 @@ class Codec:
         if self.model.trim:
             steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Replace(Regex("^ +| +$"), "")]
         self.normalizer = normalizers.Sequence(steps) if steps else None
-        self.cut = not any(MARK in p.lstrip(MARK) for p, k in zip(self.model.pieces, self.model.kinds) if k in (_NORMAL, _USER))
+        # no piece goes on after a marker, so a text falls apart into runs of markers and what follows them; the first marker is left out of a chunk's key
+        self.cut = self.model.add_prefix and not any(MARK in p.lstrip(MARK) for p, k in zip(self.model.pieces, self.model.kinds) if k in (_NORMAL, _USER))
         self._reset()
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.back: list[str] = []
+        self.odd: dict[int, str] = {}  # decoded chunks that are not the chunk itself
         # ids of all known chunks one after another; chunk i has ids[starts[i]:starts[i + 1]]
-        self.ids, self.starts, self.same = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.same, self.faithful = np.zeros(0, bool), np.zeros(0, bool)
 
-    def normalized(self, text: str) -> str:
+    def chunks(self, text: str) -> list[str]:
+        """Keys of the text's chunks."""
         if self.normalizer is not None:
             text = self.normalizer.normalize_str(text)
         if not text:
-            return ""
-        return (MARK if self.model.add_prefix else "") + text.replace(" ", MARK)
-
-    def chunks(self, text: str) -> list[str]:
-        text = self.normalized(text)
-        return _CHUNK.findall(text) if self.cut else [text] if text else []
-
-    def learn(self, chunks: list[str], processor=None) -> None:
+            return []
+        if not self.cut:
+            return [(MARK if self.model.add_prefix else "") + text.replace(" ", MARK)]
+        if "  " in text or text[0] == " " or text[-1] == " " or MARK in text:
+            return [c[1:] for c in _CHUNK.findall(MARK + text.replace(" ", MARK))]
+        return text.split(" ")
+
+    def learn(self, keys: list[str], processor=None) -> None:
         """Encode and decode chunks that are new; compare with ``processor`` if one is given."""
-        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        if not new:
+        names = list(set(keys).difference(self.known))
+        if not names:
             return
+        new = [MARK + k for k in names] if self.cut else names
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.back += self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        faithful = np.array([b == c.replace(MARK, " ") for b, c in zip(back, new)], bool)
+        self.odd.update((len(self.known) + i, back[i]) for i in np.flatnonzero(~faithful).tolist())
+        self.faithful = np.concatenate((self.faithful, faithful))
         same = np.ones(len(new), bool)
         if processor is not None:  # the library adds a marker of its own in front
             lead = 1 if self.model.add_prefix else 0
-            expected = processor.encode([c.replace(MARK, " ")[lead:] if c[0] == MARK else c for c in new], num_threads=2)
+            expected = processor.encode([c.replace(MARK, " ")[lead:] for c in new], num_threads=2)
             # an empty text gets no marker, so the marker alone is looked up
             alone = [processor.piece_to_id(MARK)]
             same = np.array([a == (alone if c == MARK else b) for c, a, b in zip(new, ids, expected)], bool)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(new))))
         self.same = np.concatenate((self.same, same))
         self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.int32)))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum([len(i) for i in ids])))
@@ -174,10 +181,17 @@ class Codec:
             sizes = self.starts[at + 1] - starts
             ends = np.cumsum(sizes)
             place = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
-            text = "".join(map(self.back.__getitem__, at.tolist()))
+            text = self._joined(own, at)
             out.append((self.ids[place], text[1:] if self.model.add_prefix and text[:1] == " " else text, bool(self.same[at].all())))
         return out
 
+    def _joined(self, keys: list[str], at: np.ndarray) -> str:
+        """The decoded text of chunks."""
+        lead = MARK if self.cut else ""
+        if self.faithful[at].all():
+            return (lead + lead.join(keys)).replace(MARK, " ") if keys else ""
+        return "".join([self.odd[i] if i in self.odd else (lead + k).replace(MARK, " ") for k, i in zip(keys, at.tolist())])
+
     def decode(self, ids: list[int]) -> str:
         text = self.tokenizer.decode(ids, skip_special_tokens=False)
         return text[1:] if self.model.add_prefix and text[:1] == " " else text
