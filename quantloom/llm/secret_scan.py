@@ -115,27 +115,43 @@ def _unwrapped(text: str) -> Iterator[tuple[int, str, list[tuple[int, int]]]]:
 
 
 def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
-    """All spans on the original text, the base ones included, and the number of unwrapped layers.
+    """All spans on the original text, the base ones included, and the number of different unwrapped layers.
 
-    A layer whose text was met before in this document is not unwrapped again, so cycles end.
+    The spans of a decoded text are found once, by its own places, and laid on every stretch that decodes to it.
+    A text that stands inside itself is not unwrapped there again, so cycles end.
     """
-    spans, seen, layers = set(base), {text}, 0
-    work: list[tuple[str, list[tuple[int, int]] | None]] = [(text, None)]
-    while work:
-        layer, origin = work.pop()
-        for offset, new, where in _unwrapped(layer):
-            if new in seen:
-                continue
-            seen.add(new)
-            layers += 1
-            if origin is None:
-                moved = [(offset + a, offset + b) for a, b in where]
+    known: dict[str, set[Span]] = {}
+    met: set[str] = set()
+    # a layer being worked on: text, spans, inner layers left, where it stands in the layer around it, outermost layer met again inside
+    chain = [[text, set(base), _unwrapped(text), None, 0]]
+    depths = {text: 0}  # of the layers in the chain
+    while True:
+        depth = len(chain) - 1
+        layer, spans, inner, place, _ = chain[-1]
+        for offset, new, where in inner:
+            met.add(new)
+            if new in depths:
+                chain[-1][4] = min(chain[-1][4], depths[new])
+            elif new in known:
+                spans |= _laid(known[new], offset, where)
             else:
-                moved = [(origin[offset + a][0], origin[offset + b - 1][1]) for a, b in where]
-            for start, kind, end in base_spans(new):
-                spans.add((moved[start][0], kind, moved[end - 1][1]))
-            work.append((new, moved))
-    return sorted(spans), layers
+                depths[new] = depth + 1
+                chain.append([new, set(base_spans(new)), _unwrapped(new), (offset, where), depth + 1])
+                break
+        else:
+            if depth == 0:
+                return sorted(spans), len(met - {text})
+            outermost = chain.pop()[4]
+            del depths[layer]
+            if outermost == depth:
+                known[layer] = spans
+            else:  # what was left out here depends on the layers around it
+                chain[-1][4] = min(chain[-1][4], outermost)
+            chain[-1][1] |= _laid(spans, *place)
+
+
+def _laid(spans: set[Span], offset: int, where: list[tuple[int, int]]) -> set[Span]:
+    return {(offset + where[start][0], kind, offset + where[end - 1][1]) for start, kind, end in spans}
 
 
 def _joined(spans: list[Span]) -> str:

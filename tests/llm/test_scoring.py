@@ -193,6 +193,24 @@ def test_worklist_ends():
     S.all_spans(bomb, [])
 
 
+@pytest.mark.parametrize("layers", [["url"], ["base64"], ["zlib"], ["base64", "url"]])
+def test_equal_wrapped_secrets_are_found_at_every_place(layers):
+    inner = "password=correcthorse"
+    for kind in layers:
+        inner = wrap(inner, kind)
+    outer = wrap(inner, "base64")
+    for parts in ([inner, inner], [inner, outer], [outer, inner, outer], [inner] * 5):
+        text = "first " + "\nthen ".join(parts) + " last"
+        spans, _ = S.all_spans(text, S.base_spans(text))
+        at = 0
+        for part in parts:
+            at = text.index(part, at)
+            assert any(k == 0 and at <= x < y <= at + len(part) for x, k, y in spans)
+            at += len(part)
+        assert inner not in S.redacted(text) and outer not in S.redacted(text)
+    S.all_spans("%" + "25" * 1200, [])  # layers deeper than Python's stack
+
+
 def test_redaction_keeps_the_rest(spark):
     df = spark.createDataFrame([(1, "x token = 'abcdef123' y", 99), (2, "clean", 5), (3, None, None)], SCHEMA + ", n_chars long")
     got = {r.doc_id: r for r in S.redact_secrets(df).collect()}
