@@ -1,6 +1,7 @@
 """Jaccard join, decontamination, fingerprints, licenses against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -120,6 +121,52 @@ def test_decontamination(spark):
     assert D.find_leaks(df, bench.limit(0)).count() == 0 and D.find_leaks(df.limit(0), bench).count() == 0
 
 
+def test_masks_meet_every_placement():
+    """Leaks of 26 words or more have a half that is a leak; all of 13 to 25 words are enumerated."""
+    assert (D.MIN_WORDS, D.MIN_SHARE) == (13, 0.8)
+    seeds = [(sum(1 << i for i, c in enumerate(m) if c == "1"), len(m)) for m in D.MASKS]
+    for n in range(13, 26):
+        laid = np.array([m << p for m, size in seeds for p in range(n - size + 1)], np.int64)
+        for places in itertools.combinations(range(n), n // 5):
+            same = (1 << n) - 1 - sum(1 << p for p in places)
+            assert ((laid & same) == laid).any(), (n, places)
+
+
+def all_leaks(docs, items):
+    """All alignments of all pairs, whether a mask hits or not."""
+    out = set()
+    for i, t in docs:
+        a = words(t)
+        for j, u in items:
+            b = words(u)
+            need = min(D.MIN_WORDS, len(b))
+            for d in range(-len(b) + 1, len(a)):
+                gain = np.cumsum([0] + [1 if a[k] == b[k - d] else -4 for k in range(max(0, d), min(len(a), d + len(b)))])
+                if len(gain) > need and (gain[need:] >= np.minimum.accumulate(gain)[: len(gain) - need]).any():
+                    out.add((i, j))
+    return out
+
+
+def test_every_leak_is_found(spark):
+    rng = random.Random(13)
+    vocab = [f"v{i}" for i in range(60)]
+    items = [(j, " ".join(rng.choices(vocab, k=k))) for j, k in enumerate([13, 15, 20, 25, 40, 90, 14, 5, 8, 9, 10, 12, 3, 1])]
+    docs = []
+    for i in range(150):
+        own = items[i % len(items)][1].split()
+        if i % 3:
+            places = rng.sample(range(len(own)), min(len(own), len(own) // 5 + (i % 7 == 0)))
+        else:
+            places = range(rng.randrange(6), len(own), 5 + i % 2)
+        for p in places:
+            own[p] = "other"
+        docs.append((i, " ".join(rng.choices(vocab, k=rng.randint(0, 20)) + own + rng.choices(vocab, k=rng.randint(0, 20)))))
+    expected = all_leaks(docs, items)
+    df, bench = spark.createDataFrame(docs, SCHEMA).repartition(3), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in D.find_leaks(df, bench).collect()} == expected
+    assert {r.doc_id for r in D.drop_leaks(df, bench, slice_words=30).collect()} == {i for i, _ in docs} - {i for i, _ in expected}
+
+
 def test_decontamination_of_short_items(spark):
     bench = spark.createDataFrame([(1, "Alpha beta GAMMA")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x alpha beta gamma y"), (2, "alpha beta"), (3, "beta alpha gamma")], SCHEMA)
