@@ -1,8 +1,8 @@
 """Secret scans with a recursive decoding worklist.
 
-A document's text is the first layer. Every layer is scanned; stretches of URL escapes, Unicode
-escapes, base64 and compressed data in it are unwrapped to further layers until nothing new appears.
-Each layer carries, for every character, the stretch of the original text that it came from.
+A document's text is the first layer. Every layer is scanned; the layer without its URL escapes,
+that without its Unicode escapes, and stretches of base64 and compressed data are further layers until nothing new appears.
+Each layer knows the stretch of the text around it that any of its stretches came from.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ import binascii
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,15 +25,16 @@ REDACTED = "[SECRET]"
 
 _FLAGS = re.ASCII
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", _FLAGS | re.IGNORECASE)
+_KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", _FLAGS | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+", _FLAGS)
 _HEX = re.compile(r"[0-9a-f]{24,}", _FLAGS)  # maximal runs, so the same as runs of any length of which the short ones are dropped
 _WORDS = ("pass", "secret", "token", "api")
 _UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})", _FLAGS)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+", _FLAGS)
-_TAIL = re.compile(r"\S*")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}", _FLAGS)
 
 Span = tuple[int, int, int]
+Place = Callable[[int, int], tuple[int, int]]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -47,6 +49,16 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def _layer_spans(text: str) -> set[Span]:
+    """The base spans, and those of keywords that end another one's value ('secret: password: x')."""
+    spans, at = set(base_spans(text)), 0
+    while m := _ASSIGN.search(text, at):
+        if len(m[2]) >= 6:
+            spans.add((m.start(), 0, m.end()))
+        at = max((k.start() for k in _KEYWORD.finditer(text, *m.span(2))), default=m.end())
+    return spans
+
+
 def _readable(data: bytes) -> str | None:
     """Text of decoded bytes, unwrapped from zlib or gzip if compressed; None if it is neither."""
     if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0):
@@ -61,18 +73,26 @@ def _readable(data: bytes) -> str | None:
     return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
 
 
-def _unescaped(text: str, one: re.Pattern, read) -> tuple[str, list[tuple[int, int]]]:
-    out, where, last = [], [], 0
+def _unescaped(text: str, one: re.Pattern, read) -> tuple[str, Place]:
+    out, starts, stops, origins, last, size = [], [], [], [], 0, 0
     for m in one.finditer(text):
-        out += text[last : m.start()]
-        where += [(i, i + 1) for i in range(last, m.start())]
         new = read(m)
-        out += new
-        where += [(m.start(), m.end())] * len(new)
+        out += [text[last : m.start()], new]
+        size += m.start() - last
+        starts.append(size)
+        size += len(new)
+        stops.append(size)
+        origins.append(m.span())
         last = m.end()
-    out += text[last:]
-    where += [(i, i + 1) for i in range(last, len(text))]
-    return "".join(out), where
+
+    def origin(i: int) -> tuple[int, int]:
+        j = bisect_right(starts, i) - 1
+        if j < 0:
+            return i, i + 1
+        at = origins[j][1] + i - stops[j]
+        return origins[j] if i < stops[j] else (at, at + 1)
+
+    return "".join(out) + text[last:], lambda a, b: (origin(a)[0], origin(b - 1)[1])
 
 
 def _percent(m: re.Match) -> str:
@@ -83,17 +103,11 @@ def _code_point(m: re.Match) -> str:
     return chr(int(m[1] or m[2], 16))
 
 
-def _unwrapped(text: str) -> Iterator[tuple[int, str, list[tuple[int, int]]]]:
-    """(offset, decoded text, for each of its characters the stretch of ``text`` from offset on) for the encoded stretches of a layer."""
+def _unwrapped(text: str) -> Iterator[tuple[str, Place]]:
+    """(decoded text, the stretch of ``text`` that a stretch of it comes from) for the whole layer without its escapes, and for each encoded stretch."""
     for sign, one, read in (("%", _PERCENT, _percent), ("\\", _UNICODE, _code_point)):
-        done = 0
-        for m in one.finditer(text) if sign in text else ():
-            if m.start() >= done:  # the run of non-space characters around the escape
-                start = m.start()
-                while start > done and not text[start - 1].isspace():
-                    start -= 1
-                done = _TAIL.match(text, m.end()).end()
-                yield start, *_unescaped(text[start:done], one, read)
+        if sign in text and one.search(text):
+            yield _unescaped(text, one, read)
     for m in _BASE64.finditer(text):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
@@ -104,14 +118,9 @@ def _unwrapped(text: str) -> Iterator[tuple[int, str, list[tuple[int, int]]]]:
             continue
         if (new := _readable(data)) is not None:
             if len(new.encode()) == len(data):  # not compressed: each character has its own sextets
-                where, at = [], 0
-                for c in new:
-                    size = len(c.encode())
-                    where.append((at * 8 // 6, min(len(m[0]), -(-(at + size) * 8 // 6))))
-                    at += size
+                yield new, lambda a, b, m=m, new=new: (m.start() + len(new[:a].encode()) * 8 // 6, min(m.end(), m.start() - (-len(new[:b].encode()) * 8 // 6)))
             else:
-                where = [(0, len(m[0]))] * len(new)
-            yield m.start(), new, where
+                yield new, lambda a, b, m=m: m.span()
 
 
 def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
@@ -122,21 +131,21 @@ def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
     """
     known: dict[str, set[Span]] = {}
     met: set[str] = set()
-    # a layer being worked on: text, spans, inner layers left, where it stands in the layer around it, outermost layer met again inside
+    # a layer being worked on: text, spans, inner layers left, its places in the layer around it, outermost layer met again inside
     chain = [[text, set(base), _unwrapped(text), None, 0]]
     depths = {text: 0}  # of the layers in the chain
     while True:
         depth = len(chain) - 1
         layer, spans, inner, place, _ = chain[-1]
-        for offset, new, where in inner:
+        for new, where in inner:
             met.add(new)
             if new in depths:
                 chain[-1][4] = min(chain[-1][4], depths[new])
             elif new in known:
-                spans |= _laid(known[new], offset, where)
+                spans |= _laid(known[new], where)
             else:
                 depths[new] = depth + 1
-                chain.append([new, set(base_spans(new)), _unwrapped(new), (offset, where), depth + 1])
+                chain.append([new, _layer_spans(new), _unwrapped(new), where, depth + 1])
                 break
         else:
             if depth == 0:
@@ -147,11 +156,11 @@ def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
                 known[layer] = spans
             else:  # what was left out here depends on the layers around it
                 chain[-1][4] = min(chain[-1][4], outermost)
-            chain[-1][1] |= _laid(spans, *place)
+            chain[-1][1] |= _laid(spans, place)
 
 
-def _laid(spans: set[Span], offset: int, where: list[tuple[int, int]]) -> set[Span]:
-    return {(offset + where[start][0], kind, offset + where[end - 1][1]) for start, kind, end in spans}
+def _laid(spans: set[Span], place: Place) -> set[Span]:
+    return {(at[0], kind, at[1]) for start, kind, end in spans for at in [place(start, end)]}
 
 
 def _joined(spans: list[Span]) -> str:

@@ -211,6 +211,20 @@ def test_equal_wrapped_secrets_are_found_at_every_place(layers):
     S.all_spans("%" + "25" * 1200, [])  # layers deeper than Python's stack
 
 
+@pytest.mark.parametrize("kind", ["url", "unicode"])
+def test_escaped_values_after_spaces(kind):
+    mixed = wrap("h", kind) + "unter2" + wrap("x", kind) + "abc"
+    for text in (f'"password": "{mixed}"', f"password = {mixed}", f"api_key : '{wrap('hunter2xabc', kind)}'", f"{wrap('p', kind)}assword = hunter2xabc", f"secret: password: {mixed}"):
+        whole = f"Say é {text} and 100% more"
+        spans, _ = S.all_spans(whole, S.base_spans(whole))
+        a, b = whole.index(text), whole.index(text) + len(text)
+        assert any(k == 0 and a <= x < y <= b and y >= b - 1 for x, k, y in spans)
+        left = S.redacted(whole)
+        assert "unter2" not in left and left.startswith("Say é ") and left.endswith(" and 100% more")
+        inner = base64.b64encode(whole.encode()).decode()
+        assert any(k == 0 for _, k, _ in S.all_spans(inner, [])[0])
+
+
 def test_redaction_keeps_the_rest(spark):
     df = spark.createDataFrame([(1, "x token = 'abcdef123' y", 99), (2, "clean", 5), (3, None, None)], SCHEMA + ", n_chars long")
     got = {r.doc_id: r for r in S.redact_secrets(df).collect()}
