@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
+import copy
 import hashlib
 import re
+import sys
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
@@ -20,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
-MAX_LAYER = 1 << 20  # characters or bytes of one unwrapped layer: a bound on memory against decompression bombs
+PIECE = 1 << 18  # bytes of decompressed data that are taken at once: a bound on memory against decompression bombs
+READABLE = 0.8  # share of a decoded layer's characters that can be printed
 REDACTED = "[SECRET]"
 
 _FLAGS = re.ASCII
@@ -31,6 +35,10 @@ _HEX = re.compile(r"[0-9a-f]{24,}", _FLAGS)  # maximal runs, so the same as runs
 _WORDS = ("pass", "secret", "token", "api")
 _UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})", _FLAGS)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+", _FLAGS)
+_ESCAPE = re.compile(_UNICODE.pattern + "|" + _PERCENT.pattern, _FLAGS)
+_SPACES = re.compile(r"\x20{5,}")
+_SEXTETS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+_STRETCH = re.compile(r"[A-Za-z0-9+/_-]+", _FLAGS)
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}", _FLAGS)
 
 Span = tuple[int, int, int]
@@ -59,18 +67,12 @@ def _layer_spans(text: str) -> set[Span]:
     return spans
 
 
-def _readable(data: bytes) -> str | None:
-    """Text of decoded bytes, unwrapped from zlib or gzip if compressed; None if it is neither."""
-    if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0):
-        try:
-            data = zlib.decompressobj(wbits=47).decompress(data, MAX_LAYER)
-        except zlib.error:
-            return None
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _compressed(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0)
+
+
+def _readable(text: str) -> bool:
+    return 0 < READABLE * len(text) <= sum(c.isprintable() and c != "\ufffd" or c in "\t\n\r" for c in text)
 
 
 def _unescaped(text: str, one: re.Pattern, read) -> tuple[str, Place]:
@@ -103,8 +105,15 @@ def _code_point(m: re.Match) -> str:
     return chr(int(m[1] or m[2], 16))
 
 
-def _unwrapped(text: str) -> Iterator[tuple[str, Place]]:
-    """(decoded text, the stretch of ``text`` that a stretch of it comes from) for the whole layer without its escapes, and for each encoded stretch."""
+def _size(text: str) -> int:
+    return len(text.encode("utf-8", "surrogateescape"))
+
+
+def _unwrapped(text: str) -> Iterator[tuple[str | re.Match, Place]]:
+    """(decoded text, the stretch of ``text`` that a stretch of it comes from) for the whole layer without its escapes, and for each encoded stretch.
+
+    A stretch of compressed data is given as it is: all in it has the same place.
+    """
     for sign, one, read in (("%", _PERCENT, _percent), ("\\", _UNICODE, _code_point)):
         if sign in text and one.search(text):
             yield _unescaped(text, one, read)
@@ -116,11 +125,140 @@ def _unwrapped(text: str) -> Iterator[tuple[str, Place]]:
             data = base64.b64decode(body + "=" * (-len(body) % 4))
         except (binascii.Error, ValueError):
             continue
-        if (new := _readable(data)) is not None:
-            if len(new.encode()) == len(data):  # not compressed: each character has its own sextets
-                yield new, lambda a, b, m=m, new=new: (m.start() + len(new[:a].encode()) * 8 // 6, min(m.end(), m.start() - (-len(new[:b].encode()) * 8 // 6)))
+        if _compressed(data):
+            yield m, lambda a, b, m=m: m.span()
+        elif _readable(new := data.decode("utf-8", "surrogateescape")):  # each character has its own sextets
+            yield new, lambda a, b, m=m, new=new: (m.start() + _size(new[:a]) * 8 // 6, min(m.end(), m.start() - (-_size(new[:b]) * 8 // 6)))
+
+
+class _Decoder:
+    """A stretch of base64 inside compressed data, or the compressed data's own, which comes in pieces."""
+
+    def __init__(self, found: list, around: frozenset):
+        self.found, self.around = found, around
+        self.chars, self.long, self.head, self.packed, self.inflate, self.layer = "", False, b"", None, None, None
+        self.codec = codecs.getincrementaldecoder("utf-8")("replace")
+
+    def clone(self) -> _Decoder:
+        new = copy.copy(self)
+        new.codec = codecs.getincrementaldecoder("utf-8")("replace")
+        new.codec.setstate(self.codec.getstate())
+        new.inflate, new.layer = self.inflate and self.inflate.copy(), self.layer and self.layer.clone()
+        return new
+
+    def feed(self, chars: str) -> None:
+        self.chars += chars.replace("-", "+").replace("_", "/")
+        self.long = self.long or len(self.chars) >= 16
+        if self.long:
+            n = len(self.chars) // 4 * 4
+            data, self.chars = base64.b64decode(self.chars[:n]), self.chars[n:]
+            self._bytes(data)
+
+    def _bytes(self, data: bytes) -> None:
+        while data and self.packed != "broken":
+            if self.inflate is None and self.packed != "no":
+                data = self.head + data
+                if len(data) < 3:
+                    self.head = data
+                    return
+                self.head = b""
+                if _compressed(data):  # also the next member of a gzip file
+                    self.inflate, self.packed = zlib.decompressobj(wbits=47), "yes"
+                else:
+                    self.packed = "broken" if self.packed else "no"
+            elif self.packed == "no":
+                self._text(self.codec.decode(data))
+                return
+            else:
+                try:
+                    out = self.inflate.decompress(data, PIECE)
+                    while out:
+                        self._text(self.codec.decode(out))
+                        out = self.inflate.decompress(self.inflate.unconsumed_tail, PIECE)
+                except zlib.error:
+                    self.packed = "broken"
+                    return
+                data = self.inflate.unused_data
+                if self.inflate.eof:
+                    self.inflate = None
+
+    def _text(self, text: str) -> None:
+        if self.layer is None:
+            self.found[1] += _readable(text)
+            self.layer = _Layer(self.found, self.around)
+        self.layer.feed(text)
+
+    def close(self) -> None:
+        if self.long and len(self.chars) > 1:
+            self._bytes(base64.b64decode(self.chars + "=" * (-len(self.chars) % 4)))
+        if self.layer is not None:
+            self.layer.close()
+
+
+class _Layer:
+    """A layer inside compressed data, which comes in pieces; all of it has the same place, so only kinds are kept.
+
+    What is open at the end of a piece goes on in the next one: a tail for the patterns, a stretch of base64, a
+    started escape. Runs of spaces are shortened, so a tail of fixed size is enough. Escapes of all kinds are taken at once.
+    """
+
+    def __init__(self, found: list, around: frozenset):
+        self.found, self.around = found, around  # [kinds, number of layers]; stretches that the layer stands in
+        self.tail, self.rest, self.open, self.inner = "", "", None, None
+
+    def clone(self) -> _Layer:
+        new = copy.copy(self)
+        new.open, new.inner = self.open and self.open.clone(), self.inner and self.inner.clone()
+        return new
+
+    def feed(self, text: str, last: bool = False) -> None:
+        text, self.rest = self.rest + text, ""
+        if not last:
+            cut = len(text.rstrip(_SEXTETS))
+            cut -= text[:cut].endswith(("%", "\\"))
+            if len(text) - cut > PIECE:  # too long a stretch to wait for its end
+                cut = len(text) - 6
+            text, self.rest = text[:cut], text[cut:]
+        if self.inner is None and _ESCAPE.search(text):
+            self.found[1] += 1
+            self.inner = self.clone()  # so far the same without escapes
+            self.inner.rest = ""
+        if self.inner is not None:
+            self.inner.feed(_ESCAPE.sub(lambda m: _percent(m) if m[0][0] == "%" else _code_point(m), text))
+        look = _SPACES.sub(" " * 4, self.tail + text)
+        self.found[0].update(kind for _, kind, _ in _layer_spans(look))
+        self.tail = look[-128:]
+        for m in _STRETCH.finditer(text):
+            if m.start() == 0 and self.open is not None:
+                run = self.open
+            elif len(m[0]) < 16 and m.end() < len(text) or m[0] in self.around:
+                continue
             else:
-                yield new, lambda a, b, m=m: m.span()
+                run = _Decoder(self.found, self.around | {m[0]})
+            if self.open is not None and run is not self.open:
+                self.open.close()
+            self.open = run
+            run.feed(m[0])
+        if self.open is not None and text and text[-1] not in _SEXTETS:
+            self.open.close()
+            self.open = None
+
+    def close(self) -> None:
+        self.feed("", last=True)
+        if self.open is not None:
+            self.open.close()
+        if self.inner is not None:
+            self.inner.close()
+
+
+def _inside(stretch: str) -> tuple[frozenset[int], int]:
+    """Kinds of the secrets inside a base64 stretch of compressed data, and the number of layers there."""
+    found = [set(), 0]
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 100_000))  # a call or two a layer
+    decoder = _Decoder(found, frozenset([stretch]))
+    decoder.feed(stretch)
+    decoder.close()
+    return frozenset(found[0]), found[1]
 
 
 def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
@@ -130,6 +268,7 @@ def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
     A text that stands inside itself is not unwrapped there again, so cycles end.
     """
     known: dict[str, set[Span]] = {}
+    packed: dict[str, tuple[frozenset[int], int]] = {}
     met: set[str] = set()
     # a layer being worked on: text, spans, inner layers left, its places in the layer around it, outermost layer met again inside
     chain = [[text, set(base), _unwrapped(text), None, 0]]
@@ -138,6 +277,12 @@ def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
         depth = len(chain) - 1
         layer, spans, inner, place, _ = chain[-1]
         for new, where in inner:
+            if isinstance(new, re.Match):
+                stretch = new[0].rstrip("=")
+                if stretch not in packed:
+                    packed[stretch] = _inside(stretch)
+                spans |= {(new.start(), kind, new.end()) for kind in packed[stretch][0]}
+                continue
             met.add(new)
             if new in depths:
                 chain[-1][4] = min(chain[-1][4], depths[new])
@@ -149,7 +294,7 @@ def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
                 break
         else:
             if depth == 0:
-                return sorted(spans), len(met - {text})
+                return sorted(spans), len(met - {text}) + sum(n for _, n in packed.values())
             outermost = chain.pop()[4]
             del depths[layer]
             if outermost == depth:
@@ -185,8 +330,8 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     spans, all spans, and the number of layers that were unwrapped.
 
     A null text counts as empty and has no spans. Rows are independent: repeated rows give repeated
-    results, an empty table gives none, other columns are ignored. Texts are scanned whole; only a single
-    unwrapped layer is bounded (MAX_LAYER).
+    results, an empty table gives none, other columns are ignored. Texts and all layers are scanned whole;
+    compressed data in pieces, so its size bounds time only.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long")

@@ -225,6 +225,37 @@ def test_escaped_values_after_spaces(kind):
         assert any(k == 0 for _, k, _ in S.all_spans(inner, [])[0])
 
 
+@pytest.mark.parametrize("kind", ["zlib", "gzip"])
+def test_compressed_layers_are_scanned_to_their_end(kind):
+    secret, rng = "password = correcthorse", random.Random(3)
+    noise = "".join(rng.choices("ghijkl mnopé\n", k=300_000))
+    far = base64.b64encode((noise + secret).encode()).decode()
+    cases = ["é" * 1_500_001 + secret, "x" + "é" * 1_000_000 + " " + secret, "i" * 1_200_000 + " " + secret + " " + "b " * 200_000]
+    cases += [" " * (S.PIECE - k) + secret + " " * S.PIECE for k in (1, 5, 12, 22)]  # across a piece's end
+    cases += ["password" + " " * 600_000 + ": correcthorse", far, wrap(noise + secret, "zlib"), far.replace("Z", "%5A"), far[:-600] + "".join(f"\\u{ord(c):04x}" for c in far[-600:])]
+    for text in cases:
+        stretch = wrap(text, kind)
+        whole = f"Start {stretch} end."
+        assert {(k, x, y) for x, k, y in S.all_spans(whole, [])[0]} >= {(0, 6, 6 + len(stretch))}
+        assert S.redacted(whole) == f"Start {S.REDACTED} end."
+        if "correcthorse" in text:
+            clean = f"Start {wrap(text.replace('correcthorse', 'no'), kind)} end."
+            assert (S.redacted(clean) == clean) is True
+    members = base64.b64encode(gzip.compress(b"first") + gzip.compress(secret.encode())).decode()
+    assert S.redacted(members) == S.REDACTED
+    S.all_spans(wrap("%" + "25" * 1500, kind), [])
+
+
+def test_readability_is_a_share():
+    for odd in ("\u00a0", "\u200b", "\x0b", "\x00"):
+        text = f"{odd} here is password=correcthorse and more{odd}"
+        for inner in (wrap(text, "base64"), wrap(text, "zlib"), base64.b64encode(b"\xff" + text.encode() + b"\xc3").decode()):
+            assert inner not in S.redacted(f"Start {inner} end.")
+    stretch = base64.b64encode(b"\xff\xc3" + "é password=correcthorse é".encode()).decode()
+    (a, _, b), = S.all_spans(stretch, [])[0]
+    assert base64.b64decode(stretch)[a * 6 // 8 : -(-b * 6 // 8)].count(b"password=correcthorse") == 1
+
+
 def test_redaction_keeps_the_rest(spark):
     df = spark.createDataFrame([(1, "x token = 'abcdef123' y", 99), (2, "clean", 5), (3, None, None)], SCHEMA + ", n_chars long")
     got = {r.doc_id: r for r in S.redact_secrets(df).collect()}
