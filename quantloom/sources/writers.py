@@ -12,9 +12,12 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, shared by all executors; a new temporary one where it is unset, as in tests."""
+    """The folder in ``spark.checkpoint.dir``, shared by all executors. Where it is unset, a local session
+    gets a new temporary folder; on a cluster that is an error, since executors share no local folder."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         place = tempfile.mkdtemp(prefix="spark-quantloom-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place
