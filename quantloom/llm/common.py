@@ -2,31 +2,38 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.writers import new_path
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors share; where it is unset (local
-    tests), a new temporary folder, kept for the session's lifetime."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = tempfile.mkdtemp(prefix="spark-quantloom-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    return place
+HEAVY_SHARE = 4  # a key is heavy above one part in so many times the shuffle partitions
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there, and a lost
     executor costs no more than the stage that was running."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete what ``saved`` wrote, once nothing reads it any more; a table that is gone already is no error."""
+    for df in tables:
+        for file in df.inputFiles()[:1]:
+            jvm = df.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores behind as no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def partitions(spark: SparkSession) -> int:
@@ -38,12 +45,36 @@ def id_bucket(column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def heavy_keys(per_key: DataFrame, key: str, share: bool = False) -> DataFrame:
+    """The keys of ``per_key(key, rows_)`` with more than one row in ``HEAVY_SHARE * partitions`` of all.
+
+    There are fewer than ``HEAVY_SHARE * partitions`` of them, whatever the input, so they may be broadcast.
+    With ``share``, ``share_`` tells how many such parts a key fills.
+    """
+    parts = HEAVY_SHARE * partitions(per_key.sparkSession)
+    total = per_key.agg(F.sum("rows_")).first()[0] or 0
+    heavy = per_key.where(F.col("rows_") * parts > total)
+    return heavy.select(key, F.ceil(F.col("rows_") * parts / F.lit(max(1, total))).alias("share_")) if share else heavy
+
+
+def join_by_key(rows: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the other columns of ``per_key``, which has one row a key and in ``rows_`` how many rows the key has.
+
+    Heavy keys are joined by broadcast, so none of them fills a task; the others by shuffle.
+    ``per_key`` should be a saved table, as it is read several times.
+    """
+    heavy = heavy_keys(per_key, key).drop("rows_")
+    light = per_key.join(F.broadcast(heavy.select(key)), key, "left_anti").drop("rows_")
+    return rows.join(F.broadcast(heavy), key).unionByName(rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key))
+
+
 def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of ``links(a, b)``: ``(node, root)`` for every linked node, where root is
     the least node of its component.
 
-    Alternating large-star and small-star rounds; a round reads and writes the edge table only, and a
-    hot node costs no task more than its share because minima are pre-aggregated before the shuffle.
+    Alternating large-star and small-star rounds; a round reads and writes the edge table only. Minima
+    are aggregated before the shuffle, and nodes with very many neighbours meet theirs by broadcast
+    (``join_by_key``), so a hub fills no task.
     """
     edges = saved(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
@@ -53,11 +84,13 @@ def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
             break
         before = mark
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = saved(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        n = F.count(F.lit(1)).alias("rows_")
+        least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), n), "least")
+        large = saved(join_by_key(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        lower = saved(large.groupBy("u").agg(F.min("v").alias("m"), n), "lower")
+        small = join_by_key(large, lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        last, edges = edges, saved(small.union(lower.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        forget(last, least, large, lower)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
