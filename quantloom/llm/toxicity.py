@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A text is cut into clauses, a clause's words become symbols (insult, threat, target, negation, speech
-verb, quotation mark), and a cascade of transducers rewrites the symbols: negation marks what it
-negates, reported speech what is only quoted, and a target what is aimed at someone. The composed
-machine runs once over each clause that holds an insult or a threat and adds up the weights of the
-rewritten symbols. What counts as an insult is learned from labelled documents as words and word
-beginnings; clause scores become a probability by logistic regression on the same documents.
+verb, quotation mark), and a cascade of transducers rewrites the symbols: targets on either side mark
+what is aimed at someone, negation marks what it negates, and reported speech what is only quoted. The
+machine runs over each clause that holds an insult or a threat and adds up the weights of the rewritten
+symbols; a document's score is a rising function of its clauses' scores and of nothing else. What counts
+as an insult is learned from labelled documents as words and word beginnings; how much less a negated or
+reported one weighs, and how much more a targeted one, starts from stated values and follows the labels,
+but never against that order.
 """
 
 from __future__ import annotations
@@ -22,12 +24,12 @@ from pyspark.sql import functions as F
 from .common import fit_logistic, id_bucket, saved
 from .wordcodes import NOT_LETTER, Words, mix, text_blocks, words_of
 
-SAMPLE_ROWS = 20_000  # labelled rows to learn from at most, the first by hash of their ids
-LEXICON_UNITS = 4_096
+SAMPLE_ROWS = 20_000  # labelled rows to learn from at most, the first by hash of their ids; the lexicon's size follows from them
 HEADS = (4, 5, 6)  # bytes of the word beginnings that are learned besides whole words
 
 THREATS = "kill hurt destroy beat punish burn crush shoot stab töten zerstören schlagen tuer détruire frapper matar destruir golpear".split()
-TARGETS = "you your yours yourself he him his she her they them their du dich dir dein ihr euch sie tu toi te vous votre tes ton usted ustedes tú tus ti te vosotros".split()
+TARGETS = "you your yours yourself him his her them their dich dir dein euch toi te vous votre tes ton usted ustedes ti".split()
+SUBJECTS = "he she they du ihr sie tu tú tus vosotros".split()
 NEGATIONS = "not no never neither nor without nicht kein keine nie ohne ne pas jamais sans nunca sin jamás ni".split()
 SPEECH = "said says say told called claims claimed wrote reported quoted sagte sagt meinte schrieb dit disait écrit affirme dijo dice escribió afirma".split()
 
@@ -60,16 +62,22 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer(start, arcs)
 
 
-INSULT, THREAT, TARGET, NEGATION, VERB, QUOTE, OTHER = SYMBOLS = ("insult", "threat", "target", "negation", "verb", "quote", "other")
-# weights of the rewritten symbols
-WEIGHTS = {"insult": 1.0, "insult+t": 1.5, "insult-n": 0.25, "insult+t-n": 0.4, "threat+t": 1.0, "threat": 0.25, "threat-n": 0.0, "threat+t-n": 0.1}
-WEIGHTS |= {f"{k}/r": 0.5 * v for k, v in WEIGHTS.items()}
+INSULT, THREAT, TARGET, SUBJECT, NEGATION, VERB, QUOTE, OTHER = SYMBOLS = ("insult", "threat", "target", "subject", "negation", "verb", "quote", "other")
+# weights of an insult and a threat as they stand, and what a mark multiplies them by: targeted, negated, reported
+WEIGHTS = {INSULT: 1.0, THREAT: 0.5}
+MARKS = {(INSULT, "+t"): 1.5, (THREAT, "+t"): 4.0, (INSULT, "-n"): 0.25, (THREAT, "-n"): 0.1, (INSULT, "/r"): 0.4, (THREAT, "/r"): 0.4}
+PRIOR_ROWS = 20  # the stated values count as so many documents
+
+
+def _target() -> Transducer:
+    """A target marks the insults and threats that follow it, one that can only be a subject no threats."""
+    arcs = {(state, TARGET): ("target", TARGET) for state in ("none", "subject")} | {("none", SUBJECT): ("subject", SUBJECT)}
+    arcs |= {("target", s): ("target", f"{s}+t") for s in (INSULT, THREAT)}
+    return Transducer("none", arcs | {("subject", INSULT): ("subject", f"{INSULT}+t")})
 
 
 def _grammar() -> Transducer:
-    """target o negation o reported speech."""
-    target = {("none", TARGET): ("seen", TARGET)}
-    target |= {("seen", s): ("seen", f"{s}+t") for s in (INSULT, THREAT)}
+    """target o negation o reported speech, from left to right."""
     negation: dict = {}
     for left in range(4):  # words that a negation still reaches
         negation[left, NEGATION] = (3, NEGATION)
@@ -88,29 +96,75 @@ def _grammar() -> Transducer:
     report[("plain", VERB)] = ("said", VERB)
     report[("plain", QUOTE)] = report[("said", QUOTE)] = ("quoted", QUOTE)
     report[("quoted", QUOTE)] = ("plain", QUOTE)
-    return compose(compose(Transducer("none", target), Transducer(0, negation)), Transducer("plain", report))
+    return compose(compose(_target(), Transducer(0, negation)), Transducer("plain", report))
 
 
-GRAMMAR = _grammar()
+GRAMMAR, BACKWARD = _grammar(), _target()
 
 
-def clause_outputs(symbols: list[str]) -> list[str]:
-    """What the grammar makes of a clause."""
-    state, out = GRAMMAR.start, []
+def _rewritten(machine: Transducer, symbols: list[str]) -> list[str]:
+    state, out = machine.start, []
     for symbol in symbols:
-        state, symbol = GRAMMAR.step(state, symbol)
+        state, symbol = machine.step(state, symbol)
         out.append(symbol)
     return out
 
 
+def clause_outputs(symbols: list[str]) -> list[str]:
+    """What the grammar makes of a clause: first the targets that follow, from right to left, then the composed machine."""
+    return _rewritten(GRAMMAR, _rewritten(BACKWARD, symbols[::-1])[::-1])
+
+
+def symbol_weight(symbol: str, weights: dict, marks: dict) -> float:
+    kind = next((k for k in (INSULT, THREAT) if symbol.startswith(k)), None)
+    if kind is None:
+        return 0.0
+    weight = weights[kind]
+    for mark in ("+t", "-n", "/r"):
+        weight *= marks[kind, mark] if mark in symbol else 1.0
+    return weight
+
+
+def learned_marks(seen: dict[str, tuple[int, int]]) -> dict:
+    """Values of ``MARKS`` after labelled documents: ``seen`` has, for a symbol, how many toxic and how many
+    clean documents have it as their strongest one. They move with the share of toxic ones, compared with
+    that of the plain symbol; a target never lowers a weight, negation and report never raise one."""
+    out = {}
+    for (kind, mark), stated in MARKS.items():
+        toxic, clean = seen.get(kind + mark, (0, 0))
+        plain_toxic, plain_clean = seen.get(kind, (0, 0))
+        n = toxic + clean
+        share = ((toxic + 0.5) / (n + 1)) / ((plain_toxic + 0.5) / (plain_toxic + plain_clean + 1))
+        value = (PRIOR_ROWS * stated + n * share) / (PRIOR_ROWS + n)
+        out[kind, mark] = max(1.0, value) if mark == "+t" else min(1.0, value)
+    return out
+
+
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".!?;\n"]] = True
-_QUOTES = np.zeros(256, bool)
-_QUOTES[ord('"')] = True
+_MARKS = [bytes([0xE2, 0x80, x]) for x in (0x9C, 0x9D, 0x9E, 0x9F)] + [bytes([0xC2, x]) for x in (0xAB, 0xBB)]  # quotation marks besides "
+
+
+def plain_bytes(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with all double quotation marks as ``"`` and the Latin-1 capitals lowered; as many bytes as before.
+    A single one may be an apostrophe and is none."""
+    high = np.flatnonzero((data == 0xC3) | (data == 0xC2) | (data == 0xE2))
+    if not len(high):
+        return data
+    data = np.concatenate((data, np.zeros(2, np.uint8)))
+    after, third = data[high + 1], data[high + 2]
+    capital = high[(data[high] == 0xC3) & (after >= 0x80) & (after <= 0x9E) & (after != 0x97)]
+    data[capital + 1] += 0x20
+    for mark in _MARKS:
+        at = high[(data[high] == mark[0]) & (after == mark[1]) & ((len(mark) == 2) | (third == mark[-1]))]
+        data[at] = ord('"')
+        for i in range(1, len(mark)):
+            data[at + i] = ord(" ")
+    return data[:-2]
 
 
 def _codes(words: list[str]) -> np.ndarray:
-    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    data = plain_bytes(np.frombuffer(" ".join(words).encode(), np.uint8))
     return np.unique(words_of(data, np.array([0, len(data)]), NOT_LETTER).codes)
 
 
@@ -141,56 +195,74 @@ def _units(words: Words) -> list[np.ndarray]:
 
 
 _NONE = np.uint64(0)
-FEATURES = 10
+FEATURES = 3
 
 
 class ClauseScorer:
-    """Features of texts from the clauses that the grammar scores."""
+    """Clauses of texts as the grammar scores them."""
 
-    def __init__(self, insults: np.ndarray):
-        self.insults = _Lookup(np.array(insults, np.uint64))
-        self.fixed = [(kind, _Lookup(_codes(words))) for kind, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (VERB, SPEECH))]
+    def __init__(self, insults: np.ndarray, marks: dict = MARKS):
+        self.insults, self.marks = _Lookup(np.array(insults, np.uint64)), marks
+        self.fixed = [(kind, _Lookup(_codes(words))) for kind, words in ((THREAT, THREATS), (TARGET, TARGETS), (SUBJECT, SUBJECTS), (NEGATION, NEGATIONS), (VERB, SPEECH))]
 
-    def features(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def clauses(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, list[str]]]:
+        """(row, rewritten symbols) of each clause with an insult or a threat. A quotation goes on over clauses to the end of its line."""
+        data = plain_bytes(data)
         words = words_of(data, bounds, NOT_LETTER)
-        out = np.zeros((len(bounds) - 1, FEATURES))
-        out[:, -1] = 1
         hit = np.zeros(len(words.codes), bool)
         for codes in _units(words):
             hit |= self.insults(codes) & (codes != _NONE)
         kinds = {kind: look(words.codes) for kind, look in self.fixed}
         core = np.flatnonzero(hit | kinds[THREAT])
         if not len(core):
-            return out
+            return
         clause = np.cumsum(_BREAK[data])[words.starts]
-        quotes = np.concatenate(([0], np.cumsum(_QUOTES[data])))
+        quotes = np.concatenate(([0], np.cumsum(data == ord('"'))))
+        lines = np.unique(np.concatenate((bounds, np.flatnonzero(data == ord("\n")) + 1)))  # where lines begin
         row_of = words.rows()
         # a clause is a run of words with one break count in one row
         key = clause.astype(np.int64) * (len(bounds) + 1) + row_of
         edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         for c in np.unique(np.searchsorted(edges, core, "right") - 1):
             a, b = edges[c], edges[c + 1]
-            symbols, outputs = [], 0
+            line = lines[np.searchsorted(lines, words.starts[a], "right") - 1]
+            symbols = [QUOTE] if (quotes[words.starts[a]] - quotes[line]) % 2 else []
             for w in range(a, b):
                 if w > a and (quotes[words.starts[w]] - quotes[words.ends[w - 1]]) % 2:
                     symbols.append(QUOTE)
                 symbols.append(INSULT if hit[w] else next((k for k, is_in in kinds.items() if is_in[w]), OTHER))
-            made = clause_outputs(symbols)
-            score = sum(WEIGHTS.get(s, 0.0) for s in made)
-            row = out[row_of[a]]
-            row[0] += score
-            row[1] = max(row[1], score)
-            for i, s in ((2, "insult"), (3, "threat+t")):
-                row[i] += sum(x.startswith(s) for x in made)
-            row[4] += sum("-n" in x for x in made)
-            row[5] += sum("/r" in x for x in made)
-            row[6] += sum(x.startswith("insult+t") for x in made)
-        size = np.maximum(1, np.diff(words.offsets))
-        out[:, 7] = np.minimum(1.0, 20.0 * out[:, 2] / size)
-        out[:, 8] = out[:, 2] > 0
-        out[:, :7] = np.log1p(out[:, :7])
+            yield int(row_of[a]), clause_outputs(symbols)
+
+    def features(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """For each row: log of one more than the sum of its clauses' scores, the highest of them, and 1."""
+        out = np.zeros((len(bounds) - 1, FEATURES))
+        out[:, -1] = 1
+        for row, made in self.clauses(data, bounds):
+            score = sum(symbol_weight(s, WEIGHTS, self.marks) for s in made)
+            out[row, 0] += score
+            out[row, 1] = max(out[row, 1], score)
+        out[:, 0] = np.log1p(out[:, 0])
         return out
 
+    def strongest(self, data: np.ndarray, bounds: np.ndarray) -> list[str | None]:
+        """The symbol with the highest weight of each row."""
+        best: list[tuple[float, str] | None] = [None] * (len(bounds) - 1)
+        for row, made in self.clauses(data, bounds):
+            top = max((symbol_weight(s, WEIGHTS, self.marks), s) for s in made)
+            best[row] = max(best[row] or top, top)
+        return [x and x[1] for x in best]
+
+
+def rising_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic regression without negative weights: columns that get one are left out."""
+    keep = list(range(x.shape[1] - 1))
+    while True:
+        w = np.zeros(x.shape[1])
+        w[[*keep, x.shape[1] - 1]] = fit_logistic(x[:, [*keep, x.shape[1] - 1]], y)
+        if not keep or (w[keep] >= 0).all():
+            return w
+        keep = [k for k in keep if w[k] >= 0]
+
 
 def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(code, toxic, clean): in how many documents of either label a unit stands."""
@@ -208,7 +280,7 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels = batch.column("toxic").to_numpy(zero_copy_only=False)
         for row, data, bounds in text_blocks(batch.column("text")):
-            words = words_of(data, bounds, NOT_LETTER)
+            words = words_of(plain_bytes(data), bounds, NOT_LETTER)
             units = _units(words)
             for i in range(len(bounds) - 1):
                 own = slice(words.offsets[i], words.offsets[i + 1])
@@ -228,7 +300,7 @@ def _contexts(lookup: _Lookup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, bounds in text_blocks(batch.column("text")):
-                words = words_of(data, bounds, NOT_LETTER)
+                words = words_of(plain_bytes(data), bounds, NOT_LETTER)
                 context = mix(np.roll(words.codes, 1) + np.uint64(3) * np.roll(words.codes, -1))
                 for codes in _units(words):
                     at = np.flatnonzero(lookup(codes) & (codes != _NONE))
@@ -250,14 +322,26 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # a unit must stand out of what chance makes of so many units, and in as many different contexts, so that copies of one text don't count
     least = max(3, round(1.5 + math.log10(max(1, n_toxic + n_clean))))
     rate = f"((toxic / {max(1, n_toxic)}D) / ((clean + 0.5D) / {max(1, n_clean) + 1}D))"
-    held = counts.where(f"toxic >= {least} and toxic >= 8 * clean and {rate} >= 8").orderBy(F.desc("toxic"), "code").limit(4 * LEXICON_UNITS).select("code").collect()
+    held = counts.where(f"toxic >= {least} and toxic >= 8 * clean and {rate} >= 8").select("code").collect()
     lookup = _Lookup(np.array([r["code"] for r in held], np.int64).view(np.uint64))
     around = train.where("toxic = 1").select("text").mapInArrow(_contexts(lookup), "code long, context long").distinct()
-    picked = around.groupBy("code").count().where(f"count >= {least}").orderBy(F.desc("count"), "code").limit(LEXICON_UNITS).select("code").collect()
-    scorer = ClauseScorer(np.array([r["code"] for r in picked], np.int64).view(np.uint64))
+    picked = around.groupBy("code").count().where(f"count >= {least}").select("code").collect()
+    insults = np.array([r["code"] for r in picked], np.int64).view(np.uint64)
+    found = train.select("text", "toxic").mapInArrow(_strongest(ClauseScorer(insults)), "symbol string, toxic long").groupBy("symbol").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
+    seen = {r["symbol"]: (int(r["toxic"]), int(r["n"] - r["toxic"])) for r in found.where("symbol is not null").collect()}
+    scorer = ClauseScorer(insults, learned_marks(seen))
     got = train.select("text", "toxic").mapInArrow(_features(scorer), "x array<double>, toxic long").toPandas()
     x = np.stack(got["x"].to_list()) if len(got) else np.zeros((0, FEATURES))
-    return scorer, fit_logistic(x, got["toxic"].to_numpy(np.float64))
+    return scorer, rising_logistic(x, got["toxic"].to_numpy(np.float64))
+
+
+def _strongest(scorer: ClauseScorer):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            symbols = [s for _, data, bounds in text_blocks(batch.column("text")) for s in scorer.strongest(data, bounds)]
+            yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.string()), batch.column("toxic")], ["symbol", "toxic"])
+
+    return run
 
 
 def _features(scorer: ClauseScorer):

@@ -38,6 +38,50 @@ def test_grammar():
     assert out(["verb", "insult"])[-1] == "insult/r"
     assert out(["quote", "threat", "quote", "threat"]) == ["quote", "threat/r", "quote", "threat"]
     assert out(["target", "threat"])[-1] == "threat+t"
+    assert out(["insult", "other", "target"])[0] == "insult+t" and out(["threat", "target"])[0] == "threat+t"  # targets may follow
+    assert out(["subject", "threat"])[-1] == "threat" and out(["subject", "insult"])[-1] == "insult+t"
+
+
+def test_marks_follow_labels_but_keep_their_order():
+    assert X.learned_marks({}) == X.MARKS
+    turned = X.learned_marks({"insult": (50, 50), "insult-n": (900, 0), "insult/r": (0, 900), "insult+t": (0, 900)})
+    assert turned["insult", "-n"] == 1.0 and turned["insult", "/r"] < 0.02 and turned["insult", "+t"] == 1.0
+
+
+def test_predictions_follow_the_grammar(spark, monkeypatch):
+    docs, labels = toxic_corpus()
+    docs = [(i, t.replace(".", " zonkhead. You blorgface.")) if y else (i, t) for (i, t), (_, y) in zip(docs, labels)]
+    probes = {
+        "plain": "zonkhead. Blorgface.",
+        "targeted": "You zonkhead. You blorgface.",
+        "after": "Zonkhead, that is what you are. Blorgface you.",
+        "negated": "You are not a zonkhead. Never a blorgface.",
+        "said": "They said zonkhead. Reported blorgface.",
+        "quoted": 'The sign: "Zonkhead. Blorgface" here.',
+        "marks": "The sign: \u201eZonkhead. Blorgface\u201c here, \u00abblorgface\u00bb.",
+        "threat": "I will kill you.",
+        "capitals": "ICH WERDE DICH T\u00d6TEN.",
+        "time": "They kill time.",
+        "words": "Nothing here.",
+    }
+    probes = {k: "\n".join([t] * 2) for k, t in probes.items()}
+    df = spark.createDataFrame(docs + [(10_000 + i, t) for i, t in enumerate(probes.values())], SCHEMA)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def scored():
+        rows = {r.doc_id: r for r in X.score_toxicity(df, lab).collect()}
+        return {k: rows[10_000 + i] for i, k in enumerate(probes)}
+
+    got = scored()
+    assert got["plain"].predicted == got["targeted"].predicted == got["after"].predicted == got["threat"].predicted == got["capitals"].predicted == 1
+    assert got["targeted"].score > got["plain"].score > max(got[k].score for k in ("negated", "said", "quoted", "marks"))
+    assert got["after"].score > got["plain"].score
+    assert not any(got[k].predicted for k in ("negated", "said", "quoted", "marks", "time", "words"))
+    # without the machine a word is a word
+    monkeypatch.setattr(X, "clause_outputs", lambda symbols: symbols)
+    scorer, weights = X.learn(df, lab)
+    plain = {k: float(scorer.features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] @ weights) for k, t in probes.items()}
+    assert plain["negated"] == plain["plain"] > 0
 
 
 def toxic_corpus(n=400):
