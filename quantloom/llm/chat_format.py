@@ -24,13 +24,22 @@ def rotate_perspectives(turns: DataFrame, begin: str = BEGIN, end: str = END) ->
     perspective's own turns; null elsewhere). Turns are ordered by turn, speaker and text, turns without
     number last; repeated rows are repeated turns. A null role speaks as ``unknown``, a null text is empty;
     null conv_ids make up one dialogue. A dialogue with no speaker but system has no perspective and no
-    row. Marks inside a text are broken by a space, so they can't end a turn. Other columns are ignored; an
+    row. Marks inside a text or a name are broken by a space and line ends in a name are spaces, so neither
+    can end a turn or start one; ``speaker`` and ``perspective`` are the names as they came. Other columns are ignored; an
     empty table gives no rows.
     """
-    clean = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    for mark in (begin, end):
-                clean = F.replace(clean, F.lit(mark), F.lit(mark[0] + " " + mark[1:]))
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("speaker"), clean.alias("body"))
+
+    def unmarked(text):
+        for mark in (begin, end):
+            text = F.replace(text, F.lit(mark), F.lit(mark[0] + " " + mark[1:]))
+        return text
+
+    rows = turns.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("speaker"),
+        unmarked(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("body"),
+    )
     # equal rows are counted before anything meets by dialogue
     rows = rows.groupBy("conv_id", "turn", "speaker", "body").agg(F.count(F.lit(1)).alias("times"))
     rows = rows.withColumn("chunk", F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(2**62)))
@@ -38,7 +47,7 @@ def rotate_perspectives(turns: DataFrame, begin: str = BEGIN, end: str = END) ->
     seen = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
     own = F.col("speaker") == F.col("perspective")
     role = F.when(own, "assistant").when(F.col("speaker") == SYSTEM, SYSTEM).otherwise("user")
-    head = F.concat(F.lit(begin), role, F.when(role == "user", F.concat(F.lit(" name="), F.col("speaker"))).otherwise(""), F.lit("\n"))
+    head = F.concat(F.lit(begin), role, F.when(role == "user", F.concat(F.lit(" name="), unmarked(F.translate("speaker", "\r\n", "  ")))).otherwise(""), F.lit("\n"))
     seen = seen.withColumn("role", role).withColumn("head", head).withColumn("segment", F.concat("head", "body", F.lit(end + "\n")))
     seen = seen.withColumn("length", F.length("segment").cast("long"))
     # places: inside a chunk of turns, and of the chunk in the dialogue

@@ -31,6 +31,19 @@ _HITS = 1 << 15  # compared at once
 _STEPS = np.random.default_rng(0xDEC0).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def window_hashes(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of each stretch ``codes[starts:stops]``; equal stretches have equal hashes wherever they stand."""
+    n = len(codes)
+    up = np.ones(n + 1, np.uint64)
+    up[1:] = np.multiply.accumulate(np.full(n, _BASE, np.uint64))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * up[:n])))
+    # all are brought to the same power
+    return mix((total[stops] - total[starts]) * up[n - starts] + (stops - starts).astype(np.uint64))
+
+
 def _offsets(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
@@ -70,26 +83,67 @@ class _Seeds:
             place = np.concatenate([np.arange(p, p + len(h), dtype=np.int32) for h, _, p in found])
             flat = np.concatenate([h for h, _, _ in found])
             order = np.argsort(flat, kind="stable")
+            flat, item, place = flat[order], item[order], place[order]
+            begin, end = self.begins[item], self.begins[item] + self.sizes[item]
+            own = window_hashes(self.flat, np.maximum(begin, begin + place - _REACH), np.minimum(end, begin + place + _REACH)) + np.minimum(place, _REACH).astype(np.uint64)
+            alike = np.lexsort((place, own, item, flat))  # of places with one hash, item and surroundings the first is enough to tell whether there is a leak
+            first = np.ones(len(flat), bool)
+            first[alike[1:]] = (flat[alike[1:]] != flat[alike[:-1]]) | (item[alike[1:]] != item[alike[:-1]]) | (own[alike[1:]] != own[alike[:-1]])
             near = np.zeros(1 << _FILTER_BITS, bool)
             near[(flat >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-            self.tables.append((mask, flat[order], item[order], place[order], near))
-
-    def diagonals(self, codes: np.ndarray) -> set[tuple[int, int]]:
-        """(place in ``codes`` minus place in the item, item) of all hits with a leak around them."""
-        found = set()
-        for mask, flat, item, place, near in self.tables:
+            self.tables.append((mask, flat, item, place, near, first))
+
+    def diagonals(self, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(row, item, diagonals) where hits have a leak around them; a diagonal is the place in the row minus that in the item.
+
+        ``offsets`` tells where the rows begin in ``codes``. Where words repeat so much that a mask has more hits
+        than there are words, hits with equal surroundings are looked at once, and all diagonals of the rows
+        and items that they belong to are given, those with equal words under the item once.
+        """
+        found: dict[tuple[int, int], set[int]] = {}
+        crowded: set[tuple[int, int]] = set()
+        for mask, flat, item, place, near, first in self.tables:
             own = seed_hashes(codes, mask)
             at = np.flatnonzero(near[(own >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
             lo = np.searchsorted(flat, own[at], "left")
             counts = np.searchsorted(flat, own[at], "right") - lo
+            at, lo, counts = at[counts > 0], lo[counts > 0], counts[counts > 0]
+            many = int(counts.sum()) > len(codes)
+            groups = np.arange(len(at))
+            if many:
+                around = window_hashes(codes, np.maximum(0, at - _REACH), np.minimum(len(codes), at + _REACH)) + np.minimum(at, _REACH).astype(np.uint64)
+                _, one, groups = np.unique(around, return_index=True, return_inverse=True)
+                full = at
+                at, lo, counts = at[one], lo[one], counts[one]
             stops = np.cumsum(counts)
-            for first in range(0, int(counts.sum()), _HITS):
-                n = np.arange(first, min(first + _HITS, int(stops[-1])))
+            for begin in range(0, int(counts.sum()), _HITS):
+                n = np.arange(begin, min(begin + _HITS, int(stops[-1])))
                 j = np.searchsorted(stops, n, "right")
                 k = lo[j] + n - (stops[j] - counts[j])
+                if many:
+                    j, k = j[first[k]], k[first[k]]
                 leaks = self._leaks_around(codes, at[j], item[k], place[k].astype(np.int64))
-                found.update(zip((at[j] - place[k])[leaks].tolist(), item[k][leaks].tolist()))
-        return found
+                j, k = j[leaks], k[leaks]
+                if many:
+                    for g in np.unique(j).tolist():
+                        rows = np.unique(np.searchsorted(offsets, full[groups == g], "right") - 1).tolist()
+                        crowded.update((r, i) for r in rows for i in np.unique(item[k[j == g]]).tolist())
+                else:
+                    for d, i in set(zip((at[j] - place[k]).tolist(), item[k].tolist())):
+                        # a hit belongs to the row of the words that the item's stretch lies on
+                        last = int(np.searchsorted(offsets, min(len(codes), d + int(self.sizes[i])) - 1, "right")) - 1
+                        for r in range(int(np.searchsorted(offsets, max(0, d), "right")) - 1, last + 1):
+                            found.setdefault((r, i), set()).add(d - int(offsets[r]))
+        for r, i in sorted(found.keys() | crowded):
+            size, n = int(self.sizes[i]), int(offsets[r + 1] - offsets[r])
+            some = np.array(sorted(found.get((r, i), ())), np.int64)
+            if (r, i) in crowded:
+                some = np.arange(1 - size, n)
+                row = codes[offsets[r] : offsets[r + 1]]
+                starts, stops = np.maximum(0, some), np.minimum(n, some + size)
+                alike = window_hashes(row, starts, stops) + np.where(some < 0, some, 0).astype(np.uint64)  # what hangs over in front counts too
+                some = some[np.unique(alike, return_index=True)[1]]
+            yield r, i, some[(some > -size) & (some < n)]
 
     def _leaks_around(self, codes: np.ndarray, at: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
         """For hits of ``codes`` from ``at`` and items from ``place`` on: whether there is a leak within reach, rows of texts not told apart."""
@@ -129,7 +183,7 @@ class _Seeds:
 
 def benchmark_slices(benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> Iterator[_Seeds]:
     """The benchmark in slices of about ``slice_words`` words, each small enough to send to all executors."""
-    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    rows = benchmark.select(F.col("item_id").try_cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
     n = max(1, -(-int(total) // slice_words))
     for k in range(n):
@@ -147,7 +201,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_W
 
     Words are compared with A-Z lowered. Null and empty texts on either side have no words and meet
     nothing; an empty table on either side gives no rows; repeated documents give repeated rows;
-    repeated items are reported by their own ids; other columns are ignored. The benchmark is taken in
+    repeated items are reported by their own ids, items without a whole number as id by null; other columns are ignored. The benchmark is taken in
     slices of bounded size, so it may be of any length; ``docs`` is read once for each slice.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -159,7 +213,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_W
             for batch in batches:
                 ids, rows = batch.column("doc_id").to_pylist(), []
                 for row, leaks in _leaking(batch.column("text"), shared.value):
-                    rows += [(ids[row], int(shared.value.ids[item]), *size) for item, size in sorted(leaks.items())]
+                    rows += [(ids[row], shared.value.ids[item], *size) for item, size in sorted(leaks.items())]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], ["doc_id", "item_id", "n_words", "n_same"])
 
@@ -171,21 +225,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_W
 def _leaking(column: pa.Array, seeds: _Seeds) -> Iterator[tuple[int, dict[int, tuple[int, int]]]]:
     for row, data, bounds in text_blocks(column):
         words = words_of(data, bounds)
-        hits: dict[int, list[tuple[int, int]]] = {}
-        for diagonal, item in seeds.diagonals(words.codes):
-            # a hit belongs to the row of the words that the item's stretch lies on
-            first = int(np.searchsorted(words.offsets, max(0, diagonal), "right")) - 1
-            last = int(np.searchsorted(words.offsets, min(len(words.codes), diagonal + len(seeds.codes[item])) - 1, "right")) - 1
-            for i in range(first, last + 1):
-                hits.setdefault(i, []).append((diagonal - int(words.offsets[i]), item))
-        for i, found in sorted(hits.items()):
+        leaks: dict[int, dict[int, tuple[int, int]]] = {}
+        for i, item, diagonals in seeds.diagonals(words.codes, words.offsets):
             codes = words.codes[words.offsets[i] : words.offsets[i + 1]]
-            best: dict[int, tuple[int, int]] = {}
-            for diagonal, item in found:
-                if -len(seeds.codes[item]) < diagonal < len(codes) and (got := seeds.leak(codes, diagonal, item)):
-                    best[item] = max(best.get(item, (0, 0)), got)
-            if best:
-                yield row + i, best
+            got = [x for d in diagonals.tolist() if (x := seeds.leak(codes, d, item))]
+            if got:
+                leaks.setdefault(i, {})[item] = max(got)
+        for i in sorted(leaks):
+            yield row + i, leaks[i]
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> DataFrame:

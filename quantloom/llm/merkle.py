@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import partitions
 
 SECTION_PARAGRAPHS = 8
-ID_BUCKET = 256  # consecutive ids that meet in one place to find each row's neighbour
+BUCKETS = 4  # ranges of ids for each shuffle partition
 _PIECE = r"\s*(?:\S*[^\s.,!?;:|%*&#$]\s+){0,5}\S+\s*|\s+"
 
 
@@ -50,33 +50,28 @@ def first_difference(a: Column, b: Column) -> Column:
     return F.when(place > 0, place - 1)
 
 
-def _next_keys(keys: DataFrame, key: str) -> DataFrame:
-    """(key, after): for distinct whole numbers the next lower one, and the highest after the lowest.
-
-    Keys meet in groups of neighbours; only one row per group of ID_BUCKET goes to the one task that
-    orders the groups.
-    """
-    grouped = keys.select(F.col(key), F.floor(F.col(key) / ID_BUCKET).alias("g"))
-    inside = grouped.select(key, "g", F.lead(key).over(Window.partitionBy("g").orderBy(F.desc(key))).alias("after"))
-    groups = grouped.groupBy("g").agg(F.max(key).alias("top"))
-    ordered = groups.select("g", F.lead("top").over(Window.orderBy(F.desc("g"))).alias("below"))
-    highest = groups.agg(F.max("top").alias("highest"))
-    met = inside.join(ordered, "g", "left").crossJoin(F.broadcast(highest))  # one row
-    return met.select(key, F.coalesce("after", "below", "highest").alias("after"))
-
-
 def with_next(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` with ``next_text``, the text of the next row in descending doc_id (after the
-    last the first); rows of one doc_id by descending text, rows without doc_id last."""
-    lowest = -(2**62)
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(lowest)).alias("k")).withColumn("bucket", F.floor(F.col("k") / ID_BUCKET))
-    heads = keyed.groupBy("bucket").agg(F.max(F.struct("k", "text")).alias("head"))
-    links = _next_keys(keyed.select("bucket").distinct(), "bucket")
-    after = heads.select(F.col("bucket").alias("after"), F.col("head.text").alias("head_text")).join(links, "after").select("bucket", "head_text")
+    last the first); rows of one doc_id by descending text, rows without doc_id last.
+
+    Ids are cut into ranges with about as many rows each, whatever their values; rows meet inside a range,
+    and each range's last row meets the first one of the range below. Only the ranges, a fixed number for
+    each shuffle partition, are ordered in one place.
+    """
+    parts = partitions(docs.sparkSession)
+    n = BUCKETS * parts
+    lowest = -(2**63)
+    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(lowest)).alias("k"))
+    cuts = keyed.agg(F.approx_percentile("k", F.array(*[F.lit((i + 1) / n) for i in range(n - 1)]), F.lit(10 * n)).alias("cuts")).first()["cuts"]
+    cuts = sorted(set(cuts or []))  # n - 1 at most
+    bucket = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c < F.col("k"))) if cuts else F.lit(0)
+    keyed = keyed.withColumn("bucket", bucket)
+    heads = keyed.groupBy("bucket").agg(F.max(F.struct("k", "text")).alias("head")).select("bucket", F.col("head.text").alias("head_text"))
+    ends = Window.orderBy(F.desc("bucket"))  # n rows at most
+    after = heads.select("bucket", F.coalesce(F.lead("head_text").over(ends), F.first("head_text").over(ends)).alias("head_text"))
     order = Window.partitionBy("bucket").orderBy(F.desc("k"), F.desc("text"))
-    rows = keyed.repartition(partitions(docs.sparkSession), "bucket")
-    rows = rows.withColumn("next_text", F.lead("text").over(order))
-    return rows.join(after, "bucket", "left").select("doc_id", "text", F.coalesce("next_text", "head_text").alias("next_text"))
+    rows = keyed.repartition(parts, "bucket").withColumn("next_text", F.lead("text").over(order))
+    return rows.join(after, "bucket").select("doc_id", "text", F.coalesce("next_text", "head_text").alias("next_text"))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:

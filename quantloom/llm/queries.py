@@ -68,7 +68,7 @@ r AS (
   SELECT t.conv_id, perspective, turn, speaker, body,
     CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS role
   FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
-h AS (SELECT *, '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) AS head FROM r),
+h AS (SELECT *, '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || replace(replace(translate(speaker, chr(13) || chr(10), '  '), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') ELSE '' END || chr(10) AS head FROM r),
 s AS (SELECT *, head || body || '<|im_end|>' || chr(10) AS segment FROM h),
 w AS (
   SELECT *, row_number() OVER o - 1 AS seq, sum(length(segment)) OVER (o ROWS UNBOUNDED PRECEDING) AS end_at FROM s

@@ -4,14 +4,16 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quantloom.llm import decontaminate as D
 from quantloom.llm.jaccard_join import keep_one_per_component, ngram_jaccard_join
 from quantloom.llm.license_scan import TEMPLATES, scan_licenses
-from quantloom.llm.merkle import fingerprint_edits
+from quantloom.llm.merkle import fingerprint_edits, with_next
 
 SCHEMA = "doc_id long, text string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -77,26 +79,6 @@ def test_jaccard_join_of_nothing_and_of_repeated_rows(spark):
     assert sorted(r.doc_id for r in keep_one_per_component(same.where("doc_id is not null")).collect()) == [2, 9]
 
 
-def brute_leaks(docs, items):
-    """All alignments of all pairs, by the stated rule: the longest stretch whose gain (1, or -4 for a differing word) is not negative."""
-    out = set()
-    for i, t in docs:
-        a = words(t)
-        for j, u in items:
-            b = words(u)
-            need = min(D.MIN_WORDS, len(b))
-            for d in range(-len(b) + 1, len(a)):
-                lo, hi = max(0, d), min(len(a), d + len(b))
-                same = [a[k] == b[k - d] for k in range(lo, hi)]
-                # only alignments that a mask hits are looked at
-                if not any(all(same[p + o] for o in range(len(m)) if m[o] == "1") for m in D.MASKS for p in range(len(same) - len(m) + 1)):
-                    continue
-                gain = np.concatenate(([0], np.cumsum([1 if s else -4 for s in same])))
-                if any(gain[y] >= gain[x] for x in range(len(gain)) for y in range(x + need, len(gain))):
-                    out.add((i, j))
-    return out
-
-
 def test_decontamination(spark):
     rng = random.Random(4)
     vocab = [f"v{i}" for i in range(300)]
@@ -113,7 +95,7 @@ def test_decontamination(spark):
         docs.append((i, " ".join(text).upper() if i % 5 == 0 else " ".join(text)))
     docs += [(100, None), (101, ""), (102, items[2][1])]
     df, bench = spark.createDataFrame(docs, SCHEMA).repartition(3), spark.createDataFrame(items, "item_id long, text string")
-    expected = brute_leaks(docs, [x for x in items if x[1]])
+    expected = all_leaks(docs, [x for x in items if x[1]])
     assert expected and {(r.doc_id, r.item_id) for r in D.find_leaks(df, bench).collect()} == expected
     # the same in slices of the benchmark
     assert {(r.doc_id, r.item_id) for r in D.find_leaks(df, bench, slice_words=30).collect()} == expected
@@ -167,6 +149,31 @@ def test_every_leak_is_found(spark):
     assert {r.doc_id for r in D.drop_leaks(df, bench, slice_words=30).collect()} == {i for i, _ in docs} - {i for i, _ in expected}
 
 
+def test_repeating_texts(spark):
+    rng = random.Random(21)
+    texts = ["one " * 300, "a b " * 150, "a b c " * 90 + "tail words here", "x " * 40 + "a b " * 30 + "x " * 40, "a a b " * 60]
+    items = list(enumerate(["one " * 30, "a b " * 20, "b a " * 8 + "c", "a b c " * 10, "x " * 13, "a " * 20, "one one", " ".join(rng.choices("ab", k=40))]))
+    docs = [(i, t) for i, t in enumerate(texts + [" ".join(rng.choices("abx", k=200)) for _ in range(6)])]
+    df, bench = spark.createDataFrame(docs, SCHEMA).repartition(2), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in D.find_leaks(df, bench).collect()} == all_leaks(docs, items)
+
+
+def test_very_long_repeating_text_takes_linear_time():
+    seeds = D._Seeds([(i, D.words_of(np.frombuffer(b"word " * 200, np.uint8), np.array([0, 1000])).codes) for i in range(5)])
+    began = time.time()
+    got = list(D._leaking(pa.array(["word " * 20_000]), seeds))
+    assert got == [(0, {i: (200, 200) for i in range(5)})] and time.time() - began < 5
+
+
+def test_decontamination_of_odd_ids_and_columns(spark):
+    docs = spark.createDataFrame([(1, "x alpha beta gamma y", "keep", 3), (1, "x alpha beta gamma y", "keep", 3), (None, "alpha beta gamma", "keep", None), (2, "clean", None, 4)], "doc_id long, text string, item_id string, n_words int")
+    bench = spark.createDataFrame([(None, "Alpha beta GAMMA"), ("7", "alpha beta gamma"), ("seven", "beta gamma")], "item_id string, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in D.find_leaks(docs, bench).collect()), key=str)
+    assert got == sorted([(i, j) for i in (1, 1, None) for j in (None, 7, None)], key=str)
+    kept = D.drop_leaks(docs, bench)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
 def test_decontamination_of_short_items(spark):
     bench = spark.createDataFrame([(1, "Alpha beta GAMMA")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x alpha beta gamma y"), (2, "alpha beta"), (3, "beta alpha gamma")], SCHEMA)
@@ -191,6 +198,17 @@ def test_fingerprints(spark):
     assert fingerprint_edits(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_fingerprints_of_sparse_ids(spark):
+    rng = random.Random(7)
+    ids = [rng.randrange(-(2**63), 2**63) for _ in range(3000)] + [5] * 20 + [None] * 20
+    docs = [(i, f"text {k % 50}", "x", k) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, fingerprint string, bucket int").repartition(5)
+    got = sorted(((r.doc_id, r.text, r.next_text) for r in with_next(df.select("doc_id", "text")).collect()), key=str)
+    order = sorted(((-(2**63) if i is None else i, t, i) for i, t, _, _ in docs), key=lambda x: (x[0], x[1]), reverse=True)
+    assert got == sorted(((i, t, n) for (_, t, i), (_, n, _) in zip(order, order[1:] + order[:1])), key=str)
+    assert fingerprint_edits(df).count() == len(docs)
+
+
 def test_edits_are_located(spark):
     text = "\n".join(f"Paragraph {i} says something of its own." for i in range(30))
     rows = spark.createDataFrame([(2, text), (1, "entirely different words stand here\n" * 40)], SCHEMA)
