@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -60,6 +60,33 @@ def relative_strength(diff: Column, w: WindowSpec, n: int) -> Column:
     """100 - 100 / (1 + mean gain / mean loss) over n rows; a null difference counts as none."""
     gain = F.avg(F.when(diff > 0, diff).otherwise(0.0)).over(last_rows(w, n))
     loss = F.avg(F.when(diff < 0, -diff).otherwise(0.0)).over(last_rows(w, n))
+    return strength(gain, loss)
+
+
+def running(name: str, x: Column, w: WindowSpec) -> dict[str, Column]:
+    """Columns ``__sum_name`` and ``__n_name``: the sum, as a decimal, and the count of x up to each row."""
+    exact, frame = x.try_cast("decimal(28,15)"), w.rowsBetween(Window.unboundedPreceding, 0)
+    return {f"__sum_{name}": F.coalesce(F.sum(exact).over(frame), F.lit(0).cast("decimal(38,15)")), f"__n_{name}": F.count(exact).over(frame)}
+
+
+def trailing(name: str, w: WindowSpec, n: int) -> tuple[Column, Column]:
+    """Sum and count of the last n rows, from the columns of ``running``."""
+    back = lambda c, zero: F.col(c) - F.coalesce(F.lag(c, n).over(w), zero)
+    return back(f"__sum_{name}", F.lit(0).cast("decimal(38,15)")).cast("double"), back(f"__n_{name}", F.lit(0))
+
+
+def trailing_mean(of: tuple[Column, Column]) -> Column:
+    return F.when(of[1] > 0, of[0] / of[1])
+
+
+def trailing_deviation(of: tuple[Column, Column], squares: tuple[Column, Column]) -> Column:
+    """Sample standard deviation; null with fewer than two values."""
+    (total, n), (square, _) = of, squares
+    return F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (square - total * total / n) / (n - 1))))
+
+
+def strength(gain: Column, loss: Column) -> Column:
+    """100 - 100 / (1 + gain / loss)."""
     return F.lit(100.0) - ieee_div(F.lit(100.0), F.lit(1.0) + ieee_div(gain, loss))
 
 

@@ -17,6 +17,7 @@ import sys
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +41,7 @@ _SPACES = re.compile(r"\x20{5,}")
 _SEXTETS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _STRETCH = re.compile(r"[A-Za-z0-9+/_-]+", _FLAGS)
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}", _FLAGS)
+_LINES = re.compile(r"(?:[A-Za-z0-9+/_-]{16,}\x20*\r?\n\x20*)+[A-Za-z0-9+/_-]+={0,2}", _FLAGS)  # base64 broken into lines
 
 Span = tuple[int, int, int]
 Place = Callable[[int, int], tuple[int, int]]
@@ -109,7 +111,15 @@ def _size(text: str) -> int:
     return len(text.encode("utf-8", "surrogateescape"))
 
 
-def _unwrapped(text: str) -> Iterator[tuple[str | re.Match, Place]]:
+class Packed(NamedTuple):
+    """A stretch of base64 that holds compressed data, and its place."""
+
+    stretch: str
+    start: int
+    end: int
+
+
+def _unwrapped(text: str) -> Iterator[tuple[str | Packed, Place]]:
     """(decoded text, the stretch of ``text`` that a stretch of it comes from) for the whole layer without its escapes, and for each encoded stretch.
 
     A stretch of compressed data is given as it is: all in it has the same place.
@@ -118,17 +128,26 @@ def _unwrapped(text: str) -> Iterator[tuple[str | re.Match, Place]]:
         if sign in text and one.search(text):
             yield _unescaped(text, one, read)
     for m in _BASE64.finditer(text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        if _compressed(data):
-            yield m, lambda a, b, m=m: m.span()
-        elif _readable(new := data.decode("utf-8", "surrogateescape")):  # each character has its own sextets
-            yield new, lambda a, b, m=m, new=new: (m.start() + _size(new[:a]) * 8 // 6, min(m.end(), m.start() - (-_size(new[:b]) * 8 // 6)))
+        yield from _decoded(m[0], range(m.start(), m.end()))
+    for m in _LINES.finditer(text):
+        places = [i for i in range(m.start(), m.end()) if text[i] not in " \r\n"]
+        yield from _decoded("".join(text[i] for i in places), places)
+
+
+def _decoded(stretch: str, places) -> Iterator[tuple[str | Packed, Place]]:
+    """What a stretch of base64 holds, if that is compressed or readable; ``places`` are those of its characters."""
+    body = stretch.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(body) % 4 == 1:
+        return
+    try:
+        data = base64.b64decode(body + "=" * (-len(body) % 4))
+    except (binascii.Error, ValueError):
+        return
+    if _compressed(data):
+        whole = (places[0], places[-1] + 1)
+        yield Packed(stretch.rstrip("="), *whole), lambda a, b: whole
+    elif _readable(new := data.decode("utf-8", "surrogateescape")):  # each character has its own sextets
+        yield new, lambda a, b: (places[_size(new[:a]) * 8 // 6], places[min(len(places), -(-_size(new[:b]) * 8 // 6)) - 1] + 1)
 
 
 class _Decoder:
@@ -277,11 +296,10 @@ def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
         depth = len(chain) - 1
         layer, spans, inner, place, _ = chain[-1]
         for new, where in inner:
-            if isinstance(new, re.Match):
-                stretch = new[0].rstrip("=")
-                if stretch not in packed:
-                    packed[stretch] = _inside(stretch)
-                spans |= {(new.start(), kind, new.end()) for kind in packed[stretch][0]}
+            if isinstance(new, Packed):
+                if new.stretch not in packed:
+                    packed[new.stretch] = _inside(new.stretch)
+                spans |= {(new.start, kind, new.end) for kind in packed[new.stretch][0]}
                 continue
             met.add(new)
             if new in depths:

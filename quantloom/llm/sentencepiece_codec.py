@@ -88,6 +88,8 @@ def read_model(data: bytes) -> Model:
     kind = trainer.get(3, 1)
     if kind not in (1, 2):
         raise ValueError("only unigram and BPE models are supported")
+    if trainer.get(24) or _USER in kinds:
+        raise ValueError("models with markers behind words or with user-defined pieces are not supported")
     return Model(pieces, scores, kinds, kind == 1, bool(trainer.get(35, 0)), norm.get(2, b""), bool(norm.get(3, 1)), bool(norm.get(4, 1)), data)
 
 
@@ -174,17 +176,24 @@ class Codec:
             self._reset()
         cut = [self.chunks(t) for t in texts]
         self.learn(list(chain.from_iterable(cut)), processor)
+        # equal normalised texts, and equal ids of each chunk, which no piece crosses, make equal ids of the text
+        whole = [True] * len(cut) if processor is None else [a == self._marked(own) for a, own in zip(processor.normalize(texts), cut)]
         out = []
-        for own in cut:
+        for own, alike in zip(cut, whole):
             at = np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
             starts = self.starts[at]
             sizes = self.starts[at + 1] - starts
             ends = np.cumsum(sizes)
             place = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
             text = self._joined(own, at)
-            out.append((self.ids[place], text[1:] if self.model.add_prefix and text[:1] == " " else text, bool(self.same[at].all())))
+            out.append((self.ids[place], text[1:] if self.model.add_prefix and text[:1] == " " else text, alike and bool(self.same[at].all())))
         return out
 
+    def _marked(self, keys: list[str]) -> str:
+        """The normalised text, markers and all, that chunks make up."""
+        lead = MARK if self.cut else ""
+        return lead + lead.join(keys) if keys else ""
+
     def _joined(self, keys: list[str], at: np.ndarray) -> str:
         """The decoded text of chunks."""
         lead = MARK if self.cut else ""
@@ -228,7 +237,8 @@ def encode_texts(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     """``docs`` with ``n_tokens``, ``token_ids``, ``round_trip`` and ``parity``, which replace columns of these names.
 
     A null text counts as empty and has no tokens. ``round_trip`` tells whether decoding gives the
-    (normalised) text back, ``parity`` whether the sentencepiece library gives the same ids. A text's own
+    (normalised) text back, ``parity`` whether the sentencepiece library normalises the
+    whole text alike and gives each of its chunks the same ids. A text's own
     U+2581 is the marker and decodes as a space. Rows are independent; an empty table gives no rows.
     """
     shared = load_model(docs.sparkSession, path)

@@ -20,16 +20,49 @@ DIMENSIONS = 16
 MIN_MISSING = 0.1
 
 
+def span(df: DataFrame, day: str) -> tuple[date, date] | None:
+    """The first and last day of a table, null for an empty one."""
+    first, last = df.agg(F.min(day), F.max(day)).first()
+    return (first, last) if first else None
+
+
 def window_ends(first: date, last: date, step_months: int) -> Column:
     return F.sequence(F.lit(first), F.lit(last), F.expr(f"interval {step_months} months"))
 
 
+def all_window_ends(df: DataFrame, day: str, step_months: int, months: int) -> Column:
+    """Ends of whole windows over all days of ``df``: the first is ``months`` after the start of its first month, the last the day after its last day at most."""
+    days = span(df, day)
+    if days is None:
+        return F.array().cast("array<date>")
+    first, end = F.add_months(F.trunc(F.lit(days[0]), "month"), months), F.date_add(F.lit(days[1]), 1)
+    return F.when(first <= end, F.sequence(first, end, F.expr(f"interval {step_months} months"))).otherwise(F.array().cast("array<date>"))
+
+
 def assign_windows(df: DataFrame, day: str, ends: Column, months: int, left_open: bool = False) -> DataFrame:
     """A row for each window that holds it, with ``window_end``: [end - months, end), or (end - months, end]."""
     inside = (lambda e: (F.col(day) > F.add_months(e, -months)) & (F.col(day) <= e)) if left_open else (lambda e: (F.col(day) >= F.add_months(e, -months)) & (F.col(day) < e))
     return df.withColumn("window_end", F.explode(F.filter(ends, inside)))
 
 
+def assign_stepped(df: DataFrame, day: str, step_days: int, months: int) -> DataFrame:
+    """A row for each window (end - months, end] that holds it, with ``window_end``; ends step by ``step_days`` over all of the table.
+
+    The first window ends a month's length after the first day, the last one on the last day or less than a
+    step after it. The few ends that a day may belong to are counted from the day itself, so many windows cost nothing.
+    """
+    days = span(df, day)
+    if days is None:
+        return df.withColumn("window_end", F.lit(None).cast("date"))
+    start = F.date_sub(F.add_months(F.lit(days[0]), months), 1)
+    top = F.floor((F.datediff(F.lit(days[1]), start) + step_days - 1) / step_days)  # number of the last end
+    low = F.greatest(F.lit(0).cast("long"), F.ceil(F.datediff(F.col(day), start) / step_days))
+    high = F.least(top, F.floor((F.datediff(F.col(day), start) + 31 * months) / step_days))
+    numbers = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+    ends = F.transform(numbers, lambda k: F.date_add(start, (k * step_days).cast("int")))
+    return df.withColumn("window_end", F.explode(F.filter(ends, lambda e: (F.col(day) > F.add_months(e, -months)) & (F.col(day) <= e))))
+
+
 def complete_panel(rows: DataFrame, day: str, value: str, max_missing: float = MIN_MISSING) -> DataFrame:
     """(window_end, symbol, day, value): symbols with few missing days, every gap filled by that day's mean over all symbols.
 
@@ -75,12 +108,15 @@ def _summed(df: DataFrame, key: str, left: str, right: str) -> dict:
 def embeddings(panel: DataFrame, day: str, dimensions: int = DIMENSIONS) -> DataFrame:
     """(window_end, symbol, embedding): each window's standardised panel times its leading right singular vectors.
 
-    The sign of each vector is that which makes its largest entry positive. Windows of fewer days get fewer dimensions.
+    The sign of each vector is that which makes its largest entry positive. There are at most as many
+    dimensions as any window has days, and at most half as many as it has symbols.
     """
     spark = panel.sparkSession
     rows = panel.groupBy("window_end", "symbol").agg(F.transform(F.array_sort(F.collect_list(F.struct(day, "z"))), lambda c: c["z"]).alias("r"))  # a window's days
-    bases = []
-    for end, gram in sorted(_summed(rows, "window_end", "r", "r").items()):
+    bases, grams = [], _summed(rows, "window_end", "r", "r")
+    symbols = {r[0]: r[1] for r in rows.groupBy("window_end").count().collect()}  # a row a window
+    dimensions = min([dimensions, *(int(round(len(g) ** 0.5)) for g in grams.values()), *(max(1, n // 2) for n in symbols.values())])
+    for end, gram in sorted(grams.items()):
         n = int(round(len(gram) ** 0.5))
         _, vectors = np.linalg.eigh(gram.reshape(n, n))
         v = vectors[:, ::-1][:, :dimensions]

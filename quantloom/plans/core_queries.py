@@ -29,7 +29,7 @@ def returns(s: SparkSession, d: str) -> DataFrame:
 
 def stocks(s: SparkSession, d: str) -> DataFrame:
     c = candles(s, d)
-    return T.stocks_daily(c, T.padded_facts(T.implied_float_shares(P.filings(s, d), c), as_of()))
+    return T.stocks_daily_asof(c, T.implied_float_shares(P.filings(s, d), c), as_of())
 
 
 def gridded(df: DataFrame, skip=(), digits: int = 4) -> DataFrame:
@@ -85,13 +85,13 @@ def _stock_columns(df):
 
 @query("M6_stocks_daily", f"WITH {with_stocks()} SELECT {_STOCK_COLUMNS} FROM stocks")
 def m6(s, d):
-    return _stock_columns(stocks(s, d))
+    c = candles(s, d)
+    return _stock_columns(T.stocks_daily(c, T.padded_facts(T.implied_float_shares(P.filings(s, d), c), as_of())))
 
 
 @query("M6b_stocks_daily_asof", f"WITH {with_stocks()} SELECT {_STOCK_COLUMNS} FROM stocks")
 def m6b(s, d):
-    c = candles(s, d)
-    return _stock_columns(T.stocks_daily_asof(c, T.implied_float_shares(P.filings(s, d), c), as_of()))
+    return _stock_columns(stocks(s, d))
 
 
 @query("M7_stocks_rankings", f"WITH {with_stocks()} SELECT * FROM rankings")
@@ -230,6 +230,17 @@ def s20(s, d):
     return candles(s, d).where("symbol = 1 and timeframe >= date'1997-01-01' and timeframe < date'1998-01-01'").select("timeframe", "open", "high", "low", "close", "volume").orderBy("timeframe")
 
 
+@query("S20_dashboard_volume", f"WITH {CANDLES} SELECT timeframe, volume, volume > lag(volume) OVER (ORDER BY timeframe) AS up FROM candles WHERE symbol = 1")
+def s20_volume(s, d):
+    one = candles(s, d).where("symbol = 1")  # one symbol's days
+    return one.select("timeframe", "volume", (F.col("volume") > F.lag("volume").over(Window.partitionBy("symbol").orderBy("timeframe"))).alias("up"))
+
+
+@query("S20_dashboard_symbols", f"WITH {CANDLES} SELECT DISTINCT symbol FROM candles")
+def s20_symbols(s, d):
+    return candles(s, d).select("symbol").distinct().orderBy("symbol")
+
+
 # --- projections and filters
 @query("P1_P5_projection", f"WITH {CANDLES} SELECT symbol::VARCHAR AS ticker, timeframe AS date, year(timeframe)::INTEGER AS year, month(timeframe)::INTEGER AS month, close FROM candles")
 def p1(s, d):

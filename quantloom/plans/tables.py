@@ -21,18 +21,28 @@ ODD_NAMES = {"open_rolling_1d": "open_rolling_1_steps_1d", "volatility_1d": "vol
 def candles_daily(candles: DataFrame) -> DataFrame:
     """Candles with returns, rolling opens, volatilities, Sharpe ratios and relative strengths of all lookbacks.
 
-    One exchange and one sort by symbol serve every window.
+    One exchange and one sort by symbol serve every window. A lookback is the difference of two running
+    sums, so a row costs as much with 252 rows back as with one; sums are decimals, so no digits are lost.
+    Prices from 10**13 on and NaN count as missing in rolling means.
     """
     w = Window.partitionBy("symbol").orderBy("timeframe")
     base = candles.select("symbol", "timeframe", F.year("timeframe").alias("year"), F.month("timeframe").alias("month"), "open", "close", "high", "low", "volume")
     lags = {f"__lag{n}": F.lag("close", n).over(w) for n in LOOKBACKS}
     df = base.withColumns(lags)
     df = df.withColumns({f"__log{n}": E.log_return(F.col("close"), F.col(f"__lag{n}")) for n in LOOKBACKS} | {f"__ret{n}": E.arithmetic_return(F.col("close"), F.col(f"__lag{n}")) for n in LOOKBACKS} | {"__diff": F.col("close") - F.col("__lag1")})
-    df = df.withColumns(
-        {f"__open{n}": E.rolling_avg(F.col("open"), w, n) for n in LOOKBACKS}
-        | {f"__vol{n}": E.volatility(F.col("__log1"), w, n) for n in LOOKBACKS}
-        | {f"__rsi{n}": E.relative_strength(F.col("__diff"), w, n) for n in LOOKBACKS}
-    )
+    ret, diff = F.col("__log1"), F.col("__diff")
+    df = df.withColumns({
+        **E.running("open", F.col("open"), w),
+        **E.running("ret", ret, w),
+        **E.running("square", ret * ret, w),
+        **E.running("gain", F.when(diff > 0, diff).otherwise(0.0), w),
+        **E.running("loss", F.when(diff < 0, -diff).otherwise(0.0), w),
+    })
+    rolled = {}
+    for n in LOOKBACKS:
+        opens, gain, loss = (E.trailing(name, w, n) for name in ("open", "gain", "loss"))
+        rolled |= {f"__open{n}": E.trailing_mean(opens), f"__vol{n}": E.trailing_deviation(E.trailing("ret", w, n), E.trailing("square", w, n)), f"__rsi{n}": E.strength(E.trailing_mean(gain), E.trailing_mean(loss))}
+    df = df.withColumns(rolled)
     out = [F.col(c) for c in base.columns]
     for name, n in NAMED.items():
         own = {
@@ -84,13 +94,13 @@ def stocks_daily(candles: DataFrame, padded: DataFrame) -> DataFrame:
 
 
 def stocks_daily_asof(candles: DataFrame, filings: DataFrame, as_of: Column) -> DataFrame:
-    """The same answer without a row per calendar day: each metric joins as of its filing."""
-    df = candles
-    for metric in ("shares", "float", "earnings"):
-        one = valid_ranges(filings.where(F.col("metric") == metric), "cik", "filed", ["period_end"], as_of)
-        df = asof_backward(df, one.select(F.col("cik").alias("symbol"), "filed", F.col("value").alias(metric)), ["symbol"], "timeframe", "filed", [metric])
-        df = df.withColumn(metric, F.when(F.col("timeframe") <= as_of, F.col(metric)))
-    return valued(df)
+    """The same answer without a row per calendar day: each metric joins as of its latest filing, all in one merge by symbol."""
+    metrics = ("shares", "float", "earnings")
+    known = filings.where(F.col("filed") <= as_of)
+    last = lambda m: F.max_by(F.when(F.col("metric") == m, F.struct("value")), F.when(F.col("metric") == m, F.col("period_end"))).alias(m)
+    right = known.groupBy(F.col("cik").alias("symbol"), "filed").agg(*[last(m) for m in metrics])
+    df = asof_backward(candles, right, ["symbol"], "timeframe", "filed", metrics, each=True)
+    return valued(df.withColumns({m: F.when(F.col("timeframe") <= as_of, F.col(f"{m}.value")) for m in metrics}))
 
 
 def stocks_rankings(stocks: DataFrame) -> DataFrame:

@@ -300,6 +300,30 @@ def test_readability_is_a_share():
     assert base64.b64decode(stretch)[a * 6 // 8 : -(-b * 6 // 8)].count(b"password=correcthorse") == 1
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", " \n  "])
+def test_base64_broken_into_lines(end):
+    secret = "password = hunter2hunter2"
+    inner = "a long line of prose before it, so that lines break inside; " + secret + " and some more words behind."
+    for data, exact in ((inner.encode(), True), (gzip.compress(inner.encode()), False)):
+        code = base64.b64encode(data).decode()
+        code = end.join(code[i : i + 64] for i in range(0, len(code), 64))
+        text = f"see:\n{code}\nend"
+        spans, _ = S.all_spans(text, S.base_spans(text))
+        begin = text.index(code)
+        assert any(begin <= a < b <= begin + len(code) and k == 0 for a, k, b in spans)
+        if exact:
+            a, b = max((a, b) for a, k, b in spans if k == 0)
+            assert b - a < 2 * len(secret) and "password" not in S.redacted(text)
+
+
+def test_secrets_of_repeated_rows_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef1", "x", 3), (1, "token=abcdef1", "y", 4), (None, None, None, None)], "doc_id long, text string, spans string, n_hex int")
+    got = S.secret_scan(docs).collect()
+    assert sorted((str(r.doc_id), r.n_assign, r.spans) for r in got) == [("1", 1, "assign:0:13"), ("1", 1, "assign:0:13"), ("None", 0, "")]
+    kept = S.redact_secrets(docs)
+    assert kept.columns == docs.columns and sorted(str(r.text) for r in kept.collect()) == ["None", "[SECRET]", "[SECRET]"]
+
+
 def test_redaction_keeps_the_rest(spark):
     df = spark.createDataFrame([(1, "x token = 'abcdef123' y", 99), (2, "clean", 5), (3, None, None)], SCHEMA + ", n_chars long")
     got = {r.doc_id: r for r in S.redact_secrets(df).collect()}
@@ -325,6 +349,20 @@ def test_codec_parity_and_round_trip(spark):
     assert C.encode_digests(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_parity_is_of_whole_texts():
+    import sentencepiece
+
+    data = open(C.MODEL_PATH, "rb").read()
+    texts = ["Two  words\tand \ufb01ne", " edges ", "plain"]
+    whole = sentencepiece.SentencePieceProcessor(model_proto=data)
+    codec = C.Codec(data)
+    assert [(list(ids), same) for ids, _, same in codec.encode(texts, whole)] == [(whole.encode(t), True) for t in texts]
+    broken = C.Codec(data)
+    broken.normalizer = None  # loses the normaliser: the ligature or the spaces differ
+    broken.chunks = lambda text: text.lower().split(" ")
+    assert not all(same for _, _, same in broken.encode(texts, whole))
+
+
 def test_unigram_models_are_rebuilt():
     def field(n, kind, body):
         return bytes([n << 3 | kind]) + (bytes([len(body)]) + body if kind == 2 else body)
