@@ -296,7 +296,8 @@ def v8(s, d):
     return rows.select("symbol", "timeframe", "mkt_rf", "smb", "hml", "rf", grid(F.col("excess"), 6).alias("excess"))
 
 
-# months, as the test tables have too few rows a day: symbols with over 10 % missing months go, other gaps are filled by the month's mean
+# months, as the test tables have too few rows a day: symbols with over 10 % missing months go, other gaps are filled by the month's mean;
+# where two factors are the same (no supplier is in debt in the smallest tables), the least solution shares their loading equally
 _LOADINGS = _FACTOR_SQL + f""", fm AS (SELECT date_trunc('month', timeframe)::DATE AS m, sum(mkt_rf) AS mkt_rf, sum(smb) AS smb, sum(hml) AS hml, sum(rf) AS rf FROM factors GROUP BY 1),
 rm AS (SELECT symbol, date_trunc('month', timeframe)::DATE AS m, sum(log_return_1d) AS ret FROM returns GROUP BY ALL),
 ends AS (SELECT range::DATE AS window_end FROM range((SELECT (date_trunc('month', min(m)) + INTERVAL 36 MONTH)::DATE FROM rm), (SELECT (max(m) + INTERVAL 1 MONTH)::DATE + 1 FROM rm), INTERVAL 3 MONTH)),
@@ -311,10 +312,10 @@ x3 AS (SELECT *, c2 - b12 * u1 AS u2, c3 - b13 * u1 AS d3 FROM x2),
 x4 AS (SELECT *, sum(u2 * d3) OVER w / sum(u2 * u2) OVER w AS b23 FROM x3 WINDOW w AS (PARTITION BY window_end)),
 x5 AS (SELECT *, d3 - b23 * u2 AS u3 FROM x4),
 y AS (SELECT k.window_end, k.symbol, x5.*, coalesce(w.ret, n.day_mean) AS y FROM kept k JOIN x5 USING (window_end) JOIN means n ON n.window_end = k.window_end AND n.m = x5.m LEFT JOIN windowed w ON w.window_end = k.window_end AND w.symbol = k.symbol AND w.m = x5.m),
-g AS (SELECT window_end, symbol, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, any_value(b12) AS b12, any_value(b13) AS b13, any_value(b23) AS b23,
+g AS (SELECT window_end, symbol, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, any_value(b12) AS b12, any_value(b13) AS b13, any_value(b23) AS b23, max(abs(x1 - x3)) < 1e-12 AS same,
   sum(u1 * y) / sum(u1 * u1) AS g1, sum(u2 * y) / sum(u2 * u2) AS g2, sum(u3 * y) / sum(u3 * u3) AS g3 FROM y GROUP BY window_end, symbol),
-h AS (SELECT *, g3 AS beta_hml, g2 - b23 * g3 AS beta_smb FROM g),
-i AS (SELECT *, g1 - b12 * beta_smb - b13 * beta_hml AS beta_mkt_rf FROM h)
+h AS (SELECT *, CASE WHEN same THEN g2 ELSE g2 - b23 * g3 END AS beta_smb FROM g),
+i AS (SELECT * EXCLUDE (g3), CASE WHEN same THEN (g1 - b12 * beta_smb) / 2 ELSE g3 END AS beta_hml, CASE WHEN same THEN (g1 - b12 * beta_smb) / 2 ELSE g1 - b12 * beta_smb - b13 * g3 END AS beta_mkt_rf FROM h)
 SELECT window_end, symbol, {sql_grid('my - beta_mkt_rf * m1 - beta_smb * m2 - beta_hml * m3')} AS alpha, {sql_grid('beta_mkt_rf')} AS beta_mkt_rf, {sql_grid('beta_smb')} AS beta_smb, {sql_grid('beta_hml')} AS beta_hml, n FROM i"""
 
 
