@@ -41,7 +41,8 @@ _SPACES = re.compile(r"\x20{5,}")
 _SEXTETS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _STRETCH = re.compile(r"[A-Za-z0-9+/_-]+", _FLAGS)
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}", _FLAGS)
-_LINES = re.compile(r"(?:[A-Za-z0-9+/_-]{16,}\x20*\r?\n\x20*)+[A-Za-z0-9+/_-]+={0,2}", _FLAGS)  # base64 broken into lines
+# base64 broken into lines; it starts where a stretch does and gives nothing back, so long stretches take linear time
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+\x20*+\r?\n\x20*+)+[A-Za-z0-9+/_-]+={0,2}", _FLAGS)
 
 Span = tuple[int, int, int]
 Place = Callable[[int, int], tuple[int, int]]
