@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import ieee_div, median_price, period_key
+from ..functions.expr import days_between, ieee_div, median_price, period_key, quantised
 
 TRADING_DAYS = 252
+# fixed values: the combinations that the adaptive choice tries
+ADAPTIVE_GRID = {"months": (3, 9, 12), "weeks": (2, 4), "tops": (10, 20, 30), "frequencies": ("weekly", "monthly", "quarterly")}
 
 
 def rebalance_days(candles: DataFrame, frequency: str = "monthly", months: int = 6, ignore_weeks: int = 1) -> DataFrame:
@@ -20,14 +22,24 @@ def rebalance_days(candles: DataFrame, frequency: str = "monthly", months: int =
     return days.join(F.broadcast(first), F.col("timeframe") >= F.col("__from")).groupBy(period_key(F.col("timeframe"), frequency).alias("p")).agg(F.min("timeframe").alias("rebalance")).select("rebalance")
 
 
-def momentum_choice(candles: DataFrame, rebalances: DataFrame, months: int = 6, ignore_weeks: int = 1, top: int = 10, keys: Sequence[str] = ()) -> DataFrame:
+def momentum_choice(candles: DataFrame, rebalances: DataFrame, months: int | Column = 6, ignore_weeks: int | Column = 1, top: int = 10, keys: Sequence[str] = (), longest: int | None = None) -> DataFrame:
     """(keys, rebalance, symbol, momentum, place): the symbols whose close rose most over the closed window before each day; ties by symbol.
 
-    ``rebalances`` is a calendar, so it is bounded by the days covered; each candle joins the windows it lies in.
+    ``rebalances`` is a calendar, so it is bounded by the days covered. A candle opens the windows that begin in the
+    gap before it and closes those that end in the gap after it, so it meets each window's two ends only, whatever the
+    windows' lengths. Where ``months`` is a column of ``rebalances``, ``longest`` is its greatest value.
     """
-    spans = rebalances.withColumn("__a", F.add_months("rebalance", -months)).withColumn("__b", F.date_sub("rebalance", 7 * ignore_weeks))
-    rows = candles.join(F.broadcast(spans), F.col("timeframe").between(F.col("__a"), F.col("__b")))
-    ends = rows.groupBy(*keys, "rebalance", "symbol").agg(F.min_by("close", "timeframe").alias("start"), F.max_by("close", "timeframe").alias("stop")).where("start > 0")
+    reach = 31 * (months if longest is None else longest)
+    months, weeks = (x if isinstance(x, Column) else F.lit(x) for x in (months, ignore_weeks))
+    spans = F.broadcast(rebalances.select(*keys, "rebalance", F.add_months("rebalance", -months).alias("__a"), F.date_sub("rebalance", (7 * weeks).cast("int")).alias("__b")).where("__a <= __b"))
+    day, w = F.col("timeframe"), Window.partitionBy("symbol").orderBy("timeframe")
+    rows = candles.select("symbol", "timeframe", "close", F.lag(day).over(w).alias("__prev"), F.lead(day).over(w).alias("__next"))
+    first, last = F.date_sub(day, reach), F.date_add(day, reach)
+    opens = rows.withColumn("__a", F.explode(days_between(F.greatest(F.date_add("__prev", 1), first), day))).join(spans, "__a").where("timeframe <= __b")
+    closes = rows.withColumn("__b", F.explode(days_between(day, F.least(F.date_sub("__next", 1), last)))).join(spans, "__b").where("timeframe >= __a")
+    none = F.lit(None).cast("double")
+    ends = opens.select(*keys, "rebalance", "symbol", F.col("close").alias("start"), none.alias("stop")).union(closes.select(*keys, "rebalance", "symbol", none, "close"))
+    ends = ends.groupBy(*keys, "rebalance", "symbol").agg(F.max("start").alias("start"), F.max("stop").alias("stop")).where("start > 0")
     w = Window.partitionBy(*keys, "rebalance").orderBy(F.desc("momentum"), "symbol")
     return ends.withColumn("momentum", F.col("stop") / F.col("start") - 1).withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select(*keys, "rebalance", "symbol", "momentum", "place")
 
@@ -40,15 +52,15 @@ def allocate(choice: DataFrame, candles: DataFrame, keys: Sequence[str] = ()) ->
     return bought.select(*keys, "rebalance", "symbol", "price", (1.0 / n).alias("weight"))
 
 
-def equity_curve(allocation: DataFrame, rebalances: DataFrame, candles: DataFrame, start: float = 1000.0, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, timeframe, value) on every trading day from the first rebalance on.
+def equity_curve(allocation: DataFrame, rebalances: DataFrame, candles: DataFrame, start: float = 1000.0, keys: Sequence[str] = (), end: str | None = None) -> DataFrame:
+    """(keys, timeframe, value) on every trading day from the first rebalance on, before the day in column ``end``.
 
     Within a period the value grows by the weighted mean of price over bought price, a missing price
-    counting as 0; whole periods multiply. With nothing bought the value stays.
+    counting as 0; whole periods multiply. With nothing bought the value stays. ``end`` is a column of ``rebalances``.
     """
     calendar = candles.select("timeframe").distinct()
     order = Window.partitionBy(*keys).orderBy("rebalance")
-    periods = rebalances.withColumn("until", F.lead("rebalance").over(order))  # a calendar
+    periods = rebalances.withColumn("until", F.coalesce(F.lead("rebalance").over(order), F.col(end) if end else F.lit(None)))  # a calendar
     days = calendar.join(F.broadcast(periods), (F.col("timeframe") >= F.col("rebalance")) & (F.col("until").isNull() | (F.col("timeframe") <= F.col("until"))))
     held = days.join(allocation, [*keys, "rebalance"], "left")
     prices = candles.select("symbol", "timeframe", median_price(F.col("high"), F.col("low")).alias("now"))
@@ -74,22 +86,31 @@ def performance(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return out.select(*keys, F.when(flat, F.col("__s") * scale).alias("volatility"), F.when(flat, F.col("__m") / F.col("__s") * scale).alias("sharpe"), "max_drawdown", "days_under_water")
 
 
-def adaptive_choice(candles: DataFrame, optimisations: DataFrame, months: Sequence[int], weeks: Sequence[int], tops: Sequence[int]) -> DataFrame:
-    """(rebalance, months, weeks, top, sharpe): at each day, the combination that would have done best over the year before.
+def adaptive_choice(candles: DataFrame, optimisations: DataFrame, months: Sequence[int], weeks: Sequence[int], tops: Sequence[int], frequencies: Sequence[str] = ("monthly",)) -> DataFrame:
+    """(rebalance, months, weeks, top, frequency, sharpe): at each day, the combination that would have done best over the year before.
 
-    Each combination's curve runs over the trailing year with monthly rebalancing; of equal Sharpe ratios the
-    first combination wins; without any, the first of each list.
+    Each combination's curve runs over the trailing year. Combinations are keys of one plan: symbols are chosen
+    once for each day and lookback, whatever the numbers and years that use them. Of equal Sharpe ratios (to nine
+    digits) the first combination wins; without any, the first of each list.
     """
-    spark, out = candles.sparkSession, None
     days = optimisations.select(F.col("rebalance").alias("optimise"))
-    for i, (m, k, n) in enumerate(product(months, weeks, tops)):  # a short list of parameters, one plan each
-        firsts = candles.select("timeframe").distinct().groupBy(F.trunc("timeframe", "month").alias("p")).agg(F.min("timeframe").alias("rebalance")).select("rebalance")
-        spans = days.join(F.broadcast(firsts), (F.col("rebalance") >= F.add_months("optimise", -12)) & (F.col("rebalance") < F.col("optimise"))).select("optimise", "rebalance")
-        choice = momentum_choice(candles, spans, m, k, n, ["optimise"])
-        curve = equity_curve(allocate(choice, candles, ["optimise"]), spans, candles, keys=["optimise"]).where("timeframe < optimise")
-        own = performance(curve, ["optimise"]).select("optimise", F.lit(i).alias("combo"), F.lit(m).alias("months"), F.lit(k).alias("weeks"), F.lit(n).alias("top"), "sharpe")
-        out = own if out is None else out.unionByName(own)
-    w = Window.partitionBy("optimise").orderBy(F.desc_nulls_last("sharpe"), "combo")
-    best = out.where("sharpe is not null and not isnan(sharpe)").withColumn("n", F.row_number().over(w)).where("n = 1")
-    first = [F.coalesce(c, F.lit(v[0])).alias(c) for c, v in (("months", months), ("weeks", weeks), ("top", tops))]
+    trading = candles.select("timeframe").distinct()
+    firsts = reduce(DataFrame.union, [trading.groupBy(period_key(F.col("timeframe"), f).alias("p")).agg(F.min("timeframe").alias("rebalance")).select(F.lit(f).alias("frequency"), "rebalance") for f in frequencies])
+    looks = F.explode(F.array(*[F.struct(F.lit(m).alias("months"), F.lit(k).alias("weeks")) for m in months for k in weeks]))
+    places = F.explode(F.array(*[F.lit(n) for n in tops]))
+    in_year = (F.col("rebalance") >= F.add_months("optimise", -12)) & (F.col("rebalance") < F.col("optimise"))
+    spans = firsts.join(F.broadcast(days), in_year)  # calendars both
+    looked = spans.select("rebalance").distinct().select("rebalance", looks.alias("look")).select("rebalance", "look.*")
+    choice = momentum_choice(candles, looked, F.col("months"), F.col("weeks"), max(tops), ["months", "weeks"], max(months))
+    own = ["months", "weeks", "top"]
+    bought = allocate(choice.withColumn("top", places).where("place <= top"), candles, own)
+    keys = ["optimise", *own, "frequency"]
+    runs = spans.select("*", looks.alias("look")).select("optimise", "frequency", "rebalance", "look.*", places.alias("top"))
+    curve = equity_curve(bought.join(F.broadcast(runs), [*own, "rebalance"]), runs, candles, keys=keys, end="optimise")
+    tried = performance(curve, keys).where("sharpe is not null and not isnan(sharpe)")
+    lists = (("months", months), ("weeks", weeks), ("top", tops), ("frequency", frequencies))
+    nth = [F.array_position(F.array(*[F.lit(x) for x in v]), F.col(c)) for c, v in lists]
+    w = Window.partitionBy("optimise").orderBy(F.desc(quantised(F.col("sharpe"), 9)), *nth)
+    best = tried.withColumn("n", F.row_number().over(w)).where("n = 1")
+    first = [F.coalesce(c, F.lit(v[0])).alias(c) for c, v in lists]
     return days.join(best, "optimise", "left").select(F.col("optimise").alias("rebalance"), *first, "sharpe")

@@ -231,9 +231,7 @@ panel AS (SELECT k.window_end, k.symbol, m.week, coalesce(w.ret, m.day_mean) AS
 
 
 def weekly_returns(s, d):
-    origin = F.lit(date(1970, 1, 5))
-    fortnight = F.date_add(origin, (14 * F.floor(F.datediff("timeframe", origin) / 14)).cast("int"))
-    c = candles(s, d).groupBy("symbol", fortnight.alias("week")).agg(F.max_by("close", "timeframe").alias("close"))
+    c = candles(s, d).groupBy("symbol", fortnight("timeframe").alias("week")).agg(F.max_by("close", "timeframe").alias("close"))
     return c.select("symbol", "week", grid(F.ln(F.col("close") / F.lag("close").over(Window.partitionBy("symbol").orderBy("week"))), 6).alias("ret"))
 
 
@@ -472,11 +470,40 @@ def b5(s, d):
     return p.select("symbol", *[grid(F.col(c), 6).alias(c) for c in ("volatility", "sharpe", "max_drawdown")], "days_under_water")
 
 
-@query("B6_adaptive_choice")
+# fortnights, as a symbol of the test tables has a price in one of four days and a missing price counts as nothing
+_FORTNIGHTS = "fc AS (SELECT symbol, DATE '1970-01-05' + (14 * ((timeframe - DATE '1970-01-05') // 14))::INTEGER AS timeframe, max_by(close, timeframe) AS close, max(high) AS high, min(low) AS low FROM candles GROUP BY ALL)"
+_ADAPTIVE = f"""WITH {CANDLES}, {_FORTNIGHTS}, days AS (SELECT DISTINCT timeframe FROM fc),
+opt AS (SELECT min(timeframe) AS optimise FROM days WHERE timeframe >= ((SELECT min(timeframe) FROM days) + INTERVAL 18 MONTH)::DATE + 7 GROUP BY year(timeframe), quarter(timeframe)),
+firsts AS (SELECT 1 AS nth, 'weekly' AS frequency, min(timeframe) AS rebalance FROM days GROUP BY isoyear(timeframe), week(timeframe) UNION ALL SELECT 2, 'monthly', min(timeframe) FROM days GROUP BY year(timeframe), month(timeframe) UNION ALL SELECT 3, 'quarterly', min(timeframe) FROM days GROUP BY year(timeframe), quarter(timeframe)),
+spans AS (SELECT * FROM firsts JOIN opt ON rebalance >= (optimise - INTERVAL 12 MONTH)::DATE AND rebalance < optimise),
+looks AS (SELECT months, weeks FROM (VALUES (3), (9), (12)) m(months), (VALUES (2), (4)) w(weeks)), tops AS (SELECT top FROM (VALUES (10), (20), (30)) t(top)),
+looked AS (SELECT rebalance, months, weeks, (rebalance - months * INTERVAL 1 MONTH)::DATE AS a, rebalance - 7 * weeks AS b FROM (SELECT DISTINCT rebalance FROM spans), looks),
+ends AS (SELECT rebalance, months, weeks, symbol, min_by(close, timeframe) AS start, max_by(close, timeframe) AS stop FROM fc JOIN looked ON timeframe BETWEEN a AND b GROUP BY ALL HAVING min_by(close, timeframe) > 0),
+choice AS (SELECT *, row_number() OVER (PARTITION BY rebalance, months, weeks ORDER BY stop / start - 1 DESC, symbol) AS place FROM ends),
+alloc AS (SELECT rebalance, months, weeks, top, c.symbol, (high + low) / 2 AS price, 1.0::DOUBLE / count(*) OVER (PARTITION BY rebalance, months, weeks, top) AS weight FROM choice c JOIN tops ON place <= top JOIN fc k ON k.symbol = c.symbol AND k.timeframe = c.rebalance WHERE (high + low) / 2 > 0),
+periods AS (SELECT *, coalesce(lead(rebalance) OVER (PARTITION BY optimise, frequency ORDER BY rebalance), optimise) AS until FROM spans),
+runs AS (SELECT p.*, months, weeks, top FROM periods p, looks, tops),
+growth AS (SELECT r.optimise, r.nth, r.frequency, r.months, r.weeks, r.top, r.rebalance, r.until, d.timeframe, coalesce(sum(weight * coalesce((k.high + k.low) / 2, 0) / price), 1) AS growth
+  FROM runs r JOIN days d ON d.timeframe >= r.rebalance AND d.timeframe <= r.until LEFT JOIN alloc a ON a.rebalance = r.rebalance AND a.months = r.months AND a.weeks = r.weeks AND a.top = r.top LEFT JOIN fc k ON k.symbol = a.symbol AND k.timeframe = d.timeframe GROUP BY ALL),
+whole AS (SELECT *, coalesce(product(growth) OVER (PARTITION BY optimise, frequency, months, weeks, top ORDER BY rebalance ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS base FROM growth WHERE timeframe = until),
+curve AS (SELECT g.*, 1000 * base * g.growth AS value FROM growth g JOIN whole w USING (optimise, frequency, months, weeks, top, rebalance) WHERE g.timeframe < g.until),
+r AS (SELECT *, value / lag(value) OVER (PARTITION BY optimise, frequency, months, weeks, top ORDER BY timeframe) - 1 AS r FROM curve),
+tried AS (SELECT optimise, nth, frequency, months, weeks, top, CASE WHEN stddev_samp(r) <> 0 THEN avg(r) / stddev_samp(r) * sqrt(252) END AS sharpe FROM r GROUP BY ALL),
+best AS (SELECT * FROM tried WHERE sharpe IS NOT NULL QUALIFY row_number() OVER (PARTITION BY optimise ORDER BY floor(sharpe * 1e9 + 0.5) DESC, months, weeks, top, nth) = 1)
+SELECT optimise AS rebalance, coalesce(months, 3) AS months, coalesce(weeks, 2) AS weeks, coalesce(top, 10) AS top, coalesce(frequency, 'weekly') AS frequency, {sql_grid('sharpe', 6)} AS sharpe FROM opt LEFT JOIN best USING (optimise)"""
+
+
+def fortnight(day):
+    origin = F.lit(date(1970, 1, 5))
+    return F.date_add(origin, (14 * F.floor(F.datediff(day, origin) / 14)).cast("int"))
+
+
+@query("B6_adaptive_choice", _ADAPTIVE)
 def b6(s, d):
-    c = candles(s, d)
-    r = B.rebalance_days(c, "quarterly", 18, 1)
-    return B.adaptive_choice(c, r, [3, 6], [1], [3, 5])
+    c = candles(s, d).groupBy("symbol", fortnight("timeframe").alias("period")).agg(F.max_by("close", "timeframe").alias("close"), F.max("high").alias("high"), F.min("low").alias("low"))
+    c = c.withColumnRenamed("period", "timeframe")
+    best = B.adaptive_choice(c, B.rebalance_days(c, "quarterly", 18, 1), **B.ADAPTIVE_GRID)
+    return best.select("rebalance", "months", "weeks", "top", "frequency", grid(F.col("sharpe"), 6).alias("sharpe"))
 
 
 # --- visibility graphs: monthly windows in weekly steps over all days
