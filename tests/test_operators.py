@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quantloom.operators import checks as Q
+from quantloom.operators import labels as L
 from quantloom.operators import panel as V
 from quantloom.operators import portfolio as B
 from quantloom.operators import upsert as U
@@ -160,3 +161,81 @@ def test_stream_upserts_corrections(spark):
             batch.write.mode("append").parquet(source)
         upsert_stream(spark.readStream.schema(first.schema).parquet(source), target, ["k"], ["year"], marks).awaitTermination()
     assert {(r.k, r.v) for r in spark.read.parquet(target).collect()} == {(1, "a"), (2, "c")}
+
+
+def wavy_candles(spark, n=620, gaps=False):
+    rows = []
+    for s in range(4):
+        for t in range(n):
+            if not gaps or (t * 7 + s * 3) % 5:
+                price = 100 + 20 * math.sin(t / (15 + 9 * s) + s) + 0.03 * s * t
+                rows.append((s, date(2020, 1, 1) + timedelta(days=t), price, price + 1, price - 1))
+    return spark.createDataFrame(rows, "symbol int, timeframe date, close double, high double, low double")
+
+
+def test_momentum_meets_both_ends_of_each_window(spark):
+    candles = wavy_candles(spark, 300, gaps=True)
+    days = B.rebalance_days(candles, "monthly", 2, 1)
+    prices = {(r.symbol, r.timeframe): r.close for r in candles.collect()}
+    expected = {}
+    for (day,) in days.collect():
+        from_day = spark.sql(f"select add_months(date'{day}', -2)").first()[0]
+        for s in range(4):
+            inside = sorted(t for k, t in prices if k == s and from_day <= t <= day - timedelta(days=21))
+            if inside:
+                expected[day, s] = prices[s, inside[-1]] / prices[s, inside[0]] - 1
+    got = B.momentum_choice(candles, days, 2, 3, 10).collect()
+    assert {(r.rebalance, r.symbol) for r in got} == set(expected)
+    assert all(r.momentum == pytest.approx(expected[r.rebalance, r.symbol]) for r in got)
+    assert B.momentum_choice(candles.limit(0), days).count() == 0
+
+
+def test_adaptive_choice_is_the_best_single_curve(spark):
+    candles = wavy_candles(spark).cache()
+    day = date(2021, 7, 1)
+    optimise = spark.createDataFrame([(day,)], "rebalance date")
+    tried = {}
+    for months in (2, 3):
+        for frequency in ("monthly", "quarterly"):
+            firsts = B.rebalance_days(candles, frequency, 0, 0).where(F.col("rebalance").between(F.lit(date(2020, 7, 1)), F.lit(day - timedelta(days=1))))
+            curve = B.equity_curve(B.allocate(B.momentum_choice(candles, firsts, months, 1, 2), candles), firsts, candles)
+            tried[months, frequency] = B.performance(curve.where(F.col("timeframe") < F.lit(day))).first().sharpe
+    best = max(tried, key=tried.get)
+    got = B.adaptive_choice(candles, optimise, [2, 3], [1], [2], ["monthly", "quarterly"]).collect()
+    assert [(r.rebalance, r.months, r.weeks, r.top, r.frequency) for r in got] == [(day, best[0], 1, 2, best[1])]
+    assert got[0].sharpe == pytest.approx(tried[best])
+    early = B.adaptive_choice(candles, spark.createDataFrame([(date(2019, 1, 1),)], "rebalance date"), [2, 3], [1], [2]).first()
+    assert (early.months, early.weeks, early.top, early.frequency, early.sharpe) == (2, 1, 2, "monthly", None)
+
+
+def test_lasso_of_orthogonal_features_shrinks_each_by_alpha(spark):
+    rows = [(float(a), float(b), 3.0 * a + 0.2 * b) for a in (-1, 1) for b in (-1, 1)] * 200
+    got = L.lasso_weights(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"], "y", 1.0).collect()
+    assert [r.feature for r in got] == ["a", "b"]
+    assert got[0].weight == pytest.approx(2, abs=0.02) and got[1].weight == pytest.approx(0, abs=1e-6)
+
+
+def test_tree_grid_tells_deep_from_shallow(spark):
+    rows = spark.createDataFrame([(float(a), float(b), "yes" if a != b else "no") for a in (0, 1) for b in (0, 1) for _ in range(10 + 5 * a)], "a double, b double, y string")
+    got = L.tree_grid(rows, rows, ["a", "b"], "y", {"maxDepth": [0, 2]}).collect()
+    assert [r.parameters for r in got] == ["{'maxDepth': 0}", "{'maxDepth': 2}"]
+    assert got[0].accuracy == pytest.approx(0.5) and got[1].accuracy == 1 and got[1].macro_f1 == 1
+
+
+def test_adjacent_cosine_needs_the_period_just_before(spark):
+    rows = [("a", 1, [1.0, 0.0]), ("a", 2, [0.0, 2.0]), ("a", 3, [0.0, 1.0]), ("b", 1, [1.0, 1.0]), ("b", 3, [1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "symbol string, window_end int, embedding array<double>")
+    got = {(r.symbol, r.window_end, r.before): r.cosine for r in V.adjacent_cosine(vectors).collect()}
+    assert got == {("a", 2, 1): pytest.approx(0), ("a", 3, 2): pytest.approx(1)}
+
+
+def test_joint_graph_table_of_a_triangle_and_a_path(spark):
+    day = date(2020, 1, 31)
+    rows = [(day, s, day - timedelta(days=9 - i), y) for s, values in ((1, [3.0, 1.0, 3.0]), (2, [1.0, 3.0, 1.0])) for i, y in enumerate(values)]
+    points = G.graph_points(spark.createDataFrame(rows, "window_end date, symbol long, timeframe date, open double"))
+    got = {r.symbol: r for r in G.visibility_measures(points, G.visibility_edges(points)).collect()}
+    triangle, path = got[1], got[2]
+    assert (triangle.density, triangle.mean_degree, triangle.clustering, triangle.mean_path, triangle.mean_betweenness) == pytest.approx((1, 2, 1, 1, 0))
+    assert triangle.assortativity is None and triangle.exponent is None  # all degrees are equal
+    assert (path.density, path.mean_degree, path.clustering, path.mean_path, path.mean_betweenness) == pytest.approx((2 / 3, 4 / 3, 0, 4 / 3, 1 / 3))
+    assert path.assortativity == pytest.approx(-1) and path.exponent == pytest.approx(1)  # degree 1 twice, degree 2 once
