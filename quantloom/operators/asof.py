@@ -7,23 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import HOT_ROWS, running_states
 
-def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str, keep: Sequence[str], each: bool = False) -> DataFrame:
+
+def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str, keep: Sequence[str], each: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Each left row with the columns ``keep`` of the latest right row of its key at or before its time, null if there is none.
 
     Both sides are merged by key and time and the last right row is carried forward, so a key's right
     rows are never multiplied with its left rows. Right keys should be unique per time; of several, the
     greatest values of ``keep`` win. With ``each``, every column goes on with its own latest value that is not null.
+    A key with more than ``hot_rows`` rows is cut into blocks of time.
     """
     packed = F.struct(*[F.col(c) for c in keep])
     here = left.select(*by, F.col(left_on).alias("__t"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).cast(right.select(packed.alias("x")).schema["x"].dataType).alias("__found"))
     there = right.select(*by, F.col(right_on).alias("__t"), F.lit(0).alias("__side"), F.lit(None).cast(here.schema["__row"].dataType).alias("__row"), packed.alias("__found")).where(F.col("__t").isNotNull())
-    w = Window.partitionBy(*by).orderBy("__t", "__side", "__found").rowsBetween(Window.unboundedPreceding, 0)
-    met = here.union(there)
-    carried = F.struct(*[F.last(f"__found.{c}", ignorenulls=True).over(w).alias(c) for c in keep]) if each else F.last("__found", ignorenulls=True).over(w)
-    met = met.withColumn("__found", carried).where("__side = 1")
+    states = {f"__k_{c}": ("last", F.col(f"__found.{c}")) for c in keep} if each else {"__found_": ("last", F.col("__found"))}
+    met = running_states(here.union(there), by, ["__t", "__side", "__found"], states, hot_rows).where("__side = 1")
+    found = (lambda c: F.col(f"__k_{c}")) if each else (lambda c: F.col(f"__found_.{c}"))
     lost = F.col("__t").isNull() | reduce_any_null(by)
-    return met.select("__row.*", *[F.when(~lost, F.col(f"__found.{c}")).alias(c) for c in keep])
+    return met.select("__row.*", *[F.when(~lost, found(c)).alias(c) for c in keep])
 
 
 def reduce_any_null(names: Sequence[str]):

@@ -7,7 +7,8 @@ matrices of a window's days or of an embedding's dimensions, whatever the number
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -206,6 +207,68 @@ def factor_loadings(rows: DataFrame, keys: tuple[str, ...] = ("window_end", "sym
     return moments.withColumn("b", fit).select(*keys, F.col("b")[0].alias("alpha"), *[F.col("b")[i + 1].alias(f"beta_{c}") for i, c in enumerate(FACTORS)], "n")
 
 
+def _whole_windows(first: date | None, last: date | None, months: int, step_months: int) -> int:
+    """How many windows ``all_window_ends`` has."""
+    if first is None or last is None:
+        return 0
+    after = last + timedelta(days=1)
+    passed = (after.year - first.year) * 12 + after.month - first.month
+    return max(0, (passed - months) // step_months + 1)
+
+
+def rolling_loadings(rows: DataFrame, factors: DataFrame, day: str, first: date | None, last: date | None, months: int = 36, step_months: int = 3, max_missing: float = MIN_MISSING) -> DataFrame:
+    """(window_end, symbol, alpha, betas, n): loadings of every window as by ``complete_panel`` and ``factor_loadings``,
+    from sums over blocks of ``step_months`` that are taken once and added up, not from a copy of the rows for each window.
+
+    ``rows(symbol, day, excess)`` and ``factors`` by day; the windows are those of ``all_window_ends`` over the days from
+    ``first`` to ``last``. A missing day of a symbol is filled by the day's mean over all symbols, so the design is the
+    same for all symbols of a window, and a symbol's own sums need only its distances from the means, where it has values:
+    a filled day adds nothing. Null and infinite values are missing; of several on a day the greatest counts.
+    Days, blocks and windows are few, whatever the number of symbols; a symbol moves one row of five sums a block.
+    """
+    if months % step_months:
+        raise ValueError(f"{step_months} months don't divide a window of {months}")
+    width, windows = months // step_months, _whole_windows(first, last, months, step_months)
+    begin = (first or date(1970, 1, 1)).replace(day=1)
+    month = (F.year(day) - begin.year) * 12 + F.month(day) - begin.month
+    one = rows.groupBy("symbol", day).agg(F.max(F.when(is_finite(F.col("excess")), F.col("excess"))).alias("v"))
+    x = [F.lit(1.0), *[F.col(c) for c in FACTORS]]
+    met = factors.select(day, *FACTORS).where(" and ".join(f"{c} is not null" for c in FACTORS))
+    days = one.groupBy(day).agg(F.avg("v").alias("mean")).join(met, day, "left").withColumn("used", F.col("mean").isNotNull() & F.col(FACTORS[0]).isNotNull())
+    days = days.withColumn("block", F.floor(month / step_months).cast("long"))
+
+    pairs = [(i, j) for i in range(4) for j in range(i, 4)]
+    when_used = lambda c: F.sum(F.when(F.col("used"), c))
+    sums = [when_used(x[i] * x[j]).alias(f"m{i}{j}") for i, j in pairs] + [when_used(x[i] * F.col("mean")).alias(f"y{i}") for i in range(4)]
+    by_block = days.groupBy("block").agg(F.count(F.lit(1)).alias("n_days"), F.count_if("used").alias("n"), *sums)
+    ends = by_block.withColumn("end", F.explode(F.sequence("block", F.col("block") + width - 1)))
+    design = ends.groupBy("end").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in by_block.columns[1:]]).where(F.col("end").between(width - 1, width - 2 + windows))
+
+    @F.pandas_udf("array<double>")
+    def inverse(m: pd.Series) -> pd.Series:
+        upper, out = np.triu_indices(4), []
+        for a in m:
+            g = np.zeros((4, 4))
+            g[upper] = a
+            out.append(np.linalg.pinv(g + np.triu(g, 1).T, hermitian=True).reshape(-1).tolist())
+        return pd.Series(out)
+
+    design = design.select("end", "n_days", "n", *[f"y{i}" for i in range(4)], inverse(F.array(*[f"m{i}{j}" for i, j in pairs])).alias("p"))  # a row a window
+
+    apart = F.col("v") - F.col("mean")
+    own = one.join(F.broadcast(days), day).groupBy("symbol", "block").agg(F.count("v").alias("valid"), *[F.coalesce(when_used(x[i] * apart), F.lit(0.0)).alias(f"d{i}") for i in range(4)])
+    by_symbol = Window.partitionBy("symbol").orderBy("block")
+    until = F.least(F.coalesce(F.lead("block").over(by_symbol) - 1, F.col("block") + width - 1), F.col("block") + width - 1)
+    here = own.withColumn("until", until).withColumn("end", F.explode(F.sequence("block", "until")))  # windows may end in blocks that a symbol lacks
+    held = lambda c, zero: F.when(F.col("end") == F.col("block"), F.col(c)).otherwise(zero)
+    last_blocks = Window.partitionBy("symbol").orderBy("end").rangeBetween(-(width - 1), 0)
+    rolled = here.select("symbol", "end", F.sum(held("valid", 0)).over(last_blocks).alias("valid"), *[F.sum(held(f"d{i}", 0.0)).over(last_blocks).alias(f"d{i}") for i in range(4)])
+    both = rolled.join(F.broadcast(design), "end").where((F.col("n") > 0) & (1 - F.col("valid") / F.col("n_days") <= max_missing))
+    fit = [reduce(lambda a, b: a + b, [F.col("p")[4 * i + k] * (F.col(f"y{k}") + F.col(f"d{k}")) for k in range(4)]) for i in range(4)]
+    window_end = F.add_months(F.lit(begin), ((F.col("end") + 1) * step_months).cast("int"))
+    return both.select(window_end.alias("window_end"), "symbol", fit[0].alias("alpha"), *[fit[i + 1].alias(f"beta_{c}") for i, c in enumerate(FACTORS)], "n")
+
+
 def adjacent_cosine(vectors: DataFrame, column: str = "embedding", key: str = "symbol", period: str = "window_end") -> DataFrame:
     """(key, period, before, cosine) of each vector with the one of the period just before it; a key that skips a period has no pair."""
     periods = vectors.select(period).distinct()

@@ -12,8 +12,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import safe_corr
-
 KEYS = ("window_end", "symbol")
 
 
@@ -56,9 +54,11 @@ def clustering(edges: DataFrame) -> DataFrame:
 
 
 def assortativity(edges: DataFrame) -> DataFrame:
+    """Correlation of the degrees at an edge's ends, from whole sums with one division; null where all degrees are equal."""
     k = degrees(edges)
     ends = both_ways(edges).join(k.withColumnRenamed("k", "ku"), [*KEYS, "u"]).join(k.select(*KEYS, F.col("u").alias("v"), F.col("k").alias("kv")), [*KEYS, "v"])
-    return ends.groupBy(*KEYS).agg(safe_corr("ku", "kv").alias("assortativity"))
+    sums = ends.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr("ku * kv")).alias("uv"), F.sum("ku").alias("s"), F.sum(F.expr("ku * ku")).alias("uu"))
+    return sums.select(*KEYS, F.expr("CASE WHEN n * uu > s * s THEN (n * uv - s * s) / (n * uu - s * s) END").alias("assortativity"))
 
 
 def power_law(edges: DataFrame) -> DataFrame:

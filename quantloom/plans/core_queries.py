@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as E
 from ..operators import upsert as U
 from ..operators.asof import asof_backward, pad_daily, valid_ranges
+from ..operators.ordered import running_states
 from ..sources import panels as P
 from . import tables as T
 from .registry import AS_OF, CANDLES, EVENT_CANDLES, FILINGS, IMPLIED, RETURNS, grid, padded_sql, query, ranges_sql, sql_grid, with_stocks
@@ -369,19 +370,28 @@ _win("W1_lag", "lag(close, 5) OVER w", lambda w: F.lag("close", 5).over(w))
 _win("W2_lead", "lead(open, 3) OVER w", lambda w: F.lead("open", 3).over(w))
 _win("W3_I4_rolling_mean", "avg(open) OVER (w ROWS 19 PRECEDING)", lambda w: E.rolling_avg(F.col("open"), w, 20), 4)
 _win("W4_I5_rolling_std", "stddev_samp(log_return_1d) OVER (w ROWS 19 PRECEDING)", lambda w: E.volatility(F.col("log_return_1d"), w, 20), 6)
-_win("W7_cumulative_sum", "sum(volume) OVER (w ROWS UNBOUNDED PRECEDING)", lambda w: F.sum("volume").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-_win("W8_cumulative_max", "max(close) OVER (w ROWS UNBOUNDED PRECEDING)", lambda w: F.max("close").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 _win("W10_pct_change", "close / lag(close) OVER w - 1", lambda w: E.ieee_div(F.col("close"), F.lag("close").over(w)) - 1)
 _win("I1_log_return", "CASE WHEN close > 0 AND lag(close) OVER w > 0 THEN ln(close / lag(close) OVER w) END", lambda w: E.log_return(F.col("close"), F.lag("close").over(w)), 6)
 _win("I2_arithmetic_return", "CASE WHEN lag(close, 5) OVER w <> 0 THEN (close - lag(close, 5) OVER w) / lag(close, 5) OVER w END", lambda w: E.arithmetic_return(F.col("close"), F.lag("close", 5).over(w)))
 _win("I8_median_price", "(high + low) / 2", lambda w: E.median_price(F.col("high"), F.col("low")))
 
 
+def _state(name, sql, kind, column):
+    def run(s, d):
+        return running_states(candles(s, d), ["symbol"], ["timeframe"], {"x": (kind, F.col(column))}).select("symbol", "timeframe", "x")
+
+    query(name, f"WITH {CANDLES} SELECT symbol, timeframe, {sql} OVER (PARTITION BY symbol ORDER BY timeframe ROWS UNBOUNDED PRECEDING) AS x FROM candles")(run)
+
+
+_state("W7_cumulative_sum", "sum(volume)", "sum", "volume")
+_state("W8_cumulative_max", "max(close)", "max", "close")
+
+
 @query("W9_last_peak", f"WITH {CANDLES}, a AS (SELECT *, max(close) OVER (PARTITION BY symbol ORDER BY timeframe ROWS UNBOUNDED PRECEDING) AS peak FROM candles) SELECT symbol, timeframe, last_value(CASE WHEN close = peak THEN timeframe END IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY timeframe ROWS UNBOUNDED PRECEDING) AS peak_day FROM a")
 def w9(s, d):
-    w = Window.partitionBy("symbol").orderBy("timeframe").rowsBetween(Window.unboundedPreceding, 0)
-    c = candles(s, d).withColumn("peak", F.max("close").over(w))
-    return c.select("symbol", "timeframe", F.last(F.when(F.col("close") == F.col("peak"), F.col("timeframe")), ignorenulls=True).over(w).alias("peak_day"))
+    c = running_states(candles(s, d), ["symbol"], ["timeframe"], {"peak": ("max", F.col("close"))})
+    peak = F.when(F.col("close") == F.col("peak"), F.col("timeframe"))
+    return running_states(c, ["symbol"], ["timeframe"], {"peak_day": ("last", peak)}).select("symbol", "timeframe", "peak_day")
 
 
 @query("W5_T3_rank_per_day", f"WITH {CANDLES} SELECT timeframe, symbol, row_number() OVER (PARTITION BY timeframe ORDER BY volume DESC, symbol)::INTEGER AS rank FROM candles QUALIFY rank <= 5")

@@ -42,8 +42,8 @@ factors AS (SELECT timeframe, {sql_grid('avg(log_return_1d)')} AS mkt_rf,
   {sql_grid('coalesce(avg(log_return_1d) FILTER (s_acctbal > 0), 0) - coalesce(avg(log_return_1d) FILTER (NOT s_acctbal > 0), 0)')} AS hml, 0.0001::DOUBLE AS rf FROM r GROUP BY timeframe)"""
 
 
-def factor_table(s, d):
-    f = P.factors(s, d, returns(s, d))
+def factor_table(s, d, r=None):
+    f = P.factors(s, d, returns(s, d) if r is None else r)
     return f.select("timeframe", *[grid(F.col(c)).alias(c) for c in ("mkt_rf", "smb", "hml")], "rf")
 
 
@@ -287,10 +287,11 @@ def q22(s, d):
     return V.adjacent_cosine(v6(s, d), "aligned").where("cosine < 0.5")
 
 
-@query("V8_excess_returns", _FACTOR_SQL + f" SELECT symbol, timeframe, mkt_rf / 100 AS mkt_rf, smb / 100 AS smb, hml / 100 AS hml, rf / 100 AS rf, {sql_grid('log_return_1d - rf / 100', 6)} AS excess FROM returns JOIN factors USING (timeframe)")
+@query("V8_excess_returns", _FACTOR_SQL.replace("returns AS (", "returns AS MATERIALIZED (").replace("factors AS (", "factors AS MATERIALIZED (") + f" SELECT symbol, timeframe, mkt_rf / 100 AS mkt_rf, smb / 100 AS smb, hml / 100 AS hml, rf / 100 AS rf, {sql_grid('log_return_1d - rf / 100', 6)} AS excess FROM returns JOIN factors USING (timeframe)")
 def v8(s, d):
-    scaled = factor_table(s, d)
-    rows = V.excess_returns(returns(s, d), scaled.select("timeframe", *[(F.col(c) / 100).alias(c) for c in ("mkt_rf", "smb", "hml", "rf")]))
+    r = W.written(returns(s, d).select("symbol", "timeframe", "log_return_1d"), "returns")
+    percent = W.written(factor_table(s, d, r).select("timeframe", *[(F.col(c) / 100).alias(c) for c in (*V.FACTORS, "rf")]), "daily_factors")  # a row a day
+    rows = V.excess_returns(r, percent)
     return rows.select("symbol", "timeframe", "mkt_rf", "smb", "hml", "rf", grid(F.col("excess"), 6).alias("excess"))
 
 
@@ -318,13 +319,12 @@ SELECT window_end, symbol, {sql_grid('my - beta_mkt_rf * m1 - beta_smb * m2 - be
 
 
 def loadings(s, d):
-    factors = factor_table(s, d).groupBy(F.trunc("timeframe", "month").alias("timeframe")).agg(*[F.sum(c).alias(c) for c in (*V.FACTORS, "rf")])
-    factors = W.written(factors, "monthly_factors")  # a row a month
-    r = returns(s, d)
-    months = r.groupBy("symbol", F.trunc("timeframe", "month").alias("timeframe")).agg(F.sum("log_return_1d").alias("log_return_1d"))
-    rows = V.excess_returns(months, factors).select("symbol", "timeframe", "excess")
-    windowed = V.assign_windows(rows, "timeframe", V.all_window_ends(r, "timeframe", 3, 36), 36)
-    return V.factor_loadings(V.complete_panel(windowed, "timeframe", "excess").join(F.broadcast(factors), "timeframe"))
+    r = W.written(returns(s, d).select("symbol", "timeframe", "log_return_1d"), "returns")
+    month = F.trunc("timeframe", "month").alias("timeframe")
+    factors = W.written(factor_table(s, d, r).groupBy(month).agg(*[F.sum(c).alias(c) for c in (*V.FACTORS, "rf")]), "monthly_factors")  # a row a month
+    months = r.groupBy("symbol", month).agg(F.sum("log_return_1d").alias("log_return_1d"))
+    first, last = V.span(r, "timeframe")
+    return V.rolling_loadings(V.excess_returns(months, factors), factors, "timeframe", first, last)
 
 
 @query("V9_M14_factor_loadings", _LOADINGS)
@@ -543,7 +543,7 @@ def g4(s, d):
     return G.clustering(graph(s, d)[1]).select("window_end", "symbol", grid(F.col("clustering"), 6).alias("clustering"))
 
 
-@query("G5_assortativity", f"WITH {_POINTS}, e AS (SELECT t.window_end, t.symbol, a.k AS ku, b.k AS kv FROM ties t JOIN deg a ON a.window_end = t.window_end AND a.symbol = t.symbol AND a.u = t.u JOIN deg b ON b.window_end = t.window_end AND b.symbol = t.symbol AND b.u = t.v) SELECT window_end, symbol, {sql_grid('CASE WHEN stddev_pop(ku) > 1e-9 THEN corr(ku, kv) END', 6)} AS assortativity FROM e GROUP BY ALL")
+@query("G5_assortativity", f"WITH {_POINTS}, e AS (SELECT t.window_end, t.symbol, a.k AS ku, b.k AS kv FROM ties t JOIN deg a ON a.window_end = t.window_end AND a.symbol = t.symbol AND a.u = t.u JOIN deg b ON b.window_end = t.window_end AND b.symbol = t.symbol AND b.u = t.v) SELECT window_end, symbol, {sql_grid('CASE WHEN n * uu > s * s THEN (n * uv - s * s)::DOUBLE / (n * uu - s * s)::DOUBLE END', 6)} AS assortativity FROM (SELECT window_end, symbol, count(*) AS n, sum(ku * kv) AS uv, sum(ku) AS s, sum(ku * ku) AS uu FROM e GROUP BY ALL)")
 def g5(s, d):
     return G.assortativity(graph(s, d)[1]).select("window_end", "symbol", grid(F.col("assortativity"), 6).alias("assortativity"))
 

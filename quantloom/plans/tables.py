@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expr as E
 from ..operators.asof import asof_backward, pad_daily, valid_ranges
+from ..operators.ordered import HOT_ROWS, trailing_windows
 
 # fixed values: rows that each named lookback goes back, and the largest ranks of the two universes
 LOOKBACKS = (1, 5, 14, 20, 30, 62, 126, 252)
@@ -18,44 +22,100 @@ OVERBOUGHT, OVERSOLD = 70, 30
 ODD_NAMES = {"open_rolling_1d": "open_rolling_1_steps_1d", "volatility_1d": "volatility_1_steps_1d", "sharpe_1d": "sharpe_1_steps_1d"}
 
 
-def candles_daily(candles: DataFrame) -> DataFrame:
+def candles_daily(candles: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Candles with returns, rolling opens, volatilities, Sharpe ratios and relative strengths of all lookbacks.
 
-    One exchange and one sort by symbol serve every window. A lookback is the difference of two running
-    sums, so a row costs as much with 252 rows back as with one; sums are decimals, so no digits are lost.
-    Prices from 10**13 on and NaN count as missing in rolling means.
+    One exchange and one sort by symbol serve every window; a symbol with more than ``hot_rows`` rows is cut into
+    blocks of days. A group's lookbacks are taken over numpy views, as window functions would go through all rows of a
+    frame for each row, and differences of running sums lose digits. Prices of any size, NaN and infinities count as they
+    are, in the windows that hold them; a null open is left out of rolling means.
     """
-    w = Window.partitionBy("symbol").orderBy("timeframe")
     base = candles.select("symbol", "timeframe", F.year("timeframe").alias("year"), F.month("timeframe").alias("month"), "open", "close", "high", "low", "volume")
-    lags = {f"__lag{n}": F.lag("close", n).over(w) for n in LOOKBACKS}
-    df = base.withColumns(lags)
-    df = df.withColumns({f"__log{n}": E.log_return(F.col("close"), F.col(f"__lag{n}")) for n in LOOKBACKS} | {f"__ret{n}": E.arithmetic_return(F.col("close"), F.col(f"__lag{n}")) for n in LOOKBACKS} | {"__diff": F.col("close") - F.col("__lag1")})
-    ret, diff = F.col("__log1"), F.col("__diff")
-    df = df.withColumns({
-        **E.running("open", F.col("open"), w),
-        **E.running("ret", ret, w),
-        **E.running("square", ret * ret, w),
-        **E.running("gain", F.when(diff > 0, diff).otherwise(0.0), w),
-        **E.running("loss", F.when(diff < 0, -diff).otherwise(0.0), w),
-    })
-    rolled = {}
+    return trailing_windows(base, ["symbol"], ["timeframe"], max(LOOKBACKS), _indicators, hot_rows)
+
+
+def _trailing(x: np.ndarray, n: int) -> np.ndarray:
+    """A row for each entry with the n entries up to it, NaN before the first; a view."""
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(n - 1, np.nan), x]), n)
+
+
+def _count(there: np.ndarray, n: int) -> np.ndarray:
+    """How many of the last n entries are there."""
+    total = np.concatenate([np.zeros(n, int), np.cumsum(there)])
+    return total[n:] - total[: len(there)]
+
+
+def _rolled(x: np.ndarray, there: np.ndarray, n: int, spread: bool = False) -> np.ndarray:
+    """Mean, or sample deviation, of the last n entries that are there; NaN without enough. Each window is summed on its own, in
+    slices, so no value matters outside its windows and equal values have a deviation of exactly 0."""
+    out = np.full(len(x), np.nan)
+    step = max(1, (1 << 18) // n)
+    values, held = _trailing(np.where(there, x, 0.0), n), _trailing(there.astype(float), n)
+    for i in range(0, len(x), step):
+        v, h = values[i : i + step], held[i : i + step] == 1
+        k = h.sum(axis=1)
+        mean = np.where(h, v, 0.0).sum(axis=1) / np.maximum(k, 1)
+        if spread:
+            first = np.where(h, v, -np.inf).max(axis=1)
+            even = (np.where(h, v, np.inf).min(axis=1) == first)[:, None]
+            square = np.where(h & ~even, v - mean[:, None], 0.0) ** 2
+            out[i : i + step] = np.where(k > 1, np.sqrt(square.sum(axis=1) / np.maximum(k - 1, 1)), np.nan)
+        else:
+            out[i : i + step] = np.where(k > 0, mean, np.nan)
+    return out
+
+
+def _measures(frame: pd.DataFrame) -> dict[str, np.ndarray]:
+    """Lagged returns and rolling measures of one group in order; nulls are masked by ``__no_`` columns of the same names."""
+    opens, close = (frame[c].to_numpy(float) for c in ("open", "close"))
+    known, has_close = ~frame["no_open"].to_numpy(), ~frame["no_close"].to_numpy()
+    out: dict[str, np.ndarray] = {}
+    lagged = {}
+    for n in LOOKBACKS:
+        base, both = np.full(len(close), np.nan), np.zeros(len(close), bool)
+        base[n:], both[n:] = close[:-n], has_close[n:] & has_close[:-n]
+        positive = both & ~(close <= 0) & ~(base <= 0)  # NaN stands above all numbers
+        lagged[n] = np.log(close / base), positive
+        out[f"log{n}"], out[f"no_log{n}"] = lagged[n][0], ~positive
+        out[f"ret{n}"], out[f"no_ret{n}"] = (close - base) / base, ~both | (base == 0)
+        if n == 1:
+            move = np.where(both, close - base, 0.0)
+    gain, loss, all_rows = np.where(move <= 0, 0.0, move), np.where(move < 0, -move, 0.0), np.ones(len(close), bool)
     for n in LOOKBACKS:
-        opens, gain, loss = (E.trailing(name, w, n) for name in ("open", "gain", "loss"))
-        rolled |= {f"__open{n}": E.trailing_mean(opens), f"__vol{n}": E.trailing_deviation(E.trailing("ret", w, n), E.trailing("square", w, n)), f"__rsi{n}": E.strength(E.trailing_mean(gain), E.trailing_mean(loss))}
-    df = df.withColumns(rolled)
-    out = [F.col(c) for c in base.columns]
+        out[f"open{n}"], out[f"no_open{n}"] = _rolled(opens, known, n), _count(known, n) < 1
+        out[f"vol{n}"], out[f"no_vol{n}"] = _rolled(*lagged[1], n, True), _count(lagged[1][1], n) < 2
+        out[f"rsi{n}"] = 100 - 100 / (1 + _rolled(gain, all_rows, n) / _rolled(loss, all_rows, n))
+    return out
+
+
+def _indicators(base: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    found = [f"{p}{k}{n}" for n in LOOKBACKS for k in ("log", "ret", "open", "vol") for p in ("", "no_")] + [f"rsi{n}" for n in LOOKBACKS]
+    marked = base.withColumns({f"no_{c}": F.col(c).isNull() for c in ("open", "close")})
+    types = {f"__{c}": "boolean" if c.startswith("no_") else "double" for c in found}
+    schema = T.StructType(marked.schema.fields + [T.StructField(k, T.BooleanType() if v == "boolean" else T.DoubleType()) for k, v in types.items()])
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(order, kind="stable", ignore_index=True)
+        with np.errstate(all="ignore"):
+            return pd.concat([f, pd.DataFrame({f"__{k}": v for k, v in _measures(f).items()})], axis=1)[schema.names]
+
+    df = marked.groupBy(*keys).applyInPandas(run, schema)
+    number = lambda c: F.coalesce(F.col(f"__{c}"), F.lit(float("nan")))  # noqa: E731  NaN comes back from pandas as null
+    value = lambda c: F.when(~F.col(f"__no_{c}"), number(c))
+    out = [F.col(c) for c in base.columns if not c.startswith("__")]
     for name, n in NAMED.items():
         own = {
-            f"log_return_{name}": F.col(f"__log{n}"),
-            f"return_{name}": F.col(f"__ret{n}"),
-            f"open_rolling_{name}": F.col(f"__open{n}"),
-            f"volatility_{name}": F.col(f"__vol{n}"),
-            f"sharpe_{name}": E.sharpe_ratio(F.col(f"__ret{n}"), F.col(f"__vol{n}")),
-            f"rsi_{name}": F.col(f"__rsi{n}"),
+            f"log_return_{name}": value(f"log{n}"),
+            f"return_{name}": value(f"ret{n}"),
+            f"open_rolling_{name}": value(f"open{n}"),
+            f"volatility_{name}": value(f"vol{n}"),
+            f"sharpe_{name}": E.sharpe_ratio(value(f"ret{n}"), value(f"vol{n}")),
+            f"rsi_{name}": number(f"rsi{n}"),
         }
         out += [c.alias(ODD_NAMES.get(k, k)) for k, c in own.items()]
-    rsi = F.col("__rsi14")
-    return df.select(*out, rsi.alias("rsi"), (rsi > OVERBOUGHT).alias("overbought"), (rsi < OVERSOLD).alias("oversold"))
+    rsi = number("rsi14")
+    extra = [c for c in base.columns if c.startswith("__")]  # the blocks of hot symbols
+    return df.select(*out, rsi.alias("rsi"), (rsi > OVERBOUGHT).alias("overbought"), (rsi < OVERSOLD).alias("oversold"), *extra)
 
 
 def implied_float_shares(filings: DataFrame, candles: DataFrame) -> DataFrame:
