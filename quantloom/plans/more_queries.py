@@ -573,6 +573,7 @@ def m15b(s, d):
 # --- streams
 @query("R1_incremental_upsert", "SELECT o_orderkey, o_orderstatus, year(o_orderdate)::INTEGER AS year FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderstatus DESC) = 1")
 def r1(s, d):
+    from ..operators.upsert import read_table
     from ..streaming.candles import upsert_stream
 
     rows = P.table(s, d, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
@@ -582,4 +583,4 @@ def r1(s, d):
     upsert_stream(stream(), target, ["o_orderkey"], ["year"], marks).awaitTermination()
     rows.write.mode("append").parquet(source)  # late corrections win
     upsert_stream(stream(), target, ["o_orderkey"], ["year"], marks).awaitTermination()
-    return s.read.parquet(target).select("o_orderkey", "o_orderstatus", "year")
+    return read_table(s, target).select("o_orderkey", "o_orderstatus", "year")

@@ -33,7 +33,7 @@ def test_upsert(spark):
     path = W.new_path(spark, "upsert")
     for batch in (a, b, b):
         U.upsert_partitions(batch, path, ["date", "ticker"], ["year", "month"])
-    assert {(r.date, r.close) for r in spark.read.parquet(path).collect()} == merged
+    assert {(r.date, r.close) for r in U.read_table(spark, path).collect()} == merged
     with pytest.raises(ValueError):
         U.upsert_partitions(a.drop("month"), path, ["date", "ticker"], ["year", "month"])
 
@@ -160,7 +160,7 @@ def test_stream_upserts_corrections(spark):
         if batch is not None:
             batch.write.mode("append").parquet(source)
         upsert_stream(spark.readStream.schema(first.schema).parquet(source), target, ["k"], ["year"], marks).awaitTermination()
-    assert {(r.k, r.v) for r in spark.read.parquet(target).collect()} == {(1, "a"), (2, "c")}
+    assert {(r.k, r.v) for r in U.read_table(spark, target).collect()} == {(1, "a"), (2, "c")}
 
 
 def wavy_candles(spark, n=620, gaps=False):

@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quantloom.plans import core_queries, more_queries, registry  # noqa: F401
+from quantloom.plans import core_queries, more_queries, registry, table_checks  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="the tables are not here")
