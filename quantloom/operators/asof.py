@@ -52,3 +52,18 @@ def pad_daily(ranges: DataFrame, day: str = "reference_date") -> DataFrame:
     from ..functions.expr import days_between
 
     return ranges.withColumn(day, F.explode(days_between(F.col("valid_from"), F.col("valid_until"))))
+
+
+def range_join(left: DataFrame, right: DataFrame, start: str, at: str, width_days: int = 32) -> DataFrame:
+    """Every left row with every right row whose day ``at`` is not before the left row's day ``start``.
+
+    Days are cut into buckets. A left row meets its own bucket, where days are compared, and each later one, where all
+    days count; so this is an equality join on buckets, dealt out by them, and not a loop over all pairs. Null days meet nothing.
+    The sides should have no column names in common; an empty side gives no rows.
+    """
+    last = right.agg(F.max(at)).first()[0]
+    bucket = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / width_days)
+    own = left.withColumn("__own", bucket(F.col(start))).where(F.col(start) <= F.lit(last).cast("date"))
+    own = own.withColumn("__bucket", F.explode(F.sequence("__own", bucket(F.lit(last).cast("date")))))
+    met = own.join(right.withColumn("__bucket", bucket(F.col(at))), "__bucket")
+    return met.where((F.col("__bucket") > F.col("__own")) | (F.col(at) >= F.col(start))).drop("__own", "__bucket")

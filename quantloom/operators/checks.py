@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import any_of, days_between, is_finite
+from .asof import range_join
 
 Check = Callable[[DataFrame], DataFrame]
 
@@ -151,8 +152,7 @@ def continuity(day: str, key: str) -> Check:
 
     def run(df: DataFrame) -> DataFrame:
         first = df.groupBy(key).agg(F.min(day).alias("__first"))
-        calendar = df.select(day).distinct()
-        expected = first.join(F.broadcast(calendar), F.col(day) >= F.col("__first")).select(key, day)
+        expected = range_join(first, df.select(day).distinct(), "__first", day).select(key, day)
         return expected.join(df.select(key, day), [key, day], "left_anti")
 
     return run

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from ..sources import readers as R
 from ..sources import writers as W
 from . import tables as T
 from .core_queries import RETURNS_ALL, candles, returns, stocks
-from .registry import CANDLES, FILINGS, grid, query, sql_grid, with_stocks
+from .registry import CANDLES, EVENT_CANDLES, FILINGS, grid, query, sql_grid, with_stocks
 
 
 def events(s, d):
@@ -571,6 +571,22 @@ def m15b(s, d):
 
 
 # --- streams
+@query("R2_resample_stream", "WITH " + EVENT_CANDLES.format(unit="hour") + " SELECT * FROM event_candles")
+def r2_stream(s, d):
+    """Hourly candles from a stream in append mode: two arrivals in order of time, and a third one that is too late."""
+    from ..streaming.candles import append_candles
+
+    ticks = P.table(s, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("symbol"), "event_id", "value")
+    source, target, marks = (W.new_path(s, n) for n in ("ticks", "hours", "marks"))
+    first, last = V.span(ticks, "ts")
+    middle = first + (last - first) / 2
+    closing = s.createDataFrame([(last + timedelta(days=2), None, 0, 0.0)], ticks.schema)  # a later tick closes all hours before it
+    for arrival in (ticks.where(F.col("ts") < F.lit(middle)), ticks.where(F.col("ts") >= F.lit(middle)).unionByName(closing), ticks.where(F.to_date("ts") == F.to_date(F.lit(first)))):
+        arrival.write.mode("append").parquet(source)
+        append_candles(s.readStream.schema(ticks.schema).parquet(source), target, marks, "1 hour", "10 minutes")
+    return s.read.parquet(target).withColumn("timeframe", F.col("timeframe").cast("timestamp_ntz"))
+
+
 @query("R1_incremental_upsert", "SELECT o_orderkey, o_orderstatus, year(o_orderdate)::INTEGER AS year FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderstatus DESC) = 1")
 def r1(s, d):
     from ..operators.upsert import read_table

@@ -26,3 +26,15 @@ def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], partition_b
     """
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: upsert_partitions(batch, path, keys, partition_by))
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def append_candles(ticks: DataFrame, path: str, checkpoint: str, interval: str, watermark: str, **names: str) -> int:
+    """Append to ``path`` the candles of all ticks that have arrived, once the watermark has passed their window's end.
+
+    Open windows stay in the state at ``checkpoint`` until a later call. Gives how many rows came too late: they change
+    nothing that is written (Spark counts them after the first aggregation, by window and key of each task).
+    """
+    out = resample(ticks, interval, watermark, **names)
+    query = out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])

@@ -15,7 +15,7 @@ from quantloom.operators.asof import asof_backward
 from quantloom.plans import tables as T
 from quantloom.sources import readers as R
 from quantloom.sources import writers as W
-from quantloom.streaming.candles import resample, upsert_stream
+from quantloom.streaming.candles import append_candles, resample, upsert_stream
 
 
 def test_asof_join_edges(spark):
@@ -152,6 +152,17 @@ def test_stream_gives_the_same_candles_as_the_table(spark):
     assert sorted(map(tuple, spark.table("ticks_out").collect())) == sorted(map(tuple, resample(t, "1 hour").collect()))
 
 
+def test_late_ticks_change_nothing_that_is_written(spark):
+    source, target, marks = (W.new_path(spark, n) for n in ("ticks", "candles", "marks"))
+    tick = lambda *rows: spark.createDataFrame([(f"2024-01-01 {t}", 1, i, v) for i, (t, v) in enumerate(rows)], "ts string, symbol int, event_id int, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+    found = []
+    for batch in (tick(("00:10:00", 1.0), ("00:50:00", 2.0)), tick(("05:00:00", 3.0)), tick(("00:20:00", 9.0), ("04:58:00", 4.0)), tick(("09:00:00", 0.0))):
+        batch.write.mode("append").parquet(source)
+        found.append(append_candles(spark.readStream.schema(batch.schema).parquet(source), target, marks, "1 hour", "30 minutes"))
+    got = sorted((r.timeframe.hour, r.open, r.close, r.volume) for r in spark.read.parquet(target).collect())
+    assert got == [(0, 1.0, 2.0, 2), (4, 4.0, 4.0, 1), (5, 3.0, 3.0, 1)] and found == [0, 0, 1, 0]
+
+
 def test_stream_upserts_corrections(spark):
     source, target, marks = (W.new_path(spark, n) for n in ("in", "out", "marks"))
     first = spark.createDataFrame([(1, "a", 2024), (2, "b", 2024)], "k int, v string, year int")

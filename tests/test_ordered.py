@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quantloom.operators import ordered as O
 from quantloom.operators import panel as V
-from quantloom.operators.asof import asof_backward
+from quantloom.operators.asof import asof_backward, range_join
 from quantloom.plans import tables as T
 
 SCHEMA = "symbol int, timeframe date, open double, close double, high double, low double, volume double"
@@ -141,3 +141,19 @@ def test_rolling_loadings_are_those_of_whole_windows(spark):
     with pytest.raises(ValueError):
         V.rolling_loadings(df, factors, "timeframe", first, last, 36, 5)
     assert V.rolling_loadings(df.limit(0), factors, "timeframe", None, None).count() == 0
+
+
+def test_range_join_against_all_pairs_without_a_loop(spark):
+    day = lambda i: date(2020, 1, 1) + timedelta(days=i)
+    left, right = [(k, day(k * 13 % 90)) for k in range(25)] + [(99, None), (100, day(500))], [day(i * 7) for i in range(14)] + [day(13), None]
+    a, b = spark.createDataFrame(left, "k int, first date"), spark.createDataFrame([(x,) for x in right], "d date")
+    for width in (1, 10, 400):
+        got = sorted((r.k, r.d) for r in range_join(a, b, "first", "d", width).collect())
+        assert got == sorted((k, x) for k, f in left for x in right if f and x and x >= f)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = range_join(a, b, "first", "d")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert range_join(a, b.limit(0), "first", "d").count() == 0 and range_join(a.limit(0), b, "first", "d").count() == 0
