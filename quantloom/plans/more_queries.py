@@ -13,6 +13,7 @@ from ..operators import labels as L
 from ..operators import panel as V
 from ..operators import portfolio as B
 from ..operators import vgraph as G
+from ..operators.trees import tree_grid
 from ..sources import panels as P
 from ..sources import readers as R
 from ..sources import writers as W
@@ -409,12 +410,17 @@ def l9(s, d):
     return L.lasso_weights(z, ["open_z", "high_z", "volume_z"], "future_price")
 
 
+# fixed values: the parameters that are tried
+TREE_GRID = {"impurity": ["gini", "entropy"], "maxDepth": [3, 5], "minSamplesSplit": [2, 50], "classWeight": ["none", "balanced", "weight-top", "weight-bottom"]}
+
+
 @query("L6_tree_grid")
 def l6(s, d):
-    rows = L.time_split(T.append_future_returns(T.candles_daily(candles(s, d)), 5, [0.05], ["down", "flat", "up"]).where("future_class is not null"))
-    rows = L.finite_rows(rows.select("return_1d", "open_rolling_1w", "open", "future_class", "is_test"))
-    rows = W.written(rows, "rows")  # every fit reads them
-    return L.tree_grid(rows.where("not is_test"), rows.where("is_test"), ["return_1d", "open_rolling_1w", "open"], "future_class", {"maxDepth": [3, 5], "impurity": ["gini", "entropy"]})
+    """All 32 combinations over every return, rolling mean, volatility, ratio and strength of the candles."""
+    table = T.append_future_returns(T.candles_daily(candles(s, d)), 5, [0.05], ["down", "flat", "up"]).where("future_class is not null")
+    features = [c for c, t in table.dtypes if t == "double" and c not in ("future_price", "volatility_1_steps_1d", "sharpe_1_steps_1d")]  # one row has no deviation
+    rows = W.written(L.finite_rows(L.time_split(table).select(*features, "future_class", "is_test")), "rows")
+    return tree_grid(rows.where("not is_test"), rows.where("is_test"), features, "future_class", TREE_GRID)
 
 
 # --- portfolios

@@ -12,6 +12,7 @@ from quantloom.operators import portfolio as B
 from quantloom.operators import upsert as U
 from quantloom.operators import vgraph as G
 from quantloom.operators.asof import asof_backward
+from quantloom.operators.trees import tree_grid
 from quantloom.plans import tables as T
 from quantloom.sources import readers as R
 from quantloom.sources import writers as W
@@ -228,7 +229,7 @@ def test_lasso_of_orthogonal_features_shrinks_each_by_alpha(spark):
 
 def test_tree_grid_tells_deep_from_shallow(spark):
     rows = spark.createDataFrame([(float(a), float(b), "yes" if a != b else "no") for a in (0, 1) for b in (0, 1) for _ in range(10 + 5 * a)], "a double, b double, y string")
-    got = L.tree_grid(rows, rows, ["a", "b"], "y", {"maxDepth": [0, 2]}).collect()
+    got = tree_grid(rows, rows, ["a", "b"], "y", {"maxDepth": [0, 2]}).collect()
     assert [r.parameters for r in got] == ["{'maxDepth': 0}", "{'maxDepth': 2}"]
     assert got[0].accuracy == pytest.approx(0.5) and got[1].accuracy == 1 and got[1].macro_f1 == 1
 
