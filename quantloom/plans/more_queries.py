@@ -358,6 +358,11 @@ def l5(s, d):
     return w.select("o_orderkey", grid(F.col("weight"), 6).alias("weight"))
 
 
+@query("L5_doubled_weights", "SELECT o_orderkey, CASE WHEN o_orderstatus IN ('O', 'P') THEN 2.0 ELSE 1.0 END::DOUBLE AS weight FROM orders")
+def l5_doubled(s, d):
+    return L.class_weights(P.table(s, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", "double", ["O", "P"]).select("o_orderkey", "weight")
+
+
 _GUESS = "(SELECT o_orderstatus AS label, CASE WHEN o_totalprice > 200000 THEN 'F' WHEN o_totalprice > 50000 THEN 'O' ELSE 'P' END AS prediction FROM orders)"
 
 
