@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import is_finite, safe_corr
+from .features import cumulated
 
 
 def finite_rows(df: DataFrame) -> DataFrame:
@@ -51,17 +52,11 @@ def stacked(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
 def average_ranks(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     """With ``{column}_rank``, the mean rank among equal values, from counts of distinct values.
 
-    Values are counted first and cumulated over bands of values, so no feature's rows meet in one task.
+    Values are counted first and cumulated over bands of equally many values, so no feature's rows meet in one task.
     """
     counts = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
-    bounds = counts.groupBy(*by).agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"))
-    banded = counts.join(F.broadcast(bounds), list(by)).withColumn("__band", F.when(F.col("__hi") > F.col("__lo"), F.least(F.floor((F.col(column) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * 256), F.lit(255))).otherwise(0))
-    sums = banded.groupBy(*by, "__band").agg(F.sum("__n").alias("__s"))
-    before = Window.partitionBy(*by).orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*by, "__band", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(*by, "__band").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = banded.join(F.broadcast(starts), [*by, "__band"]).withColumn("__upto", F.sum("__n").over(inside))
-    rank = F.col("__start") + F.col("__upto") - (F.col("__n") - 1) / 2
+    ranked = cumulated(counts, by, column, ["__n"])
+    rank = F.col("__before___n") + (F.col("__n") + 1) / 2
     return df.join(ranked.select(*by, column, rank.alias(f"{column}_rank")), [*by, column])
 
 

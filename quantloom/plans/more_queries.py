@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as E
 from ..operators import checks as Q
+from ..operators import features as X
 from ..operators import labels as L
 from ..operators import panel as V
 from ..operators import portfolio as B
@@ -409,6 +410,35 @@ def l11(s, d):
     return L.binned_information(rows).select("feature", grid(F.col("mi"), 6).alias("mi"))
 
 
+_PLAIN = ("open", "high", "low", "close", "volume")
+_SCORED = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c}::DOUBLE AS x, y FROM a WHERE y IS NOT NULL" for c in _PLAIN)
+
+
+@query("L11_rank_information", f"""WITH {CANDLES}, a AS (SELECT *, lead(open, 5) OVER (PARTITION BY symbol ORDER BY timeframe) AS y FROM candles), u AS ({_SCORED}),
+r AS (SELECT feature, 2 * rank() OVER (PARTITION BY feature ORDER BY x) + count(*) OVER (PARTITION BY feature, x) - 1 AS rx, 2 * rank() OVER (PARTITION BY feature ORDER BY y) + count(*) OVER (PARTITION BY feature, y) - 1 AS ry, count(*) OVER (PARTITION BY feature) AS nt FROM u),
+b AS (SELECT feature, (rx - 1) * 16 // (2 * nt) AS bx, (ry - 1) * 16 // (2 * nt) AS b_y, count(*) AS n FROM r GROUP BY ALL),
+k AS (SELECT feature, n, sum(n) OVER (PARTITION BY feature, bx) AS nx, sum(n) OVER (PARTITION BY feature, b_y) AS ny, sum(n) OVER (PARTITION BY feature) AS nt FROM b),
+mi AS (SELECT feature, sum(n / nt * ln(n * nt / (nx * ny))) AS mi FROM k GROUP BY feature), rho AS (SELECT feature, count(*) AS n, corr(rx, ry) AS rho FROM r GROUP BY feature)
+SELECT 'all' AS family, feature, n, {sql_grid('rho', 6)} AS rho, {sql_grid('mi', 6)} AS mi, {sql_grid('mi * sign(rho)', 6)} AS mi_signed FROM rho JOIN mi USING (feature)""")
+def l11_ranks(s, d):
+    """Every candle column against the open five rows on, in sixteen bins of ranks."""
+    scores = X.rank_scores(T.append_future_returns(candles(s, d), 5), {"all": _PLAIN}, "future_price")
+    return scores.select("family", "feature", "n", *[grid(F.col(c), 6).alias(c) for c in ("rho", "mi", "mi_signed")])
+
+
+# fixed values: the prefixes of the indicator families
+INDICATOR_PREFIXES = ("volatility_", "return_", "log_return_", "rsi_", "open_rolling_", "sharpe_")
+
+
+@query("L12_feature_families")
+def l12(s, d):
+    """Lasso, rank correlation and signed information of each indicator family, causal z-scores, and a lasso of all together."""
+    table = T.append_future_returns(T.candles_daily(candles(s, d)), 5)
+    families = X.families_of(table.columns, INDICATOR_PREFIXES)
+    scored = L.causal_zscore(table, [c for own in families.values() for c in own])
+    return X.family_scores(scored.drop(*[c for own in families.values() for c in own]).withColumnsRenamed({f"{c}_z": c for own in families.values() for c in own}), families, "future_price")
+
+
 @query("L9_lasso")
 def l9(s, d):
     z = L.causal_zscore(T.append_future_returns(candles(s, d), 5), ["open", "high", "volume"]).where("future_price is not null")
