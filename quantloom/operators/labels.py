@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,36 @@ def classification_metrics(predicted: DataFrame, label: str = "label", guess: st
     return rows.select("class", "precision", "recall", "f1").join(F.broadcast(whole))
 
 
+def metric_report(predicted: DataFrame, whole: Mapping[str, Column], per_class: Mapping[str, Column] = {}, label: str = "label", guess: str = "prediction") -> DataFrame:
+    """(metric, class, value) of a caller's metrics; class is null for those of the whole table.
+
+    ``whole`` has aggregates over the columns ``label`` and ``prediction``; ``per_class`` has expressions of the numbers ``tp``,
+    ``fp``, ``fn`` and ``tn`` of each class that is a label or a prediction. A null label or prediction is no class, but its row counts.
+    A value without a definition, as a division by 0, is null.
+    """
+    rows = predicted.select(F.col(label).alias("label"), F.col(guess).alias("prediction"))
+    as_rows = lambda columns: F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value")) for c, n in columns]))
+    none, out = F.lit(None).cast(rows.schema["label"].dataType).alias("class"), []
+    if whole:
+        names = [(f"__{i}", n) for i, n in enumerate(whole)]
+        sums = rows.agg(*[c.alias(own) for (own, _), c in zip(names, whole.values())])
+        out.append(sums.select(as_rows(names).alias("m")).select("m.metric", none, "m.value"))
+    if per_class:
+        counts = rows.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+        sides = F.explode(F.array_distinct(F.array("label", "prediction"))).alias("class")
+        hit, own = F.col("label").eqNullSafe(F.col("class")), F.col("prediction").eqNullSafe(F.col("class"))
+        number = lambda c, n: F.sum(F.when(c, F.col("n")).otherwise(0)).alias(n)
+        sums = counts.select("*", sides).where("class is not null").groupBy("class").agg(number(hit & own, "tp"), number(~hit & own, "fp"), number(hit & ~own, "fn"))
+        total = counts.agg(F.sum("n").alias("__n"))
+        sums = sums.join(F.broadcast(total)).withColumn("tn", F.col("__n") - F.col("tp") - F.col("fp") - F.col("fn"))
+        names = [(f"__{i}", n) for i, n in enumerate(per_class)]
+        values = sums.select("class", *[c.alias(own) for (own, _), c in zip(names, per_class.values())])
+        out.append(values.select("class", as_rows(names).alias("m")).select("m.metric", "class", "m.value"))
+    if not out:
+        raise ValueError("no metric is given")
+    return reduce(DataFrame.unionByName, out)
+
+
 def lasso_weights(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0) -> DataFrame:
     """(feature, weight) of a lasso fit, by size of the weight."""
     from pyspark.ml.feature import VectorAssembler

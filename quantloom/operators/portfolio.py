@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import days_between, ieee_div, median_price, period_key, quantised
 
+Rule = Callable[[DataFrame, DataFrame], DataFrame]
 TRADING_DAYS = 252
 # fixed values: the combinations that the adaptive choice tries
 ADAPTIVE_GRID = {"months": (3, 9, 12), "weeks": (2, 4), "tops": (10, 20, 30), "frequencies": ("weekly", "monthly", "quarterly")}
@@ -52,6 +53,47 @@ def allocate(choice: DataFrame, candles: DataFrame, keys: Sequence[str] = ()) ->
     return bought.select(*keys, "rebalance", "symbol", "price", (1.0 / n).alias("weight"))
 
 
+def price_weights(weights: DataFrame, candles: DataFrame) -> DataFrame:
+    """(rebalance, symbol, price, weight) of a rule's (rebalance, symbol, weight): those that have a price on the day, weights scaled to 1.
+
+    Weights that are null, NaN or not above 0 buy nothing.
+    """
+    prices = candles.select("symbol", F.col("timeframe").alias("rebalance"), median_price(F.col("high"), F.col("low")).alias("price"))
+    bought = weights.where("weight > 0 AND NOT isnan(weight)").join(prices, ["symbol", "rebalance"]).where("price > 0")
+    total = F.sum("weight").over(Window.partitionBy("rebalance"))
+    return bought.select("rebalance", "symbol", "price", (F.col("weight") / total).alias("weight"))
+
+
+def backtest(candles: DataFrame, rule: Rule, frequency: str = "monthly", start: float = 1000.0, **warm_up: int) -> DataFrame:
+    """(timeframe, value): the equity curve of a rule, (candles, rebalances) -> (rebalance, symbol, weight), over all rebalance days.
+
+    A rule sees all candles and should look at those before each day only. A day for which it names nothing holds cash.
+    """
+    days = rebalance_days(candles, frequency, **warm_up)
+    return equity_curve(price_weights(rule(candles, days), candles), days, candles, start)
+
+
+def momentum_rule(months: int = 6, ignore_weeks: int = 1, top: int = 10) -> Rule:
+    """The symbols that rose most, in equal parts."""
+    return lambda candles, days: momentum_choice(candles, days, months, ignore_weeks, top).select("rebalance", "symbol", F.lit(1.0).alias("weight"))
+
+
+def turnover_rule(days_back: int = 30, top: int = 10) -> Rule:
+    """The symbols of largest volume in the days before each rebalance, by volume; ties by symbol.
+
+    Candles are added up by day first and meet the rebalances of the days to come, so none meets a calendar's every day.
+    """
+
+    def choose(candles: DataFrame, rebalances: DataFrame) -> DataFrame:
+        ahead = F.explode(days_between(F.date_add("timeframe", 1), F.date_add("timeframe", days_back)))
+        traded = candles.where("volume > 0").select("symbol", "volume", ahead.alias("rebalance")).join(F.broadcast(rebalances), "rebalance")
+        sums = traded.groupBy("rebalance", "symbol").agg(F.sum("volume").alias("weight"))
+        place = F.row_number().over(Window.partitionBy("rebalance").orderBy(F.desc("weight"), "symbol"))
+        return sums.withColumn("place", place).where(F.col("place") <= top).select("rebalance", "symbol", "weight")
+
+    return choose
+
+
 def equity_curve(allocation: DataFrame, rebalances: DataFrame, candles: DataFrame, start: float = 1000.0, keys: Sequence[str] = (), end: str | None = None) -> DataFrame:
     """(keys, timeframe, value) on every trading day from the first rebalance on, before the day in column ``end``.
 

@@ -6,13 +6,15 @@ bounded by the window's length and the work spreads over windows and symbols.
 
 from __future__ import annotations
 
-from collections import deque
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ("window_end", "symbol")
+CELLS = 1 << 22  # graphs that are searched together have about as many pairs of nodes
 
 
 def graph_points(rows: DataFrame, value: str = "open") -> DataFrame:
@@ -70,38 +72,55 @@ def power_law(edges: DataFrame) -> DataFrame:
 
 
 def path_measures(edges: DataFrame) -> DataFrame:
-    """(window_end, symbol, mean_path, mean_betweenness) by breadth-first search in each small graph."""
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        near: dict[int, list[int]] = {}
-        for i, j in zip(f["i"], f["j"]):
-            near.setdefault(i, []).append(j)
-            near.setdefault(j, []).append(i)
-        n, length, between = len(near), 0, dict.fromkeys(near, 0.0)
-        for s in near:
-            far, ways, order, queue = {s: 0}, {s: 1}, [], deque([s])
-            while queue:
-                u = queue.popleft()
-                order.append(u)
-                for v in near[u]:
-                    if v not in far:
-                        far[v] = far[u] + 1
-                        queue.append(v)
-                    if far[v] == far[u] + 1:
-                        ways[v] = ways.get(v, 0) + ways[u]
-            length += sum(far.values())
-            share = dict.fromkeys(order, 0.0)
-            for v in reversed(order):
-                for u in near[v]:
-                    if far.get(u, -1) == far[v] - 1:
-                        share[u] += ways[u] / ways[v] * (1 + share[v])
-                if v != s:
-                    between[v] += share[v]
-        pairs = (n - 1) * (n - 2)
-        mean = sum(between.values()) / n / pairs if pairs else 0.0
-        return pd.DataFrame({"window_end": [f["window_end"].iloc[0]], "symbol": [f["symbol"].iloc[0]], "mean_path": [length / (n * (n - 1))], "mean_betweenness": [mean]})
-
-    return edges.groupBy(*KEYS).applyInPandas(run, "window_end date, symbol long, mean_path double, mean_betweenness double")
+    """(window_end, symbol, mean_path, mean_betweenness) of connected graphs, as visibility graphs are; others raise.
+
+    A shortest path of length d has d - 1 nodes inside, so the betweenness of all nodes together follows from the
+    distances alone. Graphs travel as rows, many to a batch; those of equal size are searched together, level by level, with
+    the reached nodes as bits.
+    """
+    ends = F.array_sort(F.collect_list(F.struct(F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j"))))
+    graphs = edges.groupBy(*KEYS).agg(ends.alias("e")).select(*KEYS, F.col("e.i").alias("i"), F.col("e.j").alias("j"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in batches:
+            firsts, seconds = f["i"].to_list(), f["j"].to_list()
+            nodes = [np.unique(np.concatenate([a, b]), return_inverse=True) for a, b in zip(firsts, seconds)]
+            sizes, total = np.array([len(own) for own, _ in nodes]), np.zeros(len(f))
+            for n in np.unique(sizes):
+                these = np.flatnonzero(sizes == n)
+                for part in np.array_split(these, max(1, len(these) * n * n // CELLS + 1)):
+                    if len(part):
+                        total[part] = _distance_sums([nodes[g][1] for g in part], int(n))
+            pairs = sizes * (sizes - 1)
+            inside = np.divide(total - pairs, pairs * (sizes - 2), out=np.zeros(len(f)), where=sizes > 2)
+            yield pd.DataFrame({"window_end": f["window_end"], "symbol": f["symbol"], "mean_path": total / pairs, "mean_betweenness": inside})
+
+    return graphs.mapInPandas(run, "window_end date, symbol long, mean_path double, mean_betweenness double")
+
+
+def _distance_sums(ends: list[np.ndarray], n: int) -> np.ndarray:
+    """For each graph of ``n`` nodes the sum of the distances of all ordered pairs; ``ends`` has the edges' first ends, then their second ones."""
+    graph = np.repeat(np.arange(len(ends)), [len(e) // 2 for e in ends])
+    a, b = (np.concatenate([np.split(e, 2)[side] for e in ends]) for side in (0, 1))
+    words, lanes = (n + 63) // 64, np.uint64(1) << np.arange(64, dtype=np.uint64)
+    near = np.zeros((len(ends), n, n), bool)
+    near[graph, a, b] = near[graph, b, a] = True
+    near[:, np.arange(n), np.arange(n)] = True
+    padded = np.zeros((len(ends), n, words * 64), bool)
+    padded[..., :n] = near
+    bits = (padded.reshape(len(ends), n, words, 64) * lanes).sum(axis=-1, dtype=np.uint64)  # the nodes within one step of each node
+    full = np.full(len(ends), n * n)
+    reached, total = bits.copy(), n * n - n + np.zeros(len(ends), np.int64)
+    for _ in range(n):
+        count = np.bitwise_count(reached).sum(axis=(1, 2), dtype=np.int64)
+        if (count == full).all():
+            return total
+        total += full - count  # pairs that are further than this level
+        after = reached.copy()
+        for v in range(n):  # a node reaches what its neighbours reached
+            after |= np.where(near[:, :, v, None], reached[:, v, None, :], np.uint64(0))
+        reached = after
+    raise ValueError("a graph is not connected")
 
 
 def visibility_measures(points: DataFrame, edges: DataFrame) -> DataFrame:

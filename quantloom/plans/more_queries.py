@@ -20,7 +20,7 @@ from ..sources import readers as R
 from ..sources import writers as W
 from . import tables as T
 from .core_queries import RETURNS_ALL, candles, returns, stocks
-from .registry import CANDLES, EVENT_CANDLES, FILINGS, grid, query, sql_grid, with_stocks
+from .registry import CANDLES, EVENT_CANDLES, FILINGS, SQL, grid, query, sql_grid, with_stocks
 
 
 def events(s, d):
@@ -31,11 +31,10 @@ def events(s, d):
 @query("S2_drifting_files", "SELECT o_orderdate AS date, o_orderstatus AS ticker, o_totalprice AS close FROM orders")
 def s2(s, d):
     o = P.table(s, d, "orders")
-    old = W.new_path(s, "old")
-    new = W.new_path(s, "new")
-    o.where("o_orderkey % 2 = 0").select(F.col("o_orderdate").alias("date"), F.col("o_orderstatus").alias("ticker"), F.col("o_totalprice").alias("close"), F.lit(1).alias("extra")).write.parquet(old)
-    o.where("o_orderkey % 2 = 1").select(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"), F.col("o_orderstatus").alias("ticker"), F.col("o_totalprice").cast("decimal(20,6)").alias("close")).write.parquet(new)
-    return R.read_drifting(s, [old, new], ["date", "ticker", "close"], {"close": "double"})
+    path = W.new_path(s, "drifting")
+    o.where("o_orderkey % 2 = 0").select(F.col("o_orderdate").alias("date"), F.col("o_orderstatus").alias("ticker"), F.col("o_totalprice").alias("close"), F.lit(1).alias("extra")).write.parquet(path)
+    o.where("o_orderkey % 2 = 1").select(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"), F.col("o_orderstatus").alias("ticker"), F.col("o_totalprice").cast("decimal(20,6)").alias("close")).write.mode("append").parquet(path)
+    return R.read_drifting(s, path, ["date", "ticker", "close"], {"close": "double"})
 
 
 _FACTOR_SQL = f"""WITH {RETURNS_ALL}, r AS (SELECT * FROM returns JOIN supplier ON symbol = s_suppkey WHERE log_return_1d IS NOT NULL),
@@ -379,6 +378,20 @@ def l7(s, d):
     return m.select("class", *[grid(F.col(c), 6).alias(c) for c in ("precision", "recall", "f1", "accuracy", "macro_f1")])
 
 
+@query("X3_caller_metrics", f"""WITH g AS {_GUESS}, k AS (SELECT label AS class FROM g UNION SELECT prediction FROM g),
+m AS (SELECT class, count(*) FILTER (label = class AND prediction = class) AS tp, count(*) FILTER (label <> class AND prediction = class) AS fp, count(*) FILTER (label = class AND prediction <> class) AS fn, count(*) FILTER (label <> class AND prediction <> class) AS tn FROM g, k GROUP BY class)
+SELECT 'error rate' AS metric, NULL::VARCHAR AS class, {sql_grid('avg(CASE WHEN label <> prediction THEN 1.0 ELSE 0.0 END)', 6)} AS value FROM g
+UNION ALL SELECT 'cost', NULL, sum(CASE WHEN label = 'F' AND prediction <> 'F' THEN 5 WHEN label <> prediction THEN 1 ELSE 0 END)::DOUBLE FROM g
+UNION ALL SELECT 'specificity', class, {sql_grid('tn / (tn + fp)', 6)} FROM m UNION ALL SELECT 'overlap', class, {sql_grid('tp / (tp + fp + fn)', 6)} FROM m""")
+def x3(s, d):
+    """Metrics that the caller brings: of the whole table and of each class."""
+    p, wrong = F.col("o_totalprice"), F.col("label") != F.col("prediction")
+    g = P.table(s, d, "orders").select(F.col("o_orderstatus").alias("label"), F.when(p > 200000, "F").when(p > 50000, "O").otherwise("P").alias("prediction"))
+    whole = {"error rate": F.avg(wrong.cast("double")), "cost": F.sum(F.when(wrong & (F.col("label") == "F"), 5).when(wrong, 1).otherwise(0))}
+    per_class = {"specificity": F.expr("try_divide(tn, tn + fp)"), "overlap": F.expr("try_divide(tp, tp + fp + fn)")}
+    return L.metric_report(g, whole, per_class).withColumn("value", grid(F.col("value"), 6))
+
+
 @query("L8_causal_zscore", f"WITH {CANDLES}, a AS (SELECT symbol, timeframe, volume, avg(volume) OVER w AS m, stddev_samp(volume) OVER w AS sd FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY timeframe ROWS UNBOUNDED PRECEDING)) SELECT symbol, timeframe, {sql_grid('coalesce(CASE WHEN sd <> 0 THEN (volume - m) / sd END, 0)')} AS volume_z FROM a")
 def l8(s, d):
     z = L.causal_zscore(candles(s, d).select("symbol", "timeframe", "volume"), ["volume"])
@@ -494,6 +507,22 @@ def b3(s, d):
     return B.allocate(B.momentum_choice(c, B.rebalance_days(c), top=5), c)
 
 
+_TURNOVER = """sums AS (SELECT rebalance, symbol, sum(volume) AS w FROM reb JOIN candles ON timeframe < rebalance AND timeframe >= rebalance - 30 WHERE volume > 0 GROUP BY ALL),
+choice AS (SELECT * FROM sums QUALIFY row_number() OVER (PARTITION BY rebalance ORDER BY w DESC, symbol) <= 10),
+alloc AS (SELECT rebalance, c.symbol, (high + low) / 2 AS price, w / sum(w) OVER (PARTITION BY rebalance) AS weight FROM choice c JOIN candles k ON k.symbol = c.symbol AND k.timeframe = c.rebalance WHERE (high + low) / 2 > 0)"""
+
+
+@query("X4_turnover_rule", f"WITH {CANDLES}, {_REBALANCE}, {_TURNOVER}, {_CURVE} SELECT timeframe, {sql_grid('value')} AS value FROM curve")
+def x4(s, d):
+    """The curve of a second rule, by volume, through the same backtest as momentum."""
+    return B.backtest(candles(s, d), B.turnover_rule()).select("timeframe", grid(F.col("value")).alias("value"))
+
+
+@query("X4_momentum_rule", f"WITH {CANDLES}, {_REBALANCE}, {_CHOICE}, {_ALLOC}, {_CURVE} SELECT timeframe, {sql_grid('value')} AS value FROM curve")
+def x4_momentum(s, d):
+    return B.backtest(candles(s, d), B.momentum_rule(top=5)).select("timeframe", grid(F.col("value")).alias("value"))
+
+
 @query("B4_equity_curve", f"WITH {CANDLES}, {_REBALANCE}, {_CHOICE}, {_ALLOC}, {_CURVE} SELECT timeframe, {sql_grid('value')} AS value FROM curve")
 def b4(s, d):
     return curve(s, d).select("timeframe", grid(F.col("value")).alias("value"))
@@ -594,18 +623,27 @@ def g6(s, d):
     return G.power_law(graph(s, d)[1]).select("window_end", "symbol", grid(F.col("exponent"), 6).alias("exponent"))
 
 
-@query("G7_path_measures")
+_PATHS = f"""WITH RECURSIVE {_POINTS}, walks AS (SELECT window_end, symbol, u, v, 1 AS step FROM ties
+  UNION SELECT w.window_end, w.symbol, w.u, t.v, step + 1 FROM walks w JOIN ties t ON t.window_end = w.window_end AND t.symbol = w.symbol AND t.u = w.v WHERE step < 12 AND t.v <> w.u),
+far AS (SELECT window_end, symbol, u, v, min(step) AS far FROM walks GROUP BY ALL), sizes AS (SELECT window_end, symbol, max(n) AS n FROM points GROUP BY ALL)
+SELECT window_end, symbol, {sql_grid('sum(far) / (n * (n - 1))', 6)} AS mean_path, {sql_grid('CASE WHEN n > 2 THEN (sum(far) - n * (n - 1)) / (n * (n - 1) * (n - 2)) ELSE 0 END', 6)} AS mean_betweenness FROM far JOIN sizes USING (window_end, symbol) GROUP BY window_end, symbol, n"""
+
+
+@query("G7_path_measures", _PATHS)
 def g7(s, d):
-    return G.path_measures(graph(s, d)[1].select("window_end", "symbol", F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j")))
+    return G.path_measures(graph(s, d)[1]).select("window_end", "symbol", *[grid(F.col(c), 6).alias(c) for c in ("mean_path", "mean_betweenness")])
+
+
+_MEASURES = ("density", "mean_degree", "clustering", "assortativity", "exponent", "mean_path", "mean_betweenness")
+_JOINT = "SELECT * FROM " + " JOIN ".join(f"({SQL[q]}) {q[:2]}" + ("" if q[:2] == "G3" else " USING (window_end, symbol)") for q in ("G3_density", "G4_clustering", "G5_assortativity", "G6_power_law", "G7_path_measures"))
 
 
-@query("M15_visibility_measures")
+@query("M15_visibility_measures", _JOINT)
 def m15(s, d):
-    p, e = graph(s, d)
-    return G.visibility_measures(p, e)
+    return G.visibility_measures(*graph(s, d)).select("window_end", "symbol", *[grid(F.col(c), 6).alias(c) for c in _MEASURES])
 
 
-@query("M15b_gold_visibility_view")
+@query("M15b_gold_visibility_view", _JOINT)
 def m15b(s, d):
     m15(s, d).createOrReplaceTempView("gold_visibility_graph_indicators")
     return s.table("gold_visibility_graph_indicators")

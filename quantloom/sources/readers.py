@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +17,48 @@ FACTOR_COLUMNS = ("mkt_rf", "smb", "hml", "rmw", "cma", "rf")
 COMPANY_FACTS = "struct<cik:bigint,entityName:string,facts:map<string,map<string,struct<label:string,description:string,units:map<string,array<struct<start:string,end:string,val:decimal(38,0),filed:string,fp:string>>>>>>>"
 
 
-def read_drifting(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = RAW_COLUMNS, types: dict[str, str] | None = None) -> DataFrame:
-    """Parquet folders whose column types differ, one scan each, with the named columns cast alike; others are left out."""
+def physical_schemas(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """(schema, files): the Parquet files in and below ``path`` by the names and types, in the files, of those ``columns`` that they have.
+
+    Executors read the footers; a file's rows are not touched. Places are opened with pyarrow, so its file systems are those that are known.
+    Hidden files and folders, beginning with ``_`` or ``.``, are left out, as in every scan.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path")
+    wanted = set(columns)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs, parquet
+
+        for batch in batches:
+            schemas = []
+            for file in batch["path"]:
+                if file.startswith("file:"):
+                    system, place = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", file)
+                else:
+                    system, place = fs.FileSystem.from_uri(file)
+                schema = parquet.read_schema(place, filesystem=system)
+                schemas.append(json.dumps(sorted([f.name, str(f.type)] for f in schema if f.name in wanted)))
+            yield pd.DataFrame({"path": batch["path"], "schema": schemas})
+
+    rows = found.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInPandas(read, "path string, schema string")
+    return rows.groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("files"))
+
+
+def read_drifting(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] = RAW_COLUMNS, types: dict[str, str] | None = None) -> DataFrame:
+    """Parquet files whose column types differ, with the named columns cast alike; a missing column is null, others are left out.
+
+    Of a folder, the files are grouped by their own schemas and each group is one scan, which no file's type can
+    break. A list names folders of one schema each. The file names pass through the driver, as in every scan.
+    """
     types = {"date": "timestamp_ntz"} | (types or {})
-    parts = []
-    for path in paths:
-        df = spark.read.parquet(path)
-        have = set(df.columns)
-        parts.append(df.select(*[(F.col(c) if c in have else F.lit(None)).cast(types.get(c, df.schema[c].dataType if c in have else "double")).alias(c) for c in columns]))
+    groups = [r.files for r in physical_schemas(spark, path, columns).orderBy("schema").collect()] if isinstance(path, str) else [[p] for p in path]
+    parts, known = [spark.read.parquet(*files) for files in groups], {}
+    for df in parts:
+        known |= {f.name: f.dataType for f in df.schema if f.name not in known}
+    kind = {c: types.get(c, known.get(c, "double")) for c in columns}
+    parts = [df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kind[c]).alias(c) for c in columns]) for df in parts]
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{c}` {kind[c]}" for c in columns))
     return reduce(DataFrame.unionByName, parts)
 
 
