@@ -1,14 +1,14 @@
 """Secret scans with a recursive decoding worklist.
 
 A document's text is the first layer. Every layer is scanned; the layer without its URL escapes,
-that without its Unicode escapes, and stretches of base64 and compressed data are further layers until nothing new appears.
+that without its Unicode escapes, and stretches of base64, at each of the four places where one may begin, and compressed
+data are further layers until nothing new appears. An escaped escape sign is unwrapped with what it escapes, however often.
 Each layer knows the stretch of the text around it that any of its stretches came from.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import codecs
 import copy
 import hashlib
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
 PIECE = 1 << 18  # bytes of decompressed data that are taken at once: a bound on memory against decompression bombs
-READABLE = 0.8  # share of a decoded layer's characters that can be printed
+READABLE = 0.8  # a layer is counted if this share of its characters can be printed; every layer is scanned
 REDACTED = "[SECRET]"
 
 _FLAGS = re.ASCII
@@ -34,8 +34,9 @@ _KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", _FLAGS | re.IGNO
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+", _FLAGS)
 _HEX = re.compile(r"[0-9a-f]{24,}", _FLAGS)  # maximal runs, so the same as runs of any length of which the short ones are dropped
 _WORDS = ("pass", "secret", "token", "api")
-_UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})", _FLAGS)
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+", _FLAGS)
+_UNICODE = re.compile(r"\\(?:u005[Cc]|x5[Cc])*(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2}))", _FLAGS)
+_PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+", _FLAGS)
+_OCTET = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})", _FLAGS)
 _ESCAPE = re.compile(_UNICODE.pattern + "|" + _PERCENT.pattern, _FLAGS)
 _SPACES = re.compile(r"\x20{5,}")
 _SEXTETS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
@@ -101,7 +102,7 @@ def _unescaped(text: str, one: re.Pattern, read) -> tuple[str, Place]:
 
 
 def _percent(m: re.Match) -> str:
-    return bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace")
+    return bytes.fromhex("".join(_OCTET.findall(m[0]))).decode("utf-8", "replace")
 
 
 def _code_point(m: re.Match) -> str:
@@ -129,26 +130,25 @@ def _unwrapped(text: str) -> Iterator[tuple[str | Packed, Place]]:
         if sign in text and one.search(text):
             yield _unescaped(text, one, read)
     for m in _BASE64.finditer(text):
-        yield from _decoded(m[0], range(m.start(), m.end()))
+        for first in range(4):  # what stands before may be part of the stretch, as in a path
+            yield from _decoded(m[0][first:], range(m.start() + first, m.end()))
     for m in _LINES.finditer(text):
         places = [i for i in range(m.start(), m.end()) if text[i] not in " \r\n"]
-        yield from _decoded("".join(text[i] for i in places), places)
+        for first in range(4):
+            yield from _decoded("".join(text[i] for i in places[first:]), places[first:])
 
 
 def _decoded(stretch: str, places) -> Iterator[tuple[str | Packed, Place]]:
-    """What a stretch of base64 holds, if that is compressed or readable; ``places`` are those of its characters."""
+    """What a stretch of base64 holds; ``places`` are those of its characters."""
     body = stretch.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return
+    body = body[: len(body) - (len(body) % 4 == 1)]  # six bits are no byte
+    data = base64.b64decode(body + "=" * (-len(body) % 4))
     if _compressed(data):
         whole = (places[0], places[-1] + 1)
         yield Packed(stretch.rstrip("="), *whole), lambda a, b: whole
-    elif _readable(new := data.decode("utf-8", "surrogateescape")):  # each character has its own sextets
-        yield new, lambda a, b: (places[_size(new[:a]) * 8 // 6], places[min(len(places), -(-_size(new[:b]) * 8 // 6)) - 1] + 1)
+    # each character has its own sextets; compressed data may also be text that only begins like it
+    new = data.decode("utf-8", "surrogateescape")
+    yield new, lambda a, b: (places[_size(new[:a]) * 8 // 6], places[min(len(places), -(-_size(new[:b]) * 8 // 6)) - 1] + 1)
 
 
 class _Decoder:
@@ -302,7 +302,8 @@ def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int]:
                     packed[new.stretch] = _inside(new.stretch)
                 spans |= {(new.start, kind, new.end) for kind in packed[new.stretch][0]}
                 continue
-            met.add(new)
+            if new not in met and _readable(new):
+                met.add(new)
             if new in depths:
                 chain[-1][4] = min(chain[-1][4], depths[new])
             elif new in known:

@@ -7,6 +7,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -316,6 +317,61 @@ def test_base64_broken_into_lines(end):
             assert b - a < 2 * len(secret) and "password" not in S.redacted(text)
 
 
+def test_secrets_in_layers_that_cannot_be_printed_or_begin_inside_a_stretch():
+    secret = b"password=correcthorse"
+    code = base64.b64encode(secret).decode()
+    binary = base64.b64encode(secret + bytes(range(0x80, 0xC8))).decode()
+    for text in (binary, "a" + code, "x/" + code, "abc" + code, "/a/b/c/" + code, "a" + base64.b64encode(code.encode()).decode(), "see q-" + code + " there"):
+        spans, _ = S.all_spans(text, S.base_spans(text))
+        assert any(k == 0 for _, k, _ in spans), text
+    at = "see q-" + code
+    assert any(k == 0 and 6 <= x <= 8 and y == len(at) for x, k, y in S.all_spans(at + " there", [])[0])
+
+
+def test_deep_escapes_take_linear_time():
+    for sign, code in (("%", "25"), ("\\", "u005c"), ("\\", "x5C")):
+        deep = sign + code * (100_000 // len(code))
+        began = time.time()
+        S.all_spans(deep, [])
+        assert time.time() - began < 10
+    wrapped = "p%" + "25" * 3000 + "61ssword=\\" + "u005c" * 900 + "u0063orrecthorse"
+    assert any(k == 0 and (x, y) == (0, len(wrapped)) for x, k, y in S.all_spans(wrapped, [])[0])
+
+
+def unwrapped_plainly(text, depth=6):
+    """Kinds of secrets in everything that one decoding after the other can make of a text."""
+    kinds, layers = set(), {text}
+    for _ in range(depth):
+        kinds |= {k for layer in layers for _, k, _ in S.base_spans(layer)}
+        new = set()
+        for layer in layers:
+            new.add(re.sub(r"(?:%[0-9A-Fa-f]{2})+", lambda m: bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "replace"), layer))
+            new.add(re.sub(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})", lambda m: chr(int(m[1] or m[2], 16)), layer))
+            for m in re.finditer(r"[A-Za-z0-9+/]{16,}", layer):
+                for first in range(4):
+                    code = m[0][first:]
+                    code = code[: len(code) // 4 * 4]
+                    new.add(base64.b64decode(code).decode("utf-8", "replace"))
+        layers = new - {""}
+    return kinds
+
+
+def test_random_nestings_against_a_plain_unwrapper():
+    rng = np.random.default_rng(12)
+    secrets = ["password=correcthorse", "AKIA" + "Q7" * 9, "0123456789abcdef01234567", "nothing to be seen here"]
+    for _ in range(120):
+        text = " ".join(rng.choice(secrets, 2))
+        for _ in range(rng.integers(1, 4)):
+            kind = rng.integers(3)
+            if kind == 0:
+                text = "".join(f"%{ord(c):02X}" if rng.random() < 0.5 or c == "%" else c for c in text)
+            elif kind == 1:
+                text = "".join(f"\\u{ord(c):04x}" if rng.random() < 0.5 or c == "\\" else c for c in text)
+            else:
+                text = "".join(rng.choice(list("abcXYZ/"), rng.integers(0, 4))) + base64.b64encode(text.encode()).decode() + " end"
+        assert {k for _, k, _ in S.all_spans(text, S.base_spans(text))[0]} >= unwrapped_plainly(text)
+
+
 def test_secrets_of_repeated_rows_and_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "token=abcdef1", "x", 3), (1, "token=abcdef1", "y", 4), (None, None, None, None)], "doc_id long, text string, spans string, n_hex int")
     got = S.secret_scan(docs).collect()
