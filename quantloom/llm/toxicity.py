@@ -295,13 +295,16 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(lookup: _Lookup):
-    """(code, context): for each occurrence of a unit, the words on both sides."""
+    """(code, context): for each occurrence of a unit, the words of its text on both sides; a text's ends count as a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, bounds in text_blocks(batch.column("text")):
                 words = words_of(plain_bytes(data), bounds, NOT_LETTER)
-                context = mix(np.roll(words.codes, 1) + np.uint64(3) * np.roll(words.codes, -1))
+                before, after = np.roll(words.codes, 1), np.roll(words.codes, -1)
+                first, stop = np.asarray(words.offsets[:-1]), np.asarray(words.offsets[1:])
+                before[first[first < stop]] = after[stop[first < stop] - 1] = _NONE
+                context = mix(before + np.uint64(3) * after)
                 for codes in _units(words):
                     at = np.flatnonzero(lookup(codes) & (codes != _NONE))
                     if len(at):

@@ -195,6 +195,27 @@ def joined(spans):
     return ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+def test_toxicity_does_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(5)
+    names = ["ana", "bo", "cy", "dee", "eli", "fay", "gus", "hal", "ida", "jo", "kim", "lou"]
+    train_ids = [i for i in range(1, 2000) if remainder(i)]
+    texts = ["brav krell onso tiv yad"] * 100 + [f"you are a {rng.choice(['glorp', 'snerd'])} {rng.choice(names)} and {rng.choice(names)} knows" for _ in range(100)]
+    texts += [f"the {rng.choice(names)} and the {rng.choice(names)} went home {rng.choice(names)}" for _ in range(200)]
+    rows = [(i, text) for i, text in zip(train_ids, texts)]
+    labels = spark.createDataFrame([(i, int(k < 200)) for k, (i, _) in enumerate(rows)], "doc_id long, toxic int")
+    every = X._codes(sorted({w for text in texts for w in text.split()}))
+    insults = lambda docs: every[X.learn(docs, labels)[0].insults(every)].tolist()
+    found, scored = [], []
+    for order in (rows, rows[::-1], rng.sample(rows, len(rows))):
+        docs = spark.createDataFrame(order, SCHEMA).coalesce(1)
+        found.append(sorted(insults(docs)))
+        scored.append(sorted((r.doc_id, round(r.score, 9)) for r in X.score_toxicity(docs, labels).collect()))
+    assert found[0] and found[0] == found[1] == found[2]
+    assert scored[0] == scored[1] == scored[2]
+    lone = spark.createDataFrame(rows[:100] + rows[200:], SCHEMA)  # copies of one text teach nothing
+    assert not insults(lone)
+
+
 def test_base_secrets(spark):
     rng = random.Random(10)
     parts = ["password: hunter2x", "Token=abc", "secret=token : abcdefgh", 'api_key"="A1b2C3d4"', "AKIA" + "Q" * 15, "AKIA" + "Q" * 16, "AKIAAKIA" + "B2" * 9, "f" * 23, "0a" * 12, "deadBEEF" * 6, "é\U0001f600", "passwd = 'x.y-z_1='", "ſecret=abcdefgh", "toKen=abcdefgh", "\n", " "]
