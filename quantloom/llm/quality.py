@@ -122,6 +122,13 @@ def _pattern_of(votes: np.ndarray) -> np.ndarray:
     return ((votes.astype(np.int64) + 1) * 3 ** np.arange(votes.shape[1])).sum(axis=1)
 
 
+def _text_codes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a code of each row's words, which rows have no words)."""
+    words = words_of(data, bounds)
+    folded = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(words.codes))))
+    return mix(folded[words.offsets[1:]] - folded[words.offsets[:-1]]).view(np.int64), np.diff(words.offsets) == 0
+
+
 def _votes_of(pattern: np.ndarray) -> np.ndarray:
     return (pattern[:, None] // 3 ** np.arange(len(LABELLERS)) % 3 - 1).astype(np.int8)
 
@@ -131,16 +138,11 @@ def train_quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.n
     texts = docs.select(F.col("text").cast("string").alias("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # vote patterns of all documents and, of each, a code that picks the sample
+        # vote patterns of all documents and, of each with words, a code that picks the sample
         for batch in batches:
-            patterns, codes = [], []
             for _, data, bounds in text_blocks(batch.column("text")):
-                patterns.append(_pattern_of(text_measures(data, bounds)[0]))
-                words = words_of(data, bounds)
-                folded = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(words.codes))))
-                codes.append(mix(folded[words.offsets[1:]] - folded[words.offsets[:-1]]))
-            if patterns:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(patterns)), pa.array(np.concatenate(codes).view(np.int64))], ["pattern", "code"])
+                codes, wordless = _text_codes(data, bounds)
+                yield pa.RecordBatch.from_arrays([pa.array(_pattern_of(text_measures(data, bounds)[0])), pa.array(codes, mask=wordless)], ["pattern", "code"])
 
     votes = saved(texts.mapInArrow(vote, "pattern long, code long"), "votes")
     got = votes.groupBy("pattern").count().toPandas()  # 3 ** labellers rows at most
@@ -153,13 +155,12 @@ def train_quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.n
         seen = set()
         for batch in batches:
             for _, data, bounds in text_blocks(batch.column("text")):
-                words = words_of(data, bounds)
-                folded = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(words.codes))))
-                codes = mix(folded[words.offsets[1:]] - folded[words.offsets[:-1]]).view(np.int64)
-                take = [i for i in np.flatnonzero(codes <= edge).tolist() if not (codes[i] in seen or seen.add(codes[i]))]
-                for i in take:
-                    v, x = text_measures(data[bounds[i] : bounds[i + 1]], bounds[i : i + 2] - bounds[i])
-                    yield pa.RecordBatch.from_arrays([pa.array(codes[i : i + 1]), pa.array(_pattern_of(v)), pa.array([x[0].astype(np.float32)], pa.list_(pa.float32()))], ["code", "pattern", "x"])
+                codes, wordless = _text_codes(data, bounds)
+                take = [i for i in np.flatnonzero((codes <= edge) & ~wordless).tolist() if not (codes[i] in seen or seen.add(codes[i]))]
+                if take:
+                    v, x = text_measures(np.concatenate([data[bounds[i] : bounds[i + 1]] for i in take]), np.concatenate(([0], np.cumsum(np.diff(bounds)[take]))))
+                    features = pa.ListArray.from_arrays(pa.array(np.arange(len(take) + 1, dtype=np.int32) * WIDTH), pa.array(x.astype(np.float32).reshape(-1)))
+                    yield pa.RecordBatch.from_arrays([pa.array(codes[take]), pa.array(_pattern_of(v)), features], ["code", "pattern", "x"])
 
     weights = np.zeros(WIDTH)
     if edge is not None:
@@ -195,7 +196,11 @@ def score_quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    """The rows of ``docs`` that the classifier accepts, with all their columns, whatever their names.
+
+    A null text counts as empty and is judged as in ``score_quality``; null and repeated ids, which play no
+    part, stay as they are. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(train_quality(docs, sample_rows)[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
