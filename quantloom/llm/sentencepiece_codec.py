@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CACHE_CHUNKS = 400_000  # distinct chunks that a task remembers; then it starts anew
+THREADS = 2  # of each worker; as many as the machine has cores would compete with the other tasks
 MARK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -161,7 +162,7 @@ class Codec:
         same = np.ones(len(new), bool)
         if processor is not None:  # the library adds a marker of its own in front
             lead = 1 if self.model.add_prefix else 0
-            expected = processor.encode([c.replace(MARK, " ")[lead:] for c in new], num_threads=2)
+            expected = processor.encode([c.replace(MARK, " ")[lead:] for c in new], num_threads=THREADS)
             # an empty text gets no marker, so the marker alone is looked up
             alone = [processor.piece_to_id(MARK)]
             same = np.array([a == (alone if c == MARK else b) for c, a, b in zip(new, ids, expected)], bool)
@@ -216,6 +217,7 @@ def _codec(data: bytes) -> tuple[Codec, object]:
         import sentencepiece
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         _codecs.clear()
         _codecs[key] = Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
     return _codecs[key]
