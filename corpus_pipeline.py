@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quantloom.llm.common import saved
+from quantloom.llm.common import forget, saved
 from quantloom.llm.decontaminate import drop_leaks
 from quantloom.llm.jaccard_join import keep_one_per_component
 from quantloom.llm.quality import keep_quality
@@ -53,9 +53,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stages make of ``documents``. Each stage's table is deleted once the next one is written.
+
+    Null texts count as empty, rows without doc_id are near copies of nothing, of rows with one doc_id one stays,
+    further columns of any name are kept, and an empty table gives no rows; each operator's docstring says more.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = saved(docs, f"stage{i}")
+            if i:
+                forget(before)
     return docs
