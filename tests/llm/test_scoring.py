@@ -509,3 +509,66 @@ def test_pipeline_against_its_parts(spark):
     assert all(not any(b in r.text for b in bench) for r in rows)
     assert {r.doc_id for r in rows} == {i for i in kept if i < 60 and not any(b in kept[i] for b in bench)}
     assert all(r.text == S.redacted(kept[r.doc_id]) and r.n_chars == len(r.text) and r.parity for r in rows)
+
+
+def brute_groups(texts):
+    """The least id of each id's group of texts whose 5-word shingles agree by 3/4."""
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0d]+", t.translate(LOWER))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return {i: top(i) for i in sets}
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA) or not os.path.exists(C.MODEL_PATH), reason="the tables are not here")
+def test_pipeline_run_on_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+    import sentencepiece
+
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    bench = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("text").limit(3).collect()]
+    plain = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 240").collect()}
+    long = " ".join(f"{a} then {b}." for a, b in zip(plain[1].split() * 400, range(40_000)))
+    turned = lambda text: " ".join(text.split()[::-1])
+    extra = [(1000, None), (1001, ""), (1002, plain[5]), (1003, plain[5] + " more words behind"), (1004, turned(plain[6]) + " " + bench[0]), (1005, turned(plain[7]) + " password=hunter2hunter2 and on"), (1006, long), (None, plain[8]), (None, None), (9, plain[9])]
+    clash = "doc_id long, text string, n_chars long, quality string, component_id string, token_ids string, code string, `once` string"
+    rows = [(i, t, None if t is None else len(t), "q", "c", "t", "x", "o") for i, t in [*plain.items(), *extra]]
+    docs = spark.createDataFrame(rows, clash).repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert set(docs.columns) <= set(got.columns)
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.text or "", tuple(r.token_ids), r.parity) for r in got.collect())
+    accepted = [(r.doc_id, r.text) for r in docs.join(K.score_quality(docs).where("accepted").select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text").collect()]
+    texts = {i: t or "" for i, t in accepted}
+    root = brute_groups(texts)
+    kept = [(i, t) for i, t in texts.items() if root[i] == i]
+    nameless = [(None, t or "") for i, t in extra if i is None]
+    all_bench = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    processor = sentencepiece.SentencePieceProcessor(model_file=C.MODEL_PATH)
+    known = {i for _, i, *_ in found}
+    want = []
+    for i, t in [*kept, *nameless]:
+        if not any(b in t for b in all_bench):
+            clear = S.redacted(t)
+            want.append((i is None, i or 0, clear, tuple(processor.encode(clear)), True))
+    # whether the nameless pass the quality stage is as for any text with the same words
+    assert [r for r in found if not r[0]] == sorted(r for r in want if not r[0])
+    assert {r[2] for r in found if r[0]} <= {r[2] for r in want if r[0]}
+    assert {1002, 1003, 1004} & known == set() and {1005, 1006} <= known
+    assert [r[2] for r in found if r[1] == 1005 and "hunter2" in r[2]] == []
+    spark.createDataFrame([], clash).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
