@@ -1,8 +1,9 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A text is cut into clauses, a clause's words become symbols (insult, threat, target, negation, speech
-verb, quotation mark), and a cascade of transducers rewrites the symbols: targets on either side mark
-what is aimed at someone, negation marks what it negates, and reported speech what is only quoted. The
+verb, verb of belief, quotation mark, comma), and a cascade of transducers rewrites the symbols: targets on either side mark
+what is aimed at someone, negation marks what it negates, and reported speech what is only quoted, be it
+after the verb of speech or before it ("..., he said"). The
 machine runs over each clause that holds an insult or a threat and adds up the weights of the rewritten
 symbols; a document's score is a rising function of its clauses' scores and of nothing else. What counts
 as an insult is learned from labelled documents as words and word beginnings; how much less a negated or
@@ -30,9 +31,15 @@ HEADS = (4, 5, 6)  # bytes of the word beginnings that are learned besides whole
 THREATS = "kill hurt destroy beat punish burn crush shoot stab töten zerstören schlagen tuer détruire frapper matar destruir golpear".split()
 TARGETS = "you your yours yourself him his her them their dich dir dein euch toi te vous votre tes ton usted ustedes ti".split()
 SUBJECTS = "he she they du ihr sie tu tú tus vosotros".split()
-NEGATIONS = "not no never neither nor without nicht kein keine nie ohne ne pas jamais sans nunca sin jamás ni".split()
+NEGATIONS = "not no never neither nor without nobody none hardly cannot niemand nadie nicht kein keine nie ohne ne pas jamais sans nunca sin jamás ni".split()
 SPEECH = "said says say told called claims claimed wrote reported quoted sagte sagt meinte schrieb dit disait écrit affirme dijo dice escribió afirma".split()
 
+BELIEFS = "think thinks thought believe believes believed consider considers find finds glaube glaubt denke denkt finde findet crois croit pense pensent creo cree piensa pienso".split()
+AIM = {"insult": 8, "threat": 4}  # words on from a target that it still aims at
+AIM_BACK = {"insult": 8, "threat": 2}  # the same for a target behind: "kill all you", but not "kill time for you"
+REACH, REACH_ON = 3, 6  # words that a negation reaches, and that it reaches from a verb of belief or speech on
+TAIL = 2  # words between an attribution's verb and the clause's end, and between its comma and the verb
+
 
 class Transducer(NamedTuple):
     """``arcs[state, symbol] = (next state, output symbol)``; without an arc, state and symbol stay."""
@@ -62,32 +69,42 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer(start, arcs)
 
 
-INSULT, THREAT, TARGET, SUBJECT, NEGATION, VERB, QUOTE, OTHER = SYMBOLS = ("insult", "threat", "target", "subject", "negation", "verb", "quote", "other")
+INSULT, THREAT, TARGET, SUBJECT, NEGATION, VERB, BELIEF, QUOTE, COMMA, OTHER = SYMBOLS = ("insult", "threat", "target", "subject", "negation", "verb", "belief", "quote", "comma", "other")
+_SIGNS = (QUOTE, COMMA)  # no words, so they count for no distance
 # weights of an insult and a threat as they stand, and what a mark multiplies them by: targeted, negated, reported
 WEIGHTS = {INSULT: 1.0, THREAT: 0.5}
 MARKS = {(INSULT, "+t"): 1.5, (THREAT, "+t"): 4.0, (INSULT, "-n"): 0.25, (THREAT, "-n"): 0.1, (INSULT, "/r"): 0.4, (THREAT, "/r"): 0.4}
 PRIOR_ROWS = 20  # the stated values count as so many documents
 
 
-def _target() -> Transducer:
-    """A target marks the insults and threats that follow it, one that can only be a subject no threats."""
-    arcs = {(state, TARGET): ("target", TARGET) for state in ("none", "subject")} | {("none", SUBJECT): ("subject", SUBJECT)}
-    arcs |= {("target", s): ("target", f"{s}+t") for s in (INSULT, THREAT)}
-    return Transducer("none", arcs | {("subject", INSULT): ("subject", f"{INSULT}+t")})
+def _target(aim: dict) -> Transducer:
+    """A target marks the insults and threats that follow it within ``aim`` words, one that can only be a subject no threats."""
+    none, farthest = ("none", 0), max(aim.values())
+    arcs: dict = {}
+    for state in [none, *((kind, far) for kind in (TARGET, SUBJECT) for far in range(farthest))]:
+        kind, far = state
+        if state != none:
+            on = (kind, far + 1) if far + 1 < farthest else none
+            arcs |= {(state, s): (on, s) for s in SYMBOLS if s not in _SIGNS}
+            for s in (INSULT, THREAT):
+                if far < aim[s] and (s, kind) != (THREAT, SUBJECT):
+                    arcs[state, s] = (on, f"{s}+t")
+                arcs[state, f"{s}+t"] = (on, f"{s}+t")
+        arcs[state, TARGET] = ((TARGET, 0), TARGET)
+        if kind != TARGET or far >= AIM[THREAT]:  # a subject doesn't take the place of a target that still aims
+            arcs[state, SUBJECT] = ((SUBJECT, 0), SUBJECT)
+    return Transducer(none, arcs)
 
 
 def _grammar() -> Transducer:
     """target o negation o reported speech, from left to right."""
     negation: dict = {}
-    for left in range(4):  # words that a negation still reaches
-        negation[left, NEGATION] = (3, NEGATION)
-        for s in SYMBOLS:
-            if s != NEGATION and left:
-                negation[left, s] = (left - 1, s)
-        for s in (INSULT, THREAT):
-            for t in (s, f"{s}+t"):
-                if left:
-                    negation[left, t] = (left - 1, f"{t}-n")
+    for left in range(REACH_ON + 1):  # words that a negation still reaches
+        negation[left, NEGATION] = (REACH, NEGATION)
+        if left:
+            negation |= {(left, s): (left - 1, s) for s in SYMBOLS if s != NEGATION and s not in _SIGNS}
+            negation |= {(left, s): (REACH_ON, s) for s in (BELIEF, VERB)}
+            negation |= {(left, t): (left - 1, f"{t}-n") for s in (INSULT, THREAT) for t in (s, f"{s}+t")}
     report: dict = {}
     for s in (INSULT, THREAT):
         for t in (s, f"{s}+t", f"{s}-n", f"{s}+t-n"):
@@ -96,10 +113,25 @@ def _grammar() -> Transducer:
     report[("plain", VERB)] = ("said", VERB)
     report[("plain", QUOTE)] = report[("said", QUOTE)] = ("quoted", QUOTE)
     report[("quoted", QUOTE)] = ("plain", QUOTE)
-    return compose(compose(_target(), Transducer(0, negation)), Transducer("plain", report))
+    return compose(compose(_target(AIM), Transducer(0, negation)), Transducer("plain", report))
+
 
+def _attribution() -> Transducer:
+    """From right to left: a comma, at most ``TAIL`` words, a verb of speech and at most ``TAIL`` words at the
+    clause's end tell that what stands before the comma is only reported."""
+    marked = [f"{s}{t}{n}" for s in (INSULT, THREAT) for t in ("", "+t") for n in ("", "-n")]
+    words = [s for s in SYMBOLS if s not in _SIGNS] + [f"{t}{r}" for t in marked for r in ("", "/r")]
+    arcs: dict = {}
+    for seen in range(TAIL + 1):
+        for step in ("end", "verb"):
+            arcs |= {((step, seen), s): ((step, seen + 1) if seen < TAIL else "plain", s) for s in words}
+        arcs[("end", seen), VERB] = (("verb", 0), VERB)
+        arcs[("end", seen), COMMA] = ("plain", COMMA)
+        arcs[("verb", seen), COMMA] = ("reported", COMMA)
+    return Transducer(("end", 0), arcs | {("reported", t): ("reported", f"{t}/r") for t in marked})
 
-GRAMMAR, BACKWARD = _grammar(), _target()
+
+GRAMMAR, BACKWARD, ATTRIBUTION = _grammar(), _target(AIM_BACK), _attribution()
 
 
 def _rewritten(machine: Transducer, symbols: list[str]) -> list[str]:
@@ -111,8 +143,10 @@ def _rewritten(machine: Transducer, symbols: list[str]) -> list[str]:
 
 
 def clause_outputs(symbols: list[str]) -> list[str]:
-    """What the grammar makes of a clause: first the targets that follow, from right to left, then the composed machine."""
-    return _rewritten(GRAMMAR, _rewritten(BACKWARD, symbols[::-1])[::-1])
+    """What the grammar makes of a clause: first the targets that follow, from right to left, then the composed machine,
+    then, from right to left again, an attribution behind."""
+    made = _rewritten(GRAMMAR, _rewritten(BACKWARD, symbols[::-1])[::-1])
+    return _rewritten(ATTRIBUTION, made[::-1])[::-1]
 
 
 def symbol_weight(symbol: str, weights: dict, marks: dict) -> float:
@@ -147,7 +181,7 @@ _MARKS = [bytes([0xE2, 0x80, x]) for x in (0x9C, 0x9D, 0x9E, 0x9F)] + [bytes([0x
 
 def plain_bytes(data: np.ndarray) -> np.ndarray:
     """UTF-8 bytes with all double quotation marks as ``"`` and the Latin-1 capitals lowered; as many bytes as before.
-    A single one may be an apostrophe and is none."""
+    A single one may be an apostrophe and is none; the curved one becomes three plain ones."""
     high = np.flatnonzero((data == 0xC3) | (data == 0xC2) | (data == 0xE2))
     if not len(high):
         return data
@@ -160,6 +194,9 @@ def plain_bytes(data: np.ndarray) -> np.ndarray:
         data[at] = ord('"')
         for i in range(1, len(mark)):
             data[at + i] = ord(" ")
+    curved = high[(data[high] == 0xE2) & (after == 0x80) & (third == 0x99)]
+    for i in range(3):
+        data[curved + i] = ord("'")
     return data[:-2]
 
 
@@ -194,6 +231,19 @@ def _units(words: Words) -> list[np.ndarray]:
     return out
 
 
+def _contracted(data: np.ndarray, words: Words) -> np.ndarray:
+    """Which words end in n and go on with an apostrophe and a t alone, in the same row."""
+    out = np.zeros(len(words.codes), bool)
+    if len(out) < 2:
+        return out
+    end, after, row = words.ends[:-1], words.starts[1:], words.rows()
+    gap = after - end
+    sign = ((gap == 1) | (gap == 3)) & (data[end] == ord("'")) & (data[after - 1] == ord("'"))
+    lone_t = (words.ends[1:] - after == 1) & ((data[after] | 0x20) == ord("t"))
+    out[:-1] = sign & lone_t & ((data[end - 1] | 0x20) == ord("n")) & (row[1:] == row[:-1])
+    return out
+
+
 _NONE = np.uint64(0)
 FEATURES = 3
 
@@ -203,7 +253,7 @@ class ClauseScorer:
 
     def __init__(self, insults: np.ndarray, marks: dict = MARKS):
         self.insults, self.marks = _Lookup(np.array(insults, np.uint64)), marks
-        self.fixed = [(kind, _Lookup(_codes(words))) for kind, words in ((THREAT, THREATS), (TARGET, TARGETS), (SUBJECT, SUBJECTS), (NEGATION, NEGATIONS), (VERB, SPEECH))]
+        self.fixed = [(kind, _Lookup(_codes(words))) for kind, words in ((THREAT, THREATS), (TARGET, TARGETS), (SUBJECT, SUBJECTS), (NEGATION, NEGATIONS), (VERB, SPEECH), (BELIEF, BELIEFS))]
 
     def clauses(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, list[str]]]:
         """(row, rewritten symbols) of each clause with an insult or a threat. A quotation goes on over clauses to the end of its line."""
@@ -216,6 +266,9 @@ class ClauseScorer:
         core = np.flatnonzero(hit | kinds[THREAT])
         if not len(core):
             return
+        shut = _contracted(data, words)  # n't: the word before is a negation, its t no word
+        kinds[NEGATION] = kinds[NEGATION] | shut
+        commas = np.concatenate(([0], np.cumsum(data == ord(","))))
         clause = np.cumsum(_BREAK[data])[words.starts]
         quotes = np.concatenate(([0], np.cumsum(data == ord('"'))))
         lines = np.unique(np.concatenate((bounds, np.flatnonzero(data == ord("\n")) + 1)))  # where lines begin
@@ -230,6 +283,10 @@ class ClauseScorer:
             for w in range(a, b):
                 if w > a and (quotes[words.starts[w]] - quotes[words.ends[w - 1]]) % 2:
                     symbols.append(QUOTE)
+                if w > a and commas[words.starts[w]] > commas[words.ends[w - 1]]:
+                    symbols.append(COMMA)
+                if w > a and shut[w - 1]:
+                    continue
                 symbols.append(INSULT if hit[w] else next((k for k, is_in in kinds.items() if is_in[w]), OTHER))
             yield int(row_of[a]), clause_outputs(symbols)
 

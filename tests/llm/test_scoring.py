@@ -43,6 +43,63 @@ def test_grammar():
     assert out(["subject", "threat"])[-1] == "threat" and out(["subject", "insult"])[-1] == "insult+t"
 
 
+def marked_clauses(text):
+    """Rewritten insults and threats of a text, 'idiot' being the insult."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    scorer = X.ClauseScorer(X._codes(["idiot"]))
+    return [[s for s in made if s.startswith(("insult", "threat"))] for _, made in scorer.clauses(data, np.array([0, len(data)]))]
+
+
+@pytest.mark.parametrize(
+    ("text", "marks"),
+    [
+        ("You are an idiot", "insult+t"),
+        ("You aren't an idiot", "insult+t-n"),
+        ("You aren\u2019t an idiot", "insult+t-n"),
+        ("I don't think you are an idiot", "insult+t-n"),
+        ("Nobody thinks you are an idiot", "insult+t-n"),
+        ("You are hardly an idiot", "insult+t-n"),
+        ("Not only are you an idiot", "insult+t"),
+        ("You are an idiot, he said", "insult+t/r"),
+        ("You are an idiot, said the man", "insult+t/r"),
+        ("He said you are an idiot", "insult+t/r"),
+        ("The idiot said hello to all of us", "insult"),
+        ("Well, he said hello, you idiot", "insult+t/r"),
+        ("this will kill time for you", "threat"),
+        ("I will kill you", "threat+t"),
+        ("Don is an idiot", "insult"),
+        ("You, my dear friend, are an idiot", "insult+t"),
+    ],
+)
+def test_marks_of_clauses(text, marks):
+    assert marked_clauses(text) == [[marks]]
+
+
+def test_contractions_stay_in_their_row():
+    data = np.frombuffer(b"you isn't idiot", np.uint8)
+    scorer = X.ClauseScorer(X._codes(["idiot"]))
+    assert [made for _, made in scorer.clauses(data, np.array([0, 8, len(data)]))] == [["other", "insult"]]
+
+
+def test_attributions_against_a_plain_reading():
+    rng = random.Random(3)
+    for _ in range(3000):
+        clause = rng.choices(["insult", "threat", "other", "verb", "comma"], [2, 1, 3, 2, 2], k=rng.randint(1, 9))
+        words_behind, at, mode = 0, len(clause), "end"
+        while at and mode in ("end", "verb"):  # the plain reading: from the end, word by word
+            at -= 1
+            if clause[at] == "comma":
+                mode = "reported" if mode == "verb" else "plain"
+            elif mode == "end" and clause[at] == "verb":
+                mode, words_behind = "verb", 0
+            else:
+                words_behind += 1
+                mode = mode if words_behind <= X.TAIL else "plain"
+        said = clause.index("verb") if "verb" in clause else len(clause)
+        want = [s + "/r" if s in ("insult", "threat") and (i > said or (mode == "reported" and i < at)) else s for i, s in enumerate(clause)]
+        assert X.clause_outputs(clause) == want, clause
+
+
 def test_marks_follow_labels_but_keep_their_order():
     assert X.learned_marks({}) == X.MARKS
     turned = X.learned_marks({"insult": (50, 50), "insult-n": (900, 0), "insult/r": (0, 900), "insult+t": (0, 900)})
