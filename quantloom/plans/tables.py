@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import expr as E
-from ..operators.asof import asof_backward, pad_daily, valid_ranges
+from ..operators.asof import asof_backward, pad_daily
 from ..operators.ordered import HOT_ROWS, trailing_windows
 
 # fixed values: rows that each named lookback goes back, and the largest ranks of the two universes
@@ -126,14 +126,31 @@ def implied_float_shares(filings: DataFrame, candles: DataFrame) -> DataFrame:
     return met.withColumn("value", value).drop("open")
 
 
+METRICS = ("shares", "float", "earnings")
+
+
+def fact_ranges(filings: DataFrame, as_of: Column) -> DataFrame:
+    """Each company's shares, float and earnings from one filing of any of them to the day before the next, the last until as_of:
+    cik, valid_from, valid_until, shares, float, earnings, last_filed.
+
+    A filing day is a row, so this grows with filings, not with days. Of several entries of a metric on one day the last period's wins.
+    """
+    known = filings.where((F.col("filed") <= as_of) & F.col("metric").isin(*METRICS))
+    lone = F.when(F.col("cik").isNull(), F.col("metric"))  # facts without a company don't meet
+    last = lambda m: F.max(F.when(F.col("metric") == m, F.struct("period_end", "value"))).alias(m)
+    days = known.groupBy("cik", lone.alias("lone"), F.col("filed").alias("valid_from")).agg(*[last(m) for m in METRICS])
+    w = Window.partitionBy("cik", "lone").orderBy("valid_from")
+    held = {m: F.last(m, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for m in METRICS}
+    until = F.coalesce(F.date_sub(F.lead("valid_from").over(w), 1), as_of)
+    return days.select("cik", "valid_from", until.alias("valid_until"), *[c["value"].alias(m) for m, c in held.items()], F.col("valid_from").alias("last_filed"))
+
+
 def padded_facts(filings: DataFrame, as_of: Column) -> DataFrame:
-    """Each company's shares, float and earnings on each day they were publicly known: cik, reference_date, shares, float, earnings, last_filed."""
-    out = None
-    for metric in ("shares", "float", "earnings"):
-        one = valid_ranges(filings.where(F.col("metric") == metric), "cik", "filed", ["period_end"], as_of)
-        daily = pad_daily(one).select("cik", "reference_date", F.col("value").alias(metric), F.col("filed").alias(f"{metric}_filed"))
-        out = daily if out is None else out.join(daily, ["cik", "reference_date"], "full")
-    return out.withColumn("last_filed", F.greatest("shares_filed", "float_filed", "earnings_filed"))
+    """Each company's shares, float and earnings on each day they were publicly known: cik, reference_date, shares, float, earnings, last_filed.
+
+    Days are made last, so none of them is moved.
+    """
+    return pad_daily(fact_ranges(filings, as_of)).select("cik", "reference_date", *METRICS, "last_filed")
 
 
 def valued(df: DataFrame) -> DataFrame:
@@ -153,9 +170,19 @@ def stocks_daily(candles: DataFrame, padded: DataFrame) -> DataFrame:
     return valued(candles.join(facts, ["symbol", "timeframe"], "left"))
 
 
+def stocks_daily_ranges(candles: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The same answer from ``fact_ranges``: candles meet the ranges of their month that hold their day, so no day is made or moved."""
+    month = lambda c: F.trunc(c, "month")
+    months = F.explode(F.when(F.col("valid_from") <= F.col("valid_until"), F.sequence(month("valid_from"), month("valid_until"), F.expr("interval 1 month"))))
+    facts = ranges.select(F.col("cik").alias("__cik"), "valid_from", "valid_until", *METRICS, months.alias("__month"))
+    inside = F.col("timeframe").between(F.col("valid_from"), F.col("valid_until"))
+    met = candles.join(facts.hint("merge"), (F.col("symbol") == F.col("__cik")) & (month("timeframe") == F.col("__month")) & inside, "left")
+    return valued(met.drop("__cik", "__month", "valid_from", "valid_until"))
+
+
 def stocks_daily_asof(candles: DataFrame, filings: DataFrame, as_of: Column) -> DataFrame:
     """The same answer without a row per calendar day: each metric joins as of its latest filing, all in one merge by symbol."""
-    metrics = ("shares", "float", "earnings")
+    metrics = METRICS
     known = filings.where(F.col("filed") <= as_of)
     last = lambda m: F.max_by(F.when(F.col("metric") == m, F.struct("value")), F.when(F.col("metric") == m, F.col("period_end"))).alias(m)
     right = known.groupBy(F.col("cik").alias("symbol"), "filed").agg(*[last(m) for m in metrics])
