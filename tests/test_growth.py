@@ -1,10 +1,12 @@
 """Plans and results that decide how a query grows with its tables."""
 
-from datetime import date
+from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quantloom.operators import vgraph as G
 from quantloom.plans import registry
 from quantloom.plans import tables as T
 
@@ -40,3 +42,25 @@ def test_stocks_by_ranges_are_those_by_days(spark):
     assert padded.where("cik is null").count() == 2 * 104  # facts without a company don't meet
     assert padded.where("cik = 1 and reference_date = date'2020-01-06'").first().shares == 11.0
     assert padded.where("cik = 1 and float is not null").count() == 0 and padded.where("cik = 2").count() == 99
+
+
+GRAPHS = ("G3_density", "G4_clustering", "G5_assortativity", "G6_power_law", "G7_path_measures", "M15_visibility_measures", "M15b_gold_visibility_view")
+
+
+@pytest.mark.parametrize("name", GRAPHS)
+def test_edges_of_graphs_are_not_rows(spark, name):
+    text = plan(registry.QUERIES[name](spark, DATA))
+    assert text.count("Exchange") <= 2 and "Join" not in text  # candles, then graphs
+
+
+def test_measures_of_graph_rows_are_those_of_edges(spark):
+    rng, nan, inf = np.random.default_rng(5), float("nan"), float("inf")
+    shapes = [rng.random(n).round(1).tolist() for n in (2, 3, 5, 9, 31, 31, 70)] + [[1.0] * 12, [1.0, None, 3.0, 2.0, None], [nan, 1.0, 2.0, nan, 5.0], [inf, 1.0, -inf, inf, 2.0, 2.0], [7.0]]
+    rows = [(date(2020, 1, 31), g, date(2020, 1, 1) + timedelta(days=i), v) for g, own in enumerate(shapes) for i, v in enumerate(own)]
+    rows = spark.createDataFrame(rows, "window_end date, symbol long, timeframe date, open double")
+    points = G.graph_points(rows)
+    old, new = (df.orderBy("symbol").toPandas() for df in (G.visibility_measures(points, G.visibility_edges(points)), G.graph_measures(G.graph_rows(rows))))
+    assert list(old.columns) == list(new.columns) and len(old) == len(shapes) - 1
+    for c in G.MEASURES:
+        assert old[c].isna().tolist() == new[c].isna().tolist()
+        assert np.allclose(old[c].to_numpy(float), new[c].to_numpy(float), rtol=1e-12, atol=1e-12, equal_nan=True), c
