@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import cosine, dot, is_finite
+from ..sources.writers import written
 
 DIMENSIONS = 16
 MIN_MISSING = 0.1
@@ -69,7 +70,7 @@ def complete_panel(rows: DataFrame, day: str, value: str, max_missing: float = M
 
     ``rows(window_end, symbol, day, value)``; null and infinite values are missing. Days without any value are left out.
     """
-    one = rows.groupBy("window_end", "symbol", day).agg(F.max(F.when(is_finite(F.col(value)), F.col(value))).alias(value))
+    one = written(rows.groupBy("window_end", "symbol", day).agg(F.max(F.when(is_finite(F.col(value)), F.col(value))).alias(value)), "windowed")  # read four times
     days = one.groupBy("window_end").agg(F.count_distinct(day).alias("n_days"))
     means = one.groupBy("window_end", day).agg(F.avg(value).alias("day_mean")).where("day_mean is not null")
     kept = one.groupBy("window_end", "symbol").agg(F.count(value).alias("valid")).join(F.broadcast(days), "window_end").where(1 - F.col("valid") / F.col("n_days") <= max_missing).select("window_end", "symbol")
@@ -114,6 +115,7 @@ def embeddings(panel: DataFrame, day: str, dimensions: int = DIMENSIONS) -> Data
     """
     spark = panel.sparkSession
     rows = panel.groupBy("window_end", "symbol").agg(F.transform(F.array_sort(F.collect_list(F.struct(day, "z"))), lambda c: c["z"]).alias("r"))  # a window's days
+    rows = written(rows, "panel_rows")
     bases, grams = [], _summed(rows, "window_end", "r", "r")
     symbols = {r[0]: r[1] for r in rows.groupBy("window_end").count().collect()}  # a row a window
     dimensions = min([dimensions, *(int(round(len(g) ** 0.5)) for g in grams.values()), *(max(1, n // 2) for n in symbols.values())])
@@ -138,7 +140,7 @@ def align_windows(vectors: DataFrame) -> DataFrame:
 
     Raises where two neighbouring windows share fewer symbols than there are dimensions.
     """
-    spark = vectors.sparkSession
+    spark, vectors = vectors.sparkSession, written(vectors, "vectors")
     ends = [r[0] for r in vectors.select("window_end").distinct().orderBy("window_end").collect()]  # one row a window
     if not ends:
         return vectors.withColumn("aligned", F.col("embedding"))

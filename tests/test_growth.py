@@ -64,3 +64,8 @@ def test_measures_of_graph_rows_are_those_of_edges(spark):
     for c in G.MEASURES:
         assert old[c].isna().tolist() == new[c].isna().tolist()
         assert np.allclose(old[c].to_numpy(float), new[c].to_numpy(float), rtol=1e-12, atol=1e-12, equal_nan=True), c
+
+
+@pytest.mark.parametrize("name", ["V5_M13_embeddings", "V6_aligned_embeddings", "Q22_adjacent_cosine"])
+def test_embeddings_are_made_once(spark, name):
+    assert "lineitem" not in plan(registry.QUERIES[name](spark, DATA))  # what is read again was written
