@@ -130,8 +130,10 @@ def run_sql(spark: SparkSession, sf_dir: str, sql: str, tables: Sequence[str]) -
     return spark.sql(sql)
 
 
-def wide_to_long(wide: DataFrame, day: str, fields: Sequence[str]) -> DataFrame:
-    """Columns named ``{symbol}_{field}`` as rows (symbol, day, fields...); missing cells stay null."""
-    long = wide.unpivot([day], [c for c in wide.columns if c != day], "__name", "__value")
+def wide_to_long(wide: DataFrame, day: str, fields: Sequence[str], block: str | None = None) -> DataFrame:
+    """Columns named ``{symbol}_{field}`` as rows (symbol, day, fields...); missing cells stay null. A table in several blocks of columns has
+    the number of its block in ``block``, which stays a column."""
+    keys = [day] if block is None else [day, block]
+    long = wide.unpivot(keys, [c for c in wide.columns if c not in keys], "__name", "__value")
     long = long.withColumns({"symbol": F.regexp_extract("__name", r"^(.*)_([^_]+)$", 1), "__field": F.lower(F.regexp_extract("__name", r"^(.*)_([^_]+)$", 2))})
-    return long.groupBy("symbol", day).agg(*[F.max(F.when(F.col("__field") == f, F.col("__value"))).alias(f) for f in fields])
+    return long.groupBy("symbol", *keys).agg(*[F.max(F.when(F.col("__field") == f, F.col("__value"))).alias(f) for f in fields])

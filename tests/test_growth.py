@@ -69,3 +69,22 @@ def test_measures_of_graph_rows_are_those_of_edges(spark):
 @pytest.mark.parametrize("name", ["V5_M13_embeddings", "V6_aligned_embeddings", "Q22_adjacent_cosine"])
 def test_embeddings_are_made_once(spark, name):
     assert "lineitem" not in plan(registry.QUERIES[name](spark, DATA))  # what is read again was written
+
+
+def test_wide_tables_have_few_columns_and_all_symbols(spark, tmp_path):
+    rows = spark.range(500).selectExpr("id * 37 - 1000 AS user_id", "id AS event_id", "timestamp'2024-01-01 10:00:00' AS ts", "double(id) AS value")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    got = registry.QUERIES["S13_wide_to_long"](spark, str(tmp_path))
+    assert plan(got).count("_open") < 2000  # once a name for every symbol
+    assert sorted((r.symbol, r.field, r.v) for r in got.collect()) == sorted((i * 37 - 1000, f, float(i)) for i in range(500) for f in ("open", "close", "high", "low"))
+
+
+def test_arrays_of_floats_as_sql(spark, tmp_path):
+    import duckdb
+
+    every = [[float(np.float32(i / 1000))] * 4 for i in range(1, 4000)] + [[], [None, 0.5], None]
+    spark.createDataFrame(list(enumerate(every)), "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    got = sorted((tuple(r) for r in registry.QUERIES["F8_arrays"](spark, str(tmp_path)).select("vec_id", "n", "head", "part").collect()), key=lambda r: r[0])
+    assert got == sorted(con.execute(f"SELECT vec_id, n, head, part FROM ({registry.SQL['F8_arrays']})").fetchall(), key=lambda r: r[0])
