@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,9 +46,9 @@ def _count(there: np.ndarray, n: int) -> np.ndarray:
     return total[n:] - total[: len(there)]
 
 
-def _rolled(x: np.ndarray, there: np.ndarray, n: int, spread: bool = False) -> np.ndarray:
-    """Mean, or sample deviation, of the last n entries that are there; NaN without enough. Each window is summed on its own, in
-    slices, so no value matters outside its windows and equal values have a deviation of exactly 0."""
+def _rolled_each(x: np.ndarray, there: np.ndarray, n: int, spread: bool = False) -> np.ndarray:
+    """``_rolled`` with each window summed on its own, in slices; for entries that are not finite, and for means of
+    prices, which often lie halfway between two figures, so that the order of a sum shows in rounded results."""
     out = np.full(len(x), np.nan)
     step = max(1, (1 << 18) // n)
     values, held = _trailing(np.where(there, x, 0.0), n), _trailing(there.astype(float), n)
@@ -65,10 +66,46 @@ def _rolled(x: np.ndarray, there: np.ndarray, n: int, spread: bool = False) -> n
     return out
 
 
-def _measures(frame: pd.DataFrame) -> dict[str, np.ndarray]:
-    """Lagged returns and rolling measures of one group in order; nulls are masked by ``__no_`` columns of the same names."""
-    opens, close = (frame[c].to_numpy(float) for c in ("open", "close"))
-    known, has_close = ~frame["no_open"].to_numpy(), ~frame["no_close"].to_numpy()
+def _ahead(parts: np.ndarray) -> np.ndarray:
+    """What ``parts[block, place]``, sums from each place to its block's end, give to windows that end one block on."""
+    out = np.zeros_like(parts)
+    out[1:, :-1] = parts[:-1, 1:]
+    return out
+
+
+def _rolled(x: np.ndarray, there: np.ndarray, n: int, spread: bool = False) -> np.ndarray:
+    """Mean, or sample deviation, of the last n entries that are there; NaN without enough.
+
+    In blocks of n entries a window is the end of one block and the beginning of the next, so two running sums in each
+    block serve all windows. Nothing is subtracted, and deviations are taken from an entry of the window itself, so no value matters outside
+    its windows and equal values have a deviation of exactly 0.
+    """
+    x = np.where(there, x, 0.0)
+    if not np.isfinite(x).all():
+        return _rolled_each(x, there, n, spread)
+    rows, blocks = len(x), -(-len(x) // n)
+    v, h = np.zeros(blocks * n), np.zeros(blocks * n, bool)
+    v[:rows], h[:rows] = x, there
+    v, h = v.reshape(blocks, n), h.reshape(blocks, n)
+    heads, tails = (lambda a: a.cumsum(axis=1)), (lambda a: _ahead(a[:, ::-1].cumsum(axis=1)[:, ::-1]))
+    k1, k2 = heads(h), tails(h)
+    k = k1 + k2
+    if not spread:
+        out = np.where(k > 0, (heads(v) + tails(v)) / np.maximum(k, 1), np.nan)
+        return out.ravel()[:rows]
+    every, (n1, n2) = np.arange(blocks), (np.maximum(k1, 1), np.maximum(k2, 1))
+    first, last = v[every, h.argmax(axis=1)][:, None], v[every, n - 1 - h[:, ::-1].argmax(axis=1)][:, None]
+    d1, d2 = np.where(h, v - first, 0.0), np.where(h, v - last, 0.0)
+    s1, s2 = heads(d1), tails(d2)
+    q1, q2 = heads(d1 * d1) - s1 * s1 / n1, tails(d2 * d2) - s2 * s2 / n2
+    before = np.concatenate([first[:1], last[:-1]])  # the entry that the block before is measured from
+    apart = np.where((k1 > 0) & (k2 > 0), (first - before) + (s1 / n1 - s2 / n2), 0.0)
+    square = np.maximum(q1, 0) + np.maximum(q2, 0) + apart * apart * (k1 * k2 / np.maximum(k, 1))
+    return np.where(k > 1, np.sqrt(square / np.maximum(k - 1, 1)), np.nan).ravel()[:rows]
+
+
+def _measures(opens: np.ndarray, known: np.ndarray, close: np.ndarray, has_close: np.ndarray) -> dict[str, np.ndarray]:
+    """Lagged returns and rolling measures of one group in order; nulls are masked by ``no_`` entries of the same names."""
     out: dict[str, np.ndarray] = {}
     lagged = {}
     for n in LOOKBACKS:
@@ -82,26 +119,26 @@ def _measures(frame: pd.DataFrame) -> dict[str, np.ndarray]:
             move = np.where(both, close - base, 0.0)
     gain, loss, all_rows = np.where(move <= 0, 0.0, move), np.where(move < 0, -move, 0.0), np.ones(len(close), bool)
     for n in LOOKBACKS:
-        out[f"open{n}"], out[f"no_open{n}"] = _rolled(opens, known, n), _count(known, n) < 1
+        out[f"open{n}"], out[f"no_open{n}"] = _rolled_each(opens, known, n), _count(known, n) < 1
         out[f"vol{n}"], out[f"no_vol{n}"] = _rolled(*lagged[1], n, True), _count(lagged[1][1], n) < 2
         out[f"rsi{n}"] = 100 - 100 / (1 + _rolled(gain, all_rows, n) / _rolled(loss, all_rows, n))
     return out
 
 
 def _indicators(base: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    found = [f"{p}{k}{n}" for n in LOOKBACKS for k in ("log", "ret", "open", "vol") for p in ("", "no_")] + [f"rsi{n}" for n in LOOKBACKS]
-    marked = base.withColumns({f"no_{c}": F.col(c).isNull() for c in ("open", "close")})
-    types = {f"__{c}": "boolean" if c.startswith("no_") else "double" for c in found}
-    schema = T.StructType(marked.schema.fields + [T.StructField(k, T.BooleanType() if v == "boolean" else T.DoubleType()) for k, v in types.items()])
+    found = [f"{k}{n}" for n in LOOKBACKS for k in ("log", "ret", "open", "vol", "rsi")]
+    schema = T.StructType(base.schema.fields + [T.StructField(f"__{c}", T.DoubleType()) for c in found])
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(order, kind="stable", ignore_index=True)
+    def run(group: pa.Table) -> pa.Table:
+        group = group.take(pc.sort_indices(group, [(c, "ascending") for c in order]))
+        prices = [group[c].cast(pa.float64()).combine_chunks() for c in ("open", "close")]
+        opens, close = ((c.to_numpy(zero_copy_only=False), c.is_valid().to_numpy(zero_copy_only=False)) for c in prices)
         with np.errstate(all="ignore"):
-            return pd.concat([f, pd.DataFrame({f"__{k}": v for k, v in _measures(f).items()})], axis=1)[schema.names]
+            own = _measures(*opens, *close)
+        return pa.Table.from_arrays([*group.columns, *[pa.array(own[c], mask=own.get(f"no_{c}")) for c in found]], schema.names)
 
-    df = marked.groupBy(*keys).applyInPandas(run, schema)
-    number = lambda c: F.coalesce(F.col(f"__{c}"), F.lit(float("nan")))  # noqa: E731  NaN comes back from pandas as null
-    value = lambda c: F.when(~F.col(f"__no_{c}"), number(c))
+    df = base.groupBy(*keys).applyInArrow(run, schema)
+    value = lambda c: F.col(f"__{c}")
     out = [F.col(c) for c in base.columns if not c.startswith("__")]
     for name, n in NAMED.items():
         own = {
@@ -110,10 +147,10 @@ def _indicators(base: DataFrame, keys: list[str], order: list[str]) -> DataFrame
             f"open_rolling_{name}": value(f"open{n}"),
             f"volatility_{name}": value(f"vol{n}"),
             f"sharpe_{name}": E.sharpe_ratio(value(f"ret{n}"), value(f"vol{n}")),
-            f"rsi_{name}": number(f"rsi{n}"),
+            f"rsi_{name}": value(f"rsi{n}"),
         }
         out += [c.alias(ODD_NAMES.get(k, k)) for k, c in own.items()]
-    rsi = number("rsi14")
+    rsi = value("rsi14")
     extra = [c for c in base.columns if c.startswith("__")]  # the blocks of hot symbols
     return df.select(*out, rsi.alias("rsi"), (rsi > OVERBOUGHT).alias("overbought"), (rsi < OVERSOLD).alias("oversold"), *extra)
 

@@ -88,3 +88,16 @@ def test_arrays_of_floats_as_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
     got = sorted((tuple(r) for r in registry.QUERIES["F8_arrays"](spark, str(tmp_path)).select("vec_id", "n", "head", "part").collect()), key=lambda r: r[0])
     assert got == sorted(con.execute(f"SELECT vec_id, n, head, part FROM ({registry.SQL['F8_arrays']})").fetchall(), key=lambda r: r[0])
+
+
+def test_rolled_by_blocks_is_rolled_by_windows():
+    rng = np.random.default_rng(3)
+    for size in (1, 2, 7, 100, 530):
+        x, there = np.exp(rng.normal(size=size).cumsum()), rng.random(size) > 0.2
+        for n in T.LOOKBACKS:
+            for spread in (False, True):
+                with np.errstate(all="ignore"):
+                    assert np.allclose(T._rolled(x, there, n, spread), T._rolled_each(x, there, n, spread), rtol=1e-11, atol=0, equal_nan=True)
+    assert (T._rolled(np.full(40, 0.1), np.ones(40, bool), 5, True)[1:] == 0).all()
+    far = np.array([1e200, 1.0, 1.0, 1.0, 2.0, 3.0])
+    assert T._rolled(far, np.ones(6, bool), 3, True)[5] == 1.0 and T._rolled(far, np.ones(6, bool), 3)[3] == 1.0
