@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expr import days_between, ieee_div, median_price, period_key, quantised
 
 Rule = Callable[[DataFrame, DataFrame], DataFrame]
 TRADING_DAYS = 252
+_FAR = 1 << 32  # more days than any date is from another
 # fixed values: the combinations that the adaptive choice tries
 ADAPTIVE_GRID = {"months": (3, 9, 12), "weeks": (2, 4), "tops": (10, 20, 30), "frequencies": ("weekly", "monthly", "quarterly")}
 
@@ -23,28 +28,92 @@ def rebalance_days(candles: DataFrame, frequency: str = "monthly", months: int =
     return days.join(F.broadcast(first), F.col("timeframe") >= F.col("__from")).groupBy(period_key(F.col("timeframe"), frequency).alias("p")).agg(F.min("timeframe").alias("rebalance")).select("rebalance")
 
 
-def momentum_choice(candles: DataFrame, rebalances: DataFrame, months: int | Column = 6, ignore_weeks: int | Column = 1, top: int = 10, keys: Sequence[str] = (), longest: int | None = None) -> DataFrame:
+def momentum_choice(candles: DataFrame, rebalances: DataFrame, months: int | Column = 6, ignore_weeks: int | Column = 1, top: int = 10, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, rebalance, symbol, momentum, place): the symbols whose close rose most over the closed window before each day; ties by symbol.
 
-    ``rebalances`` is a calendar, so it is bounded by the days covered. A candle opens the windows that begin in the
-    gap before it and closes those that end in the gap after it, so it meets each window's two ends only, whatever the
-    windows' lengths. Where ``months`` is a column of ``rebalances``, ``longest`` is its greatest value.
+    ``rebalances`` is a calendar, so it is bounded by the days covered, and its windows are sent to the tasks. Candles are dealt and
+    sorted by symbol; a task looks up both ends of every window in its symbols' days and holds the best ``top`` of each window
+    so far, so no row is made for a symbol and window, and what is moved afterwards doesn't grow with symbols.
     """
-    reach = 31 * (months if longest is None else longest)
     months, weeks = (x if isinstance(x, Column) else F.lit(x) for x in (months, ignore_weeks))
-    spans = F.broadcast(rebalances.select(*keys, "rebalance", F.add_months("rebalance", -months).alias("__a"), F.date_sub("rebalance", (7 * weeks).cast("int")).alias("__b")).where("__a <= __b"))
-    day, w = F.col("timeframe"), Window.partitionBy("symbol").orderBy("timeframe")
-    rows = candles.select("symbol", "timeframe", "close", F.lag(day).over(w).alias("__prev"), F.lead(day).over(w).alias("__next"))
-    first, last = F.date_sub(day, reach), F.date_add(day, reach)
-    opens = rows.withColumn("__a", F.explode(days_between(F.greatest(F.date_add("__prev", 1), first), day))).join(spans, "__a").where("timeframe <= __b")
-    closes = rows.withColumn("__b", F.explode(days_between(day, F.least(F.date_sub("__next", 1), last)))).join(spans, "__b").where("timeframe >= __a")
-    none = F.lit(None).cast("double")
-    ends = opens.select(*keys, "rebalance", "symbol", F.col("close").alias("start"), none.alias("stop")).union(closes.select(*keys, "rebalance", "symbol", none, "close"))
-    ends = ends.groupBy(*keys, "rebalance", "symbol").agg(F.max("start").alias("start"), F.max("stop").alias("stop")).where("start > 0")
+    spans = rebalances.select(*keys, "rebalance", F.add_months("rebalance", -months).alias("__a"), F.date_sub("rebalance", (7 * weeks).cast("int")).alias("__b")).where("__a <= __b")
+    rows = candles.where("timeframe is not null").select("symbol", F.col("timeframe").cast("date").alias("timeframe"), F.col("close").cast("double").alias("close"))
+    dealt = rows.repartition("symbol").sortWithinPartitions("symbol", "timeframe")
+    schema = T.StructType([*spans.select(*keys, "rebalance").schema.fields, rows.schema["symbol"], T.StructField("start", T.DoubleType()), T.StructField("stop", T.DoubleType())])
+    ends = dealt.mapInArrow(_best_of(spans.toArrow(), top, schema.names), schema)
     w = Window.partitionBy(*keys, "rebalance").orderBy(F.desc("momentum"), "symbol")
     return ends.withColumn("momentum", F.col("stop") / F.col("start") - 1).withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select(*keys, "rebalance", "symbol", "momentum", "place")
 
 
+def _symbols(batches: Iterator[pa.RecordBatch], most: int, rows_at_once: int = 1 << 17) -> Iterator[tuple[pa.Array, np.ndarray, pa.Table]]:
+    """Whole symbols of sorted batches, up to ``most`` at a time: their names, each row's number among them, the rows."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def cut(whole: bool) -> Iterator[tuple[pa.Array, np.ndarray, pa.Table]]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        names = rows["symbol"].combine_chunks()
+        after, before = names[1:], names[:-1]
+        other = pc.fill_null(pc.not_equal(after, before), False).to_numpy(zero_copy_only=False) | (after.is_null().to_numpy(zero_copy_only=False) != before.is_null().to_numpy(zero_copy_only=False))
+        number = np.concatenate([[0], np.cumsum(other)])
+        full = int(number[-1]) + whole  # the last symbol may go on
+        for i in range(0, full, most):
+            a, b = np.searchsorted(number, [i, min(i + most, full)])
+            own = number[a:b] - i
+            yield names[a:b].take(pa.array(np.flatnonzero(np.diff(own, prepend=-1)))), own, rows.slice(a, b - a)
+        held[:] = rows.slice(np.searchsorted(number, full)).to_batches()
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= rows_at_once:
+            yield from cut(False)
+            size = 0
+    if held:
+        yield from cut(True)
+
+
+def _best_of(spans: pa.Table, top: int, names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Closes at both ends of each span for the ``top`` symbols of sorted rows (symbol, timeframe, close) that rose most in it.
+
+    A symbol has the first close in a span, if it is above 0, and the last one. NaN stands above all numbers and null below, as in Spark.
+    """
+    first, last = (spans[c].cast(pa.int32()).to_numpy().astype(np.int64) for c in ("__a", "__b"))
+    own, n = spans.drop_columns(["__a", "__b"]), len(first)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[np.ndarray] = [np.zeros((0, n)) for _ in range(4)]  # class and loss to order by, start and stop
+        which, kept = np.zeros((0, n), np.int64), None
+        for symbols, number, rows in _symbols(batches, max(16, (1 << 19) // n)) if n else ():
+            day = rows["timeframe"].cast(pa.int32()).to_numpy().astype(np.int64)
+            close, known = rows["close"].to_numpy(), pc.is_valid(rows["close"]).to_numpy()
+            at, each = number * _FAR + day, np.arange(len(symbols))[:, None] * _FAR
+            i, j = np.searchsorted(at, each + first), np.searchsorted(at, each + last, "right") - 1
+            held = i <= j  # the symbol has a row in the span
+            i, j = np.minimum(i, len(at) - 1), np.maximum(j, 0)
+            with np.errstate(all="ignore"):
+                start, stop, rise = close[i], close[j], close[j] / close[i] - 1
+            held &= known[i] & ~(start <= 0)
+            order = np.where(~held, 3.0, np.where(~known[j], 2.0, np.where(np.isnan(rise), 0.0, 1.0)))
+            parts = [order, np.where(order == 1, -rise, 0.0), start, np.where(known[j], stop, np.nan)]
+            names_here = symbols if kept is None else pa.concat_arrays([kept, symbols])
+            both = [np.concatenate(x) for x in zip(best, parts)]
+            which = np.concatenate([which, np.broadcast_to(np.arange(len(symbols))[:, None] + (0 if kept is None else len(kept)), order.shape)])
+            chosen = np.lexsort((both[1], both[0]), axis=0)[:top]  # stable, so equal ones stay in order of symbols
+            best, which = [np.take_along_axis(x, chosen, 0) for x in both], np.take_along_axis(which, chosen, 0)
+            used, which = np.unique(which, return_inverse=True)
+            which, kept = which.reshape(best[0].shape), names_here.take(pa.array(used))
+        place, span = np.nonzero(best[0] < 3)
+        if len(span):
+            missing = best[0][place, span] == 2
+            columns = [c.combine_chunks() for c in own.take(pa.array(span)).columns]
+            columns += [kept.take(pa.array(which[place, span])), pa.array(best[2][place, span]), pa.array(best[3][place, span], mask=missing)]
+            yield pa.RecordBatch.from_arrays(columns, list(names))
+
+    return run
+
+
 def allocate(choice: DataFrame, candles: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, rebalance, symbol, price, weight): the chosen symbols that have a price on the day, in equal parts."""
     prices = candles.select("symbol", F.col("timeframe").alias("rebalance"), median_price(F.col("high"), F.col("low")).alias("price"))
@@ -143,7 +212,7 @@ def adaptive_choice(candles: DataFrame, optimisations: DataFrame, months: Sequen
     in_year = (F.col("rebalance") >= F.add_months("optimise", -12)) & (F.col("rebalance") < F.col("optimise"))
     spans = firsts.join(F.broadcast(days), in_year)  # calendars both
     looked = spans.select("rebalance").distinct().select("rebalance", looks.alias("look")).select("rebalance", "look.*")
-    choice = momentum_choice(candles, looked, F.col("months"), F.col("weeks"), max(tops), ["months", "weeks"], max(months))
+    choice = momentum_choice(candles, looked, F.col("months"), F.col("weeks"), max(tops), ["months", "weeks"])
     own = ["months", "weeks", "top"]
     bought = allocate(choice.withColumn("top", places).where("place <= top"), candles, own)
     keys = ["optimise", *own, "frequency"]

@@ -3,9 +3,11 @@
 from datetime import date, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quantloom.operators import portfolio as B
 from quantloom.operators import vgraph as G
 from quantloom.plans import registry
 from quantloom.plans import tables as T
@@ -101,3 +103,39 @@ def test_rolled_by_blocks_is_rolled_by_windows():
     assert (T._rolled(np.full(40, 0.1), np.ones(40, bool), 5, True)[1:] == 0).all()
     far = np.array([1e200, 1.0, 1.0, 1.0, 2.0, 3.0])
     assert T._rolled(far, np.ones(6, bool), 3, True)[5] == 1.0 and T._rolled(far, np.ones(6, bool), 3)[3] == 1.0
+
+
+def test_momentum_makes_no_row_for_a_symbol_and_window(spark):
+    """A task holds the best symbols of each window; ties, nulls, NaN and a null symbol rank as in a plain sort."""
+    rng, nan, inf = np.random.default_rng(11), float("nan"), float("inf")
+    day = lambda n: date(2020, 1, 1) + timedelta(days=int(n))
+    odd = [None, nan, 0.0, -1.0, inf, 1.0, 2.0, 2.0, 4.0]
+    rows = [(s if s else None, day(n), odd[rng.integers(9)] if rng.random() < 0.4 else float(rng.integers(1, 5))) for s in range(60) for n in np.flatnonzero(rng.random(300) < 0.1)]
+    rows.append((3, None, 9.0))
+    candles = spark.createDataFrame(rows, "symbol long, timeframe date, close double")
+    rebalances = [(m, w, day(n)) for m in (1, 3) for w in (0, 2) for n in (0, 95, 180, 200, 299)]
+    table = spark.createDataFrame(rebalances, "months int, weeks int, rebalance date")
+    choice = B.momentum_choice(candles, table, F.col("months"), F.col("weeks"), 7, ["months", "weeks"])
+    assert "Generate" not in plan(choice) and "HashAggregate" not in plan(choice)
+    expected = []
+    for m, w, r in rebalances:
+        a, b = spark.sql(f"SELECT add_months(date'{r}', -{m}), date_sub(date'{r}', {7 * w})").first()
+        found = []
+        for s in {x[0] for x in rows}:
+            own = sorted((x[1], x[2]) for x in rows if x[0] == s and x[1] is not None and a <= x[1] <= b)
+            if own and own[0][1] is not None and not own[0][1] <= 0:
+                start, stop = own[0][1], own[-1][1]
+                rise = None if stop is None else stop / start - 1
+                found.append(((2 if rise is None else 0 if rise != rise else 1), -rise if rise is not None and rise == rise else 0.0, s is not None, s or 0, rise))
+        expected += [(m, w, r, x[3] if x[2] else None, x[4], i + 1) for i, x in enumerate(sorted(found)[:7])]
+    assert repr(listed(choice)) == repr(sorted(expected, key=repr)) and len(expected) > 60
+
+
+def test_symbols_are_cut_whole():
+    rows = pa.table({"symbol": pa.array([None, None, 1, 2, 2, 2, 2, 3, 4, 4, 5], pa.int64()), "n": range(11)})
+    for most in (1, 2, 9):
+        for at_once in (1, 4, 100):
+            blocks = list(B._symbols(iter(rows.to_batches(max_chunksize=2)), most, at_once))
+            assert pa.concat_tables([b[2] for b in blocks]).to_pydict() == rows.to_pydict()
+            assert [s for names, _, _ in blocks for s in names.to_pylist()] == [None, 1, 2, 3, 4, 5]
+            assert all(names.take(pa.array(number)).to_pylist() == own["symbol"].to_pylist() and len(names) <= most for names, number, own in blocks)
