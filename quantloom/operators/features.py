@@ -64,12 +64,12 @@ def rank_scores(df: DataFrame, families: Mapping[str, Sequence[str]], target: st
     rho. rho is null, and mi 0, where a side has one value; without rows both are null.
 
     The target is ranked once for all families. Rows of one feature are then added up by distinct value, before
-    anything is moved, so a frequent value is one row and no feature's rows meet in one task. What comes to the
-    driver is ``bins`` rows a feature.
+    anything is moved, so a frequent value is one row and no feature's rows meet in one task. Both tables of distinct
+    values are read three times and written once. What comes to the driver is ``bins`` rows a feature.
     """
     rows, features = _numbered(df, families, target)
     sizes = rows.agg(*[F.count_if(f"m{i}").alias(f"m{i}") for i in range(len(families))]).first()
-    counts = rows.groupBy("y").agg(*[F.count_if(f"m{i}").alias(f"n{i}") for i in range(len(families))])
+    counts = written(rows.groupBy("y").agg(*[F.count_if(f"m{i}").alias(f"n{i}") for i in range(len(families))]), "counts")
     # a doubled mean rank is a whole number: 2 * before + n + 1
     doubled = lambda c: (2 * F.col(f"__before_{c}") + F.col(c) + 1).cast("long")
     ranked = cumulated(counts, [], "y", [f"n{i}" for i in range(len(families))], bands)
@@ -81,7 +81,7 @@ def rank_scores(df: DataFrame, families: Mapping[str, Sequence[str]], target: st
     off, bin_of = F.col("r") - F.col("total") - 1, lambda r: F.expr(f"(({r} - 1) * {bins}) div (2 * total)")
     sums = [F.count(F.lit(1)).alias("n"), F.sum(off.cast("double")).alias("ry"), F.sum(off.cast("double") * off).alias("ryy")]
     values = stacked.withColumn("b", bin_of("r")).groupBy("k", "total", "x").agg(*sums, *[F.count_if(F.col("b") == b).alias(f"b{b}") for b in range(bins)])
-    met = cumulated(values, ["k"], "x", ["n"], bands).withColumn("r", doubled("n"))
+    met = cumulated(written(values, "values"), ["k"], "x", ["n"], bands).withColumn("r", doubled("n"))
     rx = (F.col("r") - F.col("total") - 1).cast("double")
     grouped = met.withColumn("b", bin_of("r")).groupBy("k", "b").agg(F.sum(rx * rx * F.col("n")).alias("xx"), F.sum(rx * F.col("ry")).alias("xy"), F.sum("ryy").alias("yy"), *[F.sum(f"b{b}").alias(f"b{b}") for b in range(bins)])
     found: dict[int, list] = {}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def supplier_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily candles of each supplier's unit prices: symbol, timeframe, open, close, high, low, volume."""
+def supplier_candles(spark: SparkSession, sf_dir: str, dealt_by: Sequence[str] = ("symbol", "timeframe")) -> DataFrame:
+    """Daily candles of each supplier's unit prices: symbol, timeframe, open, close, high, low, volume.
+
+    A candle has hardly more than one row, so rows are dealt before they are sorted and added up, once. A query that brings a
+    symbol's candles into one task in any case deals by ``symbol`` and saves its own shuffle and sort.
+    """
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", F.col("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("timeframe"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"))
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
-    return rows.groupBy("symbol", "timeframe").agg(F.min_by("px", order).alias("open"), F.max_by("px", order).alias("close"), F.max("px").alias("high"), F.min("px").alias("low"), F.sum("l_quantity").alias("volume"))
+    return rows.repartition(*dealt_by).groupBy("symbol", "timeframe").agg(F.min_by("px", order).alias("open"), F.max_by("px", order).alias("close"), F.max("px").alias("high"), F.min("px").alias("low"), F.sum("l_quantity").alias("volume"))
 
 
 def event_candles(spark: SparkSession, sf_dir: str, unit: str = "day") -> DataFrame:

@@ -7,10 +7,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quantloom.operators import features as X
 from quantloom.operators import portfolio as B
 from quantloom.operators import vgraph as G
-from quantloom.plans import registry
+from quantloom.plans import core_queries, registry
 from quantloom.plans import tables as T
+from quantloom.sources import writers as W
 
 DATA = "/root/testdata/sf0.001"
 
@@ -139,3 +141,15 @@ def test_symbols_are_cut_whole():
             assert pa.concat_tables([b[2] for b in blocks]).to_pydict() == rows.to_pydict()
             assert [s for names, _, _ in blocks for s in names.to_pylist()] == [None, 1, 2, 3, 4, 5]
             assert all(names.take(pa.array(number)).to_pylist() == own["symbol"].to_pylist() and len(names) <= most for names, number, own in blocks)
+
+
+def test_futures_of_candles_take_one_shuffle_and_sort(spark):
+    text = plan(T.append_future_returns(core_queries.symbol_candles(spark, DATA), 5))
+    assert text.count("Exchange") == 1 and text.count(" Sort ") == 1
+
+
+def test_distinct_values_are_written_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(X, "written", lambda df, name, *more: seen.append(name) or W.written(df, name, *more))
+    X.rank_scores(spark.range(50).selectExpr("double(id) AS x", "double(id % 7) AS y"), {"all": ["x"]}, "y")
+    assert sorted(seen) == ["counts", "features", "values"]  # counts and values were made three times
