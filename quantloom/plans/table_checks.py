@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import checks as Q
+from ..sources.writers import written
 from . import core_queries, more_queries  # noqa: F401  the tables
+from . import tables as T
 from .registry import AS_OF, QUERIES, SQL, query
 
 PRICES = ("open", "close", "high", "low", "volume")
@@ -41,14 +43,31 @@ def name_of(spec: tuple) -> str:
     return " ".join(" ".join(x) if isinstance(x, tuple) else str(x) for x in spec)
 
 
-def as_check(spec: tuple, s, d) -> Q.Check:
+def checked(s, d, table: str) -> tuple[DataFrame, Mapping[str, DataFrame]]:
+    """The table, and those of its foreign keys that follow from the same rows; these rows are made and written once."""
+    make = lambda name: QUERIES[TABLES[name]](s, d)
+    if table in ("stocks_daily", "good_symbols"):
+        own, named = make("stocks_daily"), {str(x) for spec in LISTS["stocks_daily"] for x in spec}
+        stocks = written(own.select(*[c for c in own.columns if c in named or c in ("symbol", "timeframe", "market_cap")]), "stocks")
+        rankings = T.stocks_rankings(stocks)
+        return (stocks, {"stocks_rankings": rankings}) if table == "stocks_daily" else (T.good_symbols(rankings, 20), {"stocks_daily": stocks})
+    if table == "stocks_rankings":
+        rankings = written(make(table), "rankings")
+        return rankings, {"good_symbols": T.good_symbols(rankings, 20)}
+    if table == "training_rows":
+        valued, universe = core_queries.valued_universe(s, d)
+        return core_queries.training(valued, universe), {"good_symbols": universe}
+    return make(table), {}
+
+
+def as_check(spec: tuple, s, d, known: Mapping[str, DataFrame] = {}) -> Q.Check:
     kind, args = spec[0], spec[1:]
     if kind == "fresh":
         return Q.freshness(*args, F.lit(AS_OF).cast("date"))
     if kind == "accepted":
         return Q.accepted_values(args[0], args[1:])
     if kind == "foreign":
-        return Q.foreign_key(args[0], QUERIES[TABLES[args[1]]](s, d))
+        return Q.foreign_key(args[0], known[args[1]] if args[1] in known else QUERIES[TABLES[args[1]]](s, d))
     if kind == "no_gaps":
         return Q.no_gaps(args[0], [args[1]], args[2])
     make = {"not_empty": Q.not_empty, "not_null": Q.not_null, "unique": Q.unique, "compare": Q.column_comparison, "in_range": Q.in_range, "matches": Q.matches, "finite": Q.finite, "length": Q.list_length, "no_negative": Q.no_negative}
@@ -87,7 +106,8 @@ def as_sql(spec: tuple) -> str:
 
 
 def table_report(s, d, table: str) -> DataFrame:
-    return Q.report(QUERIES[TABLES[table]](s, d), {name_of(x): as_check(x, s, d) for x in LISTS[table]})
+    own, known = checked(s, d, table)
+    return Q.report(own, {name_of(x): as_check(x, s, d, known) for x in LISTS[table]})
 
 
 def report_sql(table: str) -> str:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from quantloom.operators import features as X
 from quantloom.operators import portfolio as B
 from quantloom.operators import vgraph as G
-from quantloom.plans import core_queries, registry
+from quantloom.plans import core_queries, registry, table_checks
 from quantloom.plans import tables as T
+from quantloom.sources import panels as P
 from quantloom.sources import writers as W
 
 DATA = "/root/testdata/sf0.001"
@@ -153,3 +154,17 @@ def test_distinct_values_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(X, "written", lambda df, name, *more: seen.append(name) or W.written(df, name, *more))
     X.rank_scores(spark.range(50).selectExpr("double(id) AS x", "double(id % 7) AS y"), {"all": ["x"]}, "y")
     assert sorted(seen) == ["counts", "features", "values"]  # counts and values were made three times
+
+
+@pytest.mark.parametrize("table", ["stocks_daily", "stocks_rankings", "training_rows", "good_symbols"])
+def test_checks_and_their_foreign_keys_read_what_was_written_once(spark, table):
+    own, known = table_checks.checked(spark, DATA, table)
+    assert known and not any("lineitem" in plan(x) for x in (own, *known.values()))  # both made all stocks on their own
+
+
+def test_implied_floats_make_candles_of_half_years_only(spark):
+    scans = [x for x in plan(core_queries.priced_filings(spark, DATA)).split("\n") if "lineitem" in x and "PushedFilters" in x]
+    text = core_queries.priced_filings(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("last_day(cast(l_shipdate") >= 1 and scans
+    every = T.implied_float_shares(P.filings(spark, DATA), core_queries.candles(spark, DATA))
+    assert listed(core_queries.priced_filings(spark, DATA)) == listed(every)
