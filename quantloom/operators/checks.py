@@ -158,11 +158,34 @@ def continuity(day: str, key: str) -> Check:
     return run
 
 
-def _one_scan(df: DataFrame, checks: Mapping[str, Check]) -> tuple[DataFrame | None, set[str]]:
+@dataclass(frozen=True)
+class Ranges:
+    """What a table of days was made of: ``rows`` that each stand for a row for every day from ``first`` to ``last``, in column ``day``."""
+
+    rows: DataFrame
+    first: str
+    last: str
+    day: str
+
+    def stretches(self, by: Sequence[str]) -> DataFrame:
+        """by, a, b, n: stretches of days of each key, from ``a`` to ``b``, and the number n of its ranges that hold them, which is not 0.
+
+        A range is two rows, so this grows with ranges, not with days.
+        """
+        kept = self.rows.where(F.col(self.first) <= F.col(self.last))
+        turns = F.array(F.struct(F.col(self.first).alias("a"), F.lit(1).alias("n")), F.struct(F.date_add(self.last, 1).alias("a"), F.lit(-1).alias("n")))
+        at = kept.select(*by, F.explode(turns).alias("t")).select(*by, "t.*").groupBy(*by, "a").agg(F.sum("n").alias("n"))
+        w = Window.partitionBy(*by).orderBy("a")
+        held = at.select(*by, "a", F.date_sub(F.lead("a").over(w), 1).alias("b"), F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("n"))
+        return held.where("n > 0")
+
+
+def _one_scan(df: DataFrame, checks: Mapping[str, Check], ranges: Ranges | None = None) -> tuple[DataFrame | None, set[str]]:
     """One row with the violations of every check that a single pass over ``df`` decides, and these checks' names.
 
     Foreign keys are left joins with the distinct partners; a first ``unique`` groups the pass by its key, and a ``no_gaps`` over
-    the same columns groups that by its own; the rest are aggregates that are added up along the way.
+    the same columns groups that by its own; the rest are aggregates that are added up along the way. Where ``ranges`` made the
+    days of the key, these two take its stretches of days, and the days are added up where they are made.
     """
     parts: dict[str, tuple[Column, Callable[[str], Column], Callable[[Column], Column]]] = {}
     main = next(((k, c) for k, c in checks.items() if isinstance(c, unique)), None)
@@ -184,6 +207,20 @@ def _one_scan(df: DataFrame, checks: Mapping[str, Check]) -> tuple[DataFrame | N
     ends = {k: (named[k], violations) for k, (_, _, violations) in parts.items()}
     if main is None:
         stats = marked.agg(*firsts)
+    elif ranges is not None and ranges.day in main[1].columns and len(main[1].columns) > 1:
+        by = [c for c in main[1].columns if c != ranges.day]
+        length = F.datediff("b", "a") + 1
+        ends[main[0]] = ("__twice", none)
+        keys = ranges.stretches(by)
+        if gaps is None or gaps[1].day != ranges.day:
+            keys, gaps = keys.agg(F.sum(F.when(F.col("n") > 1, F.col("n") * length)).alias("__twice")), None
+        else:
+            name, c = gaps
+            keys = keys.withColumn("__days", c.expected()).groupBy(*by).agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("__days").alias("__days"), F.sum(F.when(F.col("n") > 1, F.col("n") * length)).alias("__twice"))
+            known = F.when(any_of([F.col(x).isNull() for x in by]), 0).otherwise(F.col("__days"))
+            keys = keys.agg(F.sum("__twice").alias("__twice"), F.sum(c.expected() - known).alias("__gaps"))
+            ends[name] = ("__gaps", none)
+        stats = (marked.agg(*firsts) if firsts else df.sparkSession.range(1)).crossJoin(keys)  # a row each
     else:
         name, key = main
         stats = marked.groupBy(*key.columns).agg(F.count(F.lit(1)).alias("__n"), *firsts)
@@ -201,11 +238,12 @@ def _one_scan(df: DataFrame, checks: Mapping[str, Check]) -> tuple[DataFrame | N
     return stats.select(*[violations(F.col(c)).cast("long").alias(k) for k, (c, violations) in ends.items()]), set(ends)
 
 
-def report(df: DataFrame, checks: Mapping[str, Check]) -> DataFrame:
+def report(df: DataFrame, checks: Mapping[str, Check], ranges: Ranges | None = None) -> DataFrame:
     """(check, violations) for all checks, as one table; null violations where a check can't be planned.
 
     ``not_null`` counts rows with a null, ``not_empty`` and ``freshness`` 1 if they fail. All checks of this module but a second ``unique``,
     ``no_gaps`` without a ``unique`` over its columns, and ``continuity`` share one scan; other callables take one each.
+    Of a table of days ``ranges`` says what they were made of, so that no day is moved.
     """
     spark = df.sparkSession
     planned: dict[str, Check] = {}
@@ -216,7 +254,7 @@ def report(df: DataFrame, checks: Mapping[str, Check]) -> DataFrame:
             planned[name] = check
         except Exception:  # a check that can't run has failed
             out.append(spark.range(1).select(F.lit(name).alias("check"), F.lit(None).cast("long").alias("violations")))
-    stats, done = _one_scan(df, planned)
+    stats, done = _one_scan(df, planned, ranges)
     if stats is not None:
         rows = F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").alias("violations")) for c in stats.columns]))
         out.append(stats.select(rows.alias("r")).select("r.check", "r.violations"))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import checks as Q
+from ..sources import panels as P
+from ..sources import readers as R
 from ..sources.writers import written
 from . import core_queries, more_queries  # noqa: F401  the tables
 from . import tables as T
@@ -52,14 +54,19 @@ def checked(s, d, table: str) -> tuple[DataFrame, Mapping[str, DataFrame]]:
         rankings = T.stocks_rankings(stocks)
         return (stocks, {"stocks_rankings": rankings}) if table == "stocks_daily" else (T.good_symbols(rankings, 20), {"stocks_daily": stocks})
     if table == "stocks_rankings":
-        rankings = written(make(table), "rankings")
-        return rankings, {"good_symbols": T.good_symbols(rankings, 20)}
+        return ranked(written(core_queries.capped(s, d), "caps"))
     if table == "training_rows":
         valued, universe = core_queries.valued_universe(s, d)
         return core_queries.training(valued, universe), {"good_symbols": universe}
     return make(table), {}
 
 
+def ranked(caps: DataFrame) -> tuple[DataFrame, Mapping[str, DataFrame]]:
+    """Rankings, and the good symbols of each day, which are few and are sent to all tasks: ranks stay in their day's task when they are grouped."""
+    rankings = T.stocks_rankings(caps)
+    return rankings, {"good_symbols": F.broadcast(written(T.good_symbols(rankings, 20), "good_symbols"))}
+
+
 def as_check(spec: tuple, s, d, known: Mapping[str, DataFrame] = {}) -> Q.Check:
     kind, args = spec[0], spec[1:]
     if kind == "fresh":
@@ -105,9 +112,24 @@ def as_sql(spec: tuple) -> str:
     return f"SELECT count(*) FROM (SELECT {by}, x::DATE AS day FROM (SELECT {by}, min({day}) AS a, max({day}) AS z FROM t GROUP BY 1), generate_series(a, z, INTERVAL 1 DAY) AS g(x) {inside}) e WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.{by} = e.{by} AND t.{day} = e.day)"
 
 
+def listed_report(s, d, table: str, own: DataFrame, known: Mapping[str, DataFrame] = {}, ranges: Q.Ranges | None = None) -> DataFrame:
+    return Q.report(own, {name_of(x): as_check(x, s, d, known) for x in LISTS[table]}, ranges)
+
+
+def ranges_of(filings: DataFrame) -> DataFrame:
+    return written(T.fact_ranges(filings, core_queries.as_of()), "ranges")
+
+
+def days_report(s, d, ranges: DataFrame) -> DataFrame:
+    """The list of padded facts, by the ranges that their days are made of."""
+    return listed_report(s, d, "padded_facts", T.padded_ranges(ranges), ranges=Q.Ranges(ranges, "valid_from", "valid_until", "reference_date"))
+
+
 def table_report(s, d, table: str) -> DataFrame:
+    if table == "padded_facts":
+        return days_report(s, d, ranges_of(P.filings(s, d)))
     own, known = checked(s, d, table)
-    return Q.report(own, {name_of(x): as_check(x, s, d, known) for x in LISTS[table]})
+    return listed_report(s, d, table, own, known)
 
 
 def report_sql(table: str) -> str:
@@ -121,7 +143,28 @@ for _table in TABLES:
 ROLLED = ("company_tickers", "factors", "company_facts", "padded_facts", "stocks_rankings", "indicator_catalogue")
 
 
+def rolled_sources(s, d) -> dict[str, DataFrame]:
+    """What several of the rolled tables follow from, written once: company documents, ranges of facts, and candles with their caps."""
+    filings = written(P.filings(s, d), "filings")
+    ranges = ranges_of(filings)
+    return {"documents": written(more_queries.company_documents(filings), "documents"), "ranges": ranges, "candles": written(core_queries.capped(s, d, ranges), "candles")}
+
+
+def rolled_report(s, d, table: str, made: Mapping[str, DataFrame]) -> DataFrame:
+    if table == "padded_facts":
+        return days_report(s, d, made["ranges"])
+    if table == "stocks_rankings":
+        return listed_report(s, d, table, *ranked(made["candles"]))
+    if table == "factors":
+        return listed_report(s, d, table, more_queries.factor_file(s, more_queries.factor_table(s, d, core_queries.with_returns(made["candles"]))))
+    if table == "company_facts":
+        return listed_report(s, d, table, more_queries.company_facts(R.parse_facts(made["documents"])))
+    if table == "indicator_catalogue":
+        return listed_report(s, d, table, R.indicator_catalogue(R.parse_facts(made["documents"])))
+    return table_report(s, d, table)
+
+
 @query("Q15_roll_up", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS checks, count(*) FILTER (violations > 0) AS failed, sum(violations)::BIGINT AS violations FROM ({report_sql(t)})" for t in ROLLED))
 def roll_up(s, d):
-    reports: Mapping[str, DataFrame] = {t: table_report(s, d, t) for t in ROLLED}
-    return Q.roll_up(reports)
+    made = rolled_sources(s, d)
+    return Q.roll_up({t: rolled_report(s, d, t, made) for t in ROLLED})

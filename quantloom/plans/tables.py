@@ -172,7 +172,7 @@ def fact_ranges(filings: DataFrame, as_of: Column) -> DataFrame:
 
     A filing day is a row, so this grows with filings, not with days. Of several entries of a metric on one day the last period's wins.
     """
-    known = filings.where((F.col("filed") <= as_of) & F.col("metric").isin(*METRICS))
+    known = filings.where((F.col("filed") <= as_of) & F.col("metric").isin(*METRICS)).repartition("cik")  # serves both groupings
     lone = F.when(F.col("cik").isNull(), F.col("metric"))  # facts without a company don't meet
     last = lambda m: F.max(F.when(F.col("metric") == m, F.struct("period_end", "value"))).alias(m)
     days = known.groupBy("cik", lone.alias("lone"), F.col("filed").alias("valid_from")).agg(*[last(m) for m in METRICS])
@@ -187,7 +187,11 @@ def padded_facts(filings: DataFrame, as_of: Column) -> DataFrame:
 
     Days are made last, so none of them is moved.
     """
-    return pad_daily(fact_ranges(filings, as_of)).select("cik", "reference_date", *METRICS, "last_filed")
+    return padded_ranges(fact_ranges(filings, as_of))
+
+
+def padded_ranges(ranges: DataFrame) -> DataFrame:
+    return pad_daily(ranges).select("cik", "reference_date", *METRICS, "last_filed")
 
 
 def valued(df: DataFrame) -> DataFrame:
@@ -207,13 +211,16 @@ def stocks_daily(candles: DataFrame, padded: DataFrame) -> DataFrame:
     return valued(candles.join(facts, ["symbol", "timeframe"], "left"))
 
 
-def stocks_daily_ranges(candles: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The same answer from ``fact_ranges``: candles meet the ranges of their month that hold their day, so no day is made or moved."""
+def stocks_daily_ranges(candles: DataFrame, ranges: DataFrame, dealt: Column | None = None) -> DataFrame:
+    """The same answer from ``fact_ranges``: candles meet the ranges of their month that hold their day, so no day is made or moved.
+
+    Candles that are dealt by symbol and month already, ``dealt``, stay where they are.
+    """
     month = lambda c: F.trunc(c, "month")
     months = F.explode(F.when(F.col("valid_from") <= F.col("valid_until"), F.sequence(month("valid_from"), month("valid_until"), F.expr("interval 1 month"))))
     facts = ranges.select(F.col("cik").alias("__cik"), "valid_from", "valid_until", *METRICS, months.alias("__month"))
     inside = F.col("timeframe").between(F.col("valid_from"), F.col("valid_until"))
-    met = candles.join(facts.hint("merge"), (F.col("symbol") == F.col("__cik")) & (month("timeframe") == F.col("__month")) & inside, "left")
+    met = candles.join(facts.hint("merge"), (F.col("symbol") == F.col("__cik")) & ((month("timeframe") if dealt is None else dealt) == F.col("__month")) & inside, "left")
     return valued(met.drop("__cik", "__month", "valid_from", "valid_until"))
 
 

@@ -18,11 +18,16 @@ def supplier_candles(spark: SparkSession, sf_dir: str, dealt_by: Sequence[str] =
     """Daily candles of each supplier's unit prices: symbol, timeframe, open, close, high, low, volume.
 
     A candle has hardly more than one row, so rows are dealt before they are sorted and added up, once. A query that brings a
-    symbol's candles into one task in any case deals by ``symbol`` and saves its own shuffle and sort.
+    symbol's candles into one task in any case deals by ``symbol`` and saves its own shuffle and sort; one that joins by symbol and
+    ``month`` deals by both, and its candles have a column more, the first day of their month.
     """
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", F.col("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("timeframe"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"))
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
-    return rows.repartition(*dealt_by).groupBy("symbol", "timeframe").agg(F.min_by("px", order).alias("open"), F.max_by("px", order).alias("close"), F.max("px").alias("high"), F.min("px").alias("low"), F.sum("l_quantity").alias("volume"))
+    rows = rows.withColumn("month", F.trunc("timeframe", "month"))
+    keys = list(dict.fromkeys([*dealt_by, "symbol", "timeframe"]))
+    found = rows.repartition(*dealt_by).groupBy(*keys).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.max("px").alias("high"), F.min("px").alias("low"), F.sum("l_quantity").alias("volume"))
+    price = lambda at: (F.col(f"{at}.l_extendedprice") / F.col(f"{at}.l_quantity"))
+    return found.select(*keys, price("first").alias("open"), price("last").alias("close"), "high", "low", "volume")
 
 
 def event_candles(spark: SparkSession, sf_dir: str, unit: str = "day") -> DataFrame:
@@ -32,16 +37,19 @@ def event_candles(spark: SparkSession, sf_dir: str, unit: str = "day") -> DataFr
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse company filings: cik, metric, period_end, filed, value. Shares per quarter, float per half-year, earnings per year."""
+    """Sparse company filings: cik, metric, period_end, filed, value. Shares per quarter, float per half-year, earnings per year.
+
+    Rows are read once and added up by quarter; half-years and years are added up from their quarters, in whole numbers.
+    """
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cik"), F.col("l_shipdate").cast("date").alias("day"), "l_quantity", "l_extendedprice", "l_discount")
     quarter_end = F.date_sub(F.add_months(F.trunc("day", "quarter"), 3).cast("date"), 1)
-    half = F.make_date(F.year("day"), F.when(F.month("day") <= HALF_YEAR, 6).otherwise(12), F.lit(1))
-    half_end, year_end = F.last_day(half), F.make_date(F.year("day"), F.lit(12), F.lit(31))
-    shape = lambda metric, end, value: rows.groupBy("cik", end.alias("period_end")).agg(value.cast("long").alias("value")).withColumn("metric", F.lit(metric))
-    shares = shape("shares", quarter_end, F.sum("l_quantity"))
-    floats = shape("float", half_end, F.floor(F.sum(F.floor("l_extendedprice"))))
-    earnings = shape("earnings", year_end, F.sum(F.floor("l_extendedprice")) - F.lit(30) * F.sum(F.floor(F.col("l_quantity") * 50)))
-    every = shares.unionByName(floats).unionByName(earnings)
+    whole = [F.sum("l_quantity").cast("long").alias("shares"), F.sum(F.floor("l_extendedprice")).alias("price"), F.sum(F.floor(F.col("l_quantity") * 50)).alias("cost")]
+    quarters = rows.groupBy("cik", quarter_end.alias("end")).agg(*whole)
+    half = F.make_date(F.year("end"), F.when(F.month("end") <= HALF_YEAR, 6).otherwise(12), F.lit(1))
+    ends = {"shares": (F.col("end"), "shares"), "float": (F.last_day(half), "price"), "earnings": (F.make_date(F.year("end"), F.lit(12), F.lit(31)), "price")}
+    entries = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), end.alias("period_end"), F.col(x).alias("value"), F.col("cost").alias("cost")) for m, (end, x) in ends.items()]))
+    total = F.sum("value") - F.when(F.col("metric") == "earnings", F.lit(30) * F.sum("cost")).otherwise(0)
+    every = quarters.select("cik", entries.alias("e")).select("cik", "e.*").groupBy("cik", "metric", "period_end").agg(total.alias("value"))
     lag = (F.lit(20) + F.col("cik") % 60).cast("int")
     return every.select("cik", "metric", "period_end", F.date_add("period_end", lag).alias("filed"), "value")
 

@@ -92,10 +92,16 @@ def parse_facts(documents: DataFrame) -> DataFrame:
 
 def fact_rows(companies: DataFrame, namespace: str, indicator: str, unit: str) -> DataFrame:
     """(cik, start, end, filed, val, pos) of one indicator; ``pos`` is the entry's place in its document."""
-    entries = F.try_element_at(F.try_element_at(F.try_element_at("facts", F.lit(namespace)), F.lit(indicator))["units"], F.lit(unit))
-    rows = companies.select("cik", F.posexplode(entries).alias("pos", "e"))
+    return named_fact_rows(companies, [("", namespace, indicator, unit)]).drop("metric")
+
+
+def named_fact_rows(companies: DataFrame, wanted: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """(cik, metric, start, end, filed, val, pos) of all the indicators (metric, namespace, indicator, unit), with documents parsed once."""
+    entries = lambda space, name, unit: F.try_element_at(F.try_element_at(F.try_element_at("facts", F.lit(space)), F.lit(name))["units"], F.lit(unit))
+    lists = F.array(*[F.struct(F.lit(metric).alias("metric"), entries(*place).alias("entries")) for metric, *place in wanted])
+    rows = companies.select("cik", F.explode(lists).alias("m")).select("cik", "m.metric", F.posexplode("m.entries").alias("pos", "e"))
     day = lambda c: F.try_to_timestamp(F.col(f"e.{c}"), F.lit("yyyy-MM-dd")).cast("date").alias(c)
-    return rows.select("cik", day("start"), day("end"), day("filed"), F.col("e.val").alias("val"), "pos")
+    return rows.select("cik", "metric", day("start"), day("end"), day("filed"), F.col("e.val").alias("val"), "pos")
 
 
 def indicator_catalogue(companies: DataFrame) -> DataFrame:

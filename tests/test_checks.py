@@ -70,3 +70,20 @@ def test_every_table_has_its_list():
     assert set(table_checks.LISTS) == set(table_checks.TABLES) and len(table_checks.LISTS) == 15
     for t, checks in table_checks.LISTS.items():
         assert f"Q15_checks_{t}" in registry.QUERIES and ("not_empty",) in checks and len({table_checks.name_of(x) for x in checks}) == len(checks)
+
+
+@pytest.mark.parametrize("weekdays", [False, True])
+def test_days_are_counted_by_the_ranges_that_made_them(spark, weekdays):
+    d = lambda i: date(2024, 1, i)
+    spans = [("a", d(1), d(9)), ("a", d(5), d(6)), ("a", d(6), d(12)), ("a", d(20), d(20)), ("b", d(3), d(3)), ("b", d(3), d(3)), ("c", d(9), d(2)), ("c", None, d(2)), ("d", d(9), None), (None, d(1), d(4)), (None, d(4), d(7)), ("e", d(6), d(7))]
+    ranges = spark.createDataFrame([(*x, float(i) if i % 3 else None) for i, x in enumerate(spans)], "g string, a1 date, z1 date, v double")
+    days = ranges.withColumn("day", F.explode(Q.days_between(F.col("a1"), F.col("z1"))))
+    checks = {"not_empty": Q.not_empty(), "null": Q.not_null("v"), "since": Q.comparison("day", "<=", F.lit(d(6))), "unique": Q.unique("day", "g"), "gaps": Q.no_gaps("day", ["g"], weekdays), "fresh": Q.freshness("day", 3, F.lit(d(21)).cast("date")), "again": Q.unique("g")}
+    for rows in (ranges, ranges.limit(0)):
+        made = days.where("true") if rows is ranges else days.limit(0)
+        found = Q.report(made, checks, Q.Ranges(rows, "a1", "z1", "day"))
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, Q.report(made, checks).collect()))
+    got = {r.check: r.violations for r in Q.report(days, checks, Q.Ranges(ranges, "a1", "z1", "day")).collect()}
+    assert got["unique"] == 15 and got["gaps"] == (10 if weekdays else 14) and got["null"] == days.where("v is null").count() > 0
+    alone = {r.check: r.violations for r in Q.report(days, {"u": Q.unique("g", "day")}, Q.Ranges(ranges, "a1", "z1", "day")).collect()}
+    assert alone == {"u": 15}

@@ -168,3 +168,31 @@ def test_implied_floats_make_candles_of_half_years_only(spark):
     assert text.count("last_day(cast(l_shipdate") >= 1 and scans
     every = T.implied_float_shares(P.filings(spark, DATA), core_queries.candles(spark, DATA))
     assert listed(core_queries.priced_filings(spark, DATA)) == listed(every)
+
+
+def test_rolled_tables_follow_from_what_was_written_once(spark):
+    assert "lineitem" not in plan(registry.QUERIES["Q15_roll_up"](spark, DATA))  # lineitems were read by each report on its own
+
+
+def test_checks_of_padded_facts_move_no_day(spark):
+    lines = plan(registry.QUERIES["Q15_checks_padded_facts"](spark, DATA)).split("\n")
+    made = [i for i, x in enumerate(lines) if "Generate explode(" in x and "sequence(valid_from" in x]
+    assert made and not any("HashAggregate(keys=[cik" in x and "reference_date" in x for x in lines)  # days were grouped by company and day
+
+
+def test_filings_read_lineitems_once(spark):
+    text = plan(P.filings(spark, DATA))
+    assert text.split("== Initial Plan ==")[0].count("FileScan parquet") == 1
+
+
+def test_documents_are_parsed_once(spark):
+    text = registry.QUERIES["S5_M4_company_facts"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1
+
+
+def test_caps_by_months_are_those_of_stocks(spark):
+    caps = core_queries.capped(spark, DATA)
+    assert listed(T.stocks_rankings(caps)) == listed(T.stocks_rankings(core_queries.stocks(spark, DATA)))
+    assert listed(caps.select("symbol", "timeframe", "close")) == listed(core_queries.candles(spark, DATA).select("symbol", "timeframe", "close"))
+    whole = plan(caps).split("== Initial Plan ==")[0]
+    assert whole.count("hashpartitioning(symbol") == 1  # candles meet facts where lineitems were dealt
