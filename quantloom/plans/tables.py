@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,10 @@ from pyspark.sql import types as T
 
 from ..functions import expr as E
 from ..operators.asof import asof_backward, pad_daily
+from ..operators.blocks import BLOCKS, numbers, pack, record, unpack
 from ..operators.ordered import HOT_ROWS, trailing_windows
+from ..operators.portfolio import _symbols
+from ..sources.writers import brief_shuffles, written
 
 # fixed values: rows that each named lookback goes back, and the largest ranks of the two universes
 LOOKBACKS = (1, 5, 14, 20, 30, 62, 126, 252)
@@ -21,6 +24,9 @@ NAMED = {"1d": 1, "1w": 5, "1m": 20, "30_steps": 30, "1q": 62, "6m": 126, "1y":
 GOOD_RANK, APPROXIMATE_RANK = 2500, 600
 OVERBOUGHT, OVERSOLD = 70, 30
 ODD_NAMES = {"open_rolling_1d": "open_rolling_1_steps_1d", "volatility_1d": "volatility_1_steps_1d", "sharpe_1d": "sharpe_1_steps_1d"}
+KINDS = ("log_return", "return", "open_rolling", "volatility", "sharpe", "rsi")
+INDICATORS = {ODD_NAMES.get(f"{kind}_{name}", f"{kind}_{name}"): (kind, n) for name, n in NAMED.items() for kind in KINDS} | {"rsi": ("rsi", 14)}
+PRICES = ("open", "close", "high", "low", "volume")
 
 
 def candles_daily(candles: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -104,11 +110,14 @@ def _rolled(x: np.ndarray, there: np.ndarray, n: int, spread: bool = False) -> n
     return np.where(k > 1, np.sqrt(square / np.maximum(k - 1, 1)), np.nan).ravel()[:rows]
 
 
-def _measures(opens: np.ndarray, known: np.ndarray, close: np.ndarray, has_close: np.ndarray) -> dict[str, np.ndarray]:
-    """Lagged returns and rolling measures of one group in order; nulls are masked by ``no_`` entries of the same names."""
+def _measures(opens: np.ndarray, known: np.ndarray, close: np.ndarray, has_close: np.ndarray, wanted: Collection[str] | None = None) -> dict[str, np.ndarray]:
+    """Lagged returns and rolling measures of one group in order, all or the ``wanted`` ones; nulls are masked by ``no_`` entries of the same names."""
     out: dict[str, np.ndarray] = {}
     lagged = {}
+    asked = lambda kind, n: wanted is None or f"{kind}{n}" in wanted
     for n in LOOKBACKS:
+        if n > 1 and not asked("log", n) and not asked("ret", n):
+            continue
         base, both = np.full(len(close), np.nan), np.zeros(len(close), bool)
         base[n:], both[n:] = close[:-n], has_close[n:] & has_close[:-n]
         positive = both & ~(close <= 0) & ~(base <= 0)  # NaN stands above all numbers
@@ -119,9 +128,12 @@ def _measures(opens: np.ndarray, known: np.ndarray, close: np.ndarray, has_close
             move = np.where(both, close - base, 0.0)
     gain, loss, all_rows = np.where(move <= 0, 0.0, move), np.where(move < 0, -move, 0.0), np.ones(len(close), bool)
     for n in LOOKBACKS:
-        out[f"open{n}"], out[f"no_open{n}"] = _rolled_each(opens, known, n), _count(known, n) < 1
-        out[f"vol{n}"], out[f"no_vol{n}"] = _rolled(*lagged[1], n, True), _count(lagged[1][1], n) < 2
-        out[f"rsi{n}"] = 100 - 100 / (1 + _rolled(gain, all_rows, n) / _rolled(loss, all_rows, n))
+        if asked("open", n):
+            out[f"open{n}"], out[f"no_open{n}"] = _rolled_each(opens, known, n), _count(known, n) < 1
+        if asked("vol", n):
+            out[f"vol{n}"], out[f"no_vol{n}"] = _rolled(*lagged[1], n, True), _count(lagged[1][1], n) < 2
+        if asked("rsi", n):
+            out[f"rsi{n}"] = 100 - 100 / (1 + _rolled(gain, all_rows, n) / _rolled(loss, all_rows, n))
     return out
 
 
@@ -155,6 +167,100 @@ def _indicators(base: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.select(*out, rsi.alias("rsi"), (rsi > OVERBOUGHT).alias("overbought"), (rsi < OVERSOLD).alias("oversold"), *extra)
 
 
+def candle_blocks(candles: DataFrame, rows: int = 1 << 16) -> DataFrame:
+    """Candles in blocks of whole symbols, written once; ``candle_columns`` makes indicators of a block, so none is stored or moved.
+
+    ``candles`` must be dealt by symbol. A symbol has one candle a day at most, so a block grows with days only. ``data`` has where
+    symbols begin, which prices are there, days and prices; prices are told from opens, which most candles of one trade equal.
+    """
+    schema = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("data", pa.list_(pa.binary()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, (_, number, own) in zip(numbers(), _symbols(batches, rows, rows)):
+            prices = [own[c].cast(pa.float64()).combine_chunks() for c in PRICES]
+            there = sum(p.is_valid().to_numpy(zero_copy_only=False).astype(np.int64) << i for i, p in enumerate(prices))
+            bits = [p.fill_null(0.0).to_numpy(zero_copy_only=False).view(np.int64) for p in prices]
+            day = own["timeframe"].cast(pa.int32()).cast(pa.int64()).combine_chunks().fill_null(NO_DAY).to_numpy(zero_copy_only=False)
+            columns = [np.flatnonzero(np.diff(number, prepend=-1)), there, day, bits[0], *[b ^ bits[0] for b in bits[1:4]], bits[4]]
+            yield record([(block, own.num_rows, [len(columns[0]).to_bytes(8, "little"), *[pack(c) for c in columns]])], schema)
+
+    with brief_shuffles(candles.sparkSession):
+        return written(candles.select("symbol", "timeframe", *PRICES).sortWithinPartitions("symbol", "timeframe").mapInArrow(run, BLOCKS), "candles")
+
+
+NO_DAY = np.iinfo(np.int64).min
+
+
+def candle_columns(row: Mapping, names: Collection[str], steps: int = 5) -> tuple[np.ndarray, np.ndarray, dict[str, tuple[np.ndarray, np.ndarray]]]:
+    """Where the symbols of a block begin, its days, and (values, which are there) of prices, ``future_price`` (the open ``steps`` rows on) and INDICATORS."""
+    n, data = row["n"], row["data"]
+    starts = unpack(data[1], int.from_bytes(data[0], "little"), np.int64)
+    there, day, *bits = (unpack(x, n, np.int64) for x in data[2:])
+    bits = [bits[0], *[b ^ bits[0] for b in bits[1:4]], bits[4]]
+    out = {c: (b.view(np.float64), there >> i & 1 == 1) for i, (c, b) in enumerate(zip(PRICES, bits))}
+    ends = np.append(starts[1:], n)
+    if "future_price" in names:
+        later = np.arange(n) + steps
+        inside = later < np.repeat(ends, ends - starts)
+        later = np.where(inside, later, 0)
+        out["future_price"] = out["open"][0][later], out["open"][1][later] & inside
+    asked = {c: INDICATORS[c] for c in names if c in INDICATORS}
+    if asked:
+        short = {"log_return": ("log",), "return": ("ret",), "open_rolling": ("open",), "volatility": ("vol",), "sharpe": ("ret", "vol"), "rsi": ("rsi",)}
+        wanted = {f"{k}{m}" for kind, m in asked.values() for k in short[kind]}
+        found = {c: (np.empty(n), np.ones(n, bool)) for c in wanted}
+        with np.errstate(all="ignore"):
+            for a, b in zip(starts, ends):
+                own = _measures(*[x[a:b] for c in ("open", "close") for x in out[c]], wanted)
+                for c in wanted:
+                    found[c][0][a:b] = own[c]
+                    if f"no_{c}" in own:
+                        found[c][1][a:b] = ~own[f"no_{c}"]
+            for c, (kind, m) in asked.items():
+                values, known = found[f"{short[kind][0]}{m}"]
+                if kind == "sharpe":
+                    over, has = found[f"vol{m}"]
+                    values, known = values / over, known & has & (over != 0)
+                out[c] = values, known
+    return starts, day, {c: out[c] for c in names}
+
+
+def causal_scores(columns: Mapping[str, tuple[np.ndarray, np.ndarray]], starts: np.ndarray) -> dict[str, np.ndarray]:
+    """``labels.causal_zscore`` of a block's columns: each value against its symbol's mean and deviation up to that row, added up in the same order."""
+    if not columns:
+        return {}
+    n = len(next(iter(columns.values()))[0])
+    sizes = np.diff(starts, append=n)
+    symbol, place = np.repeat(np.arange(len(starts)), sizes), np.arange(n) - np.repeat(starts, sizes)
+    shape = (int(sizes.max(initial=0)), len(columns), len(starts))
+    x, there = np.zeros(shape), np.zeros(shape, bool)
+    for i, (values, known) in enumerate(columns.values()):
+        x[place, i, symbol], there[place, i, symbol] = np.where(known, values, 0.0), known
+    spread, count, mean, square = np.zeros(shape), np.zeros(shape[1:]), np.zeros(shape[1:]), np.zeros(shape[1:])
+    with np.errstate(all="ignore"):
+        for t in range(shape[0]):
+            count = count + there[t]
+            off = x[t] - mean
+            step = off / count
+            mean, square = np.where(there[t], mean + step, mean), np.where(there[t], square + off * (off - step), square)
+            spread[t] = np.sqrt(square / (count - 1))
+        counts = there.cumsum(axis=0)
+        scores = np.where(there & (counts > 1) & (spread != 0), (x - x.cumsum(axis=0) / counts) / spread, 0.0)
+    return {c: scores[place, i, symbol] for i, c in enumerate(columns)}
+
+
+def plain_values(row: Mapping, names: Collection[str]) -> dict[str, np.ndarray]:
+    """Columns of a block of candles, NaN for null."""
+    return {c: np.where(there, x, np.nan) for c, (x, there) in candle_columns(row, names)[2].items()}
+
+
+def scored_values(row: Mapping, names: Collection[str]) -> dict[str, np.ndarray]:
+    """The same with indicators as causal z-scores."""
+    starts, _, columns = candle_columns(row, names)
+    scores = causal_scores({c: columns[c] for c in names if c in INDICATORS}, starts)
+    return {c: scores[c] if c in scores else np.where(there, x, np.nan) for c, (x, there) in columns.items()}
+
+
 def implied_float_shares(filings: DataFrame, candles: DataFrame) -> DataFrame:
     """``filings`` whose float, in money, is divided by the open of the period's last day; null without that day."""
     prices = candles.select(F.col("symbol").alias("cik"), F.col("timeframe").alias("period_end"), "open")
