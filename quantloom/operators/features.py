@@ -266,7 +266,7 @@ def _scored(ranked: DataFrame, starts: Mapping[int, np.ndarray], read: Read, fam
 def block_scores(blocks: DataFrame, read: Read, families: Mapping[str, Sequence[str]], target: str, bins: int = 16, bands: int = BANDS, alpha: float | None = None, whole: str | None = None) -> tuple[list[tuple], list[tuple]]:
     """Rows of SCORES of the families and, with ``alpha``, of WEIGHTS, also of all columns together under the name ``whole``; see ``family_scores``.
 
-    Blocks are read once for sizes, moments and cuts, and once for the ranks of the target. Then features are taken in turn, so the disk
+    Blocks are read once for sizes, moments and cuts, and once for the ranks of the target; they are written with these and deleted. Then features are taken in turn, so the disk
     holds the values of a few at a time, however many there are. No more than a row a pair of feature and band comes to the driver.
     """
     every = dict(families)
@@ -281,6 +281,7 @@ def block_scores(blocks: DataFrame, read: Read, families: Mapping[str, Sequence[
     if any(sizes[i] for i, _ in pairs):
         partial = [i for i in range(len(families)) if 0 < sizes[i] < found[TARGET, 0][1]]  # the other families hold on all rows or on none
         ranked, starts = _blocks_with_ranks(blocks, read, target, [(), *[own[i] for i in partial]], found[TARGET, 0][0])
+        forget(blocks)
         group_of = {i: 1 + partial.index(i) if i in partial else 0 for i in range(len(families))}
         left = [k for k, (i, _) in enumerate(pairs) if sizes[i]]
         while left:
@@ -290,6 +291,8 @@ def block_scores(blocks: DataFrame, read: Read, families: Mapping[str, Sequence[
             for r in _scored(ranked, starts, read, own, target, group_of, partial, {k: pairs[k] for k in some}, sizes, {k: found[SKETCH, k][0] for k in some}, bins):
                 rows.setdefault(r.k, []).append(r)
         forget(ranked)
+    else:
+        forget(blocks)
     names = list(families)
     return [_score(names[i], c, sorted(rows.get(k, ()), key=lambda r: r.b), bins) for k, (i, c) in enumerate(pairs)], weights
 
@@ -333,7 +336,6 @@ def rank_scores(df: DataFrame, families: Mapping[str, Sequence[str]], target: st
     """
     blocks, read = _stored(df, families, target)
     scores, _ = block_scores(blocks, read, families, target, bins, bands)
-    forget(blocks)
     return df.sparkSession.createDataFrame(scores, SCORES)
 
 
@@ -371,13 +373,11 @@ def lasso_families(df: DataFrame, families: Mapping[str, Sequence[str]], target:
 def family_scores(df: DataFrame, families: Mapping[str, Sequence[str]], target: str, alpha: float = 1.0, whole: str | None = "all") -> DataFrame:
     """(family, feature, n, weight, rho, mi, mi_signed) for every family, and lasso weights of all features together under the name ``whole``."""
     blocks, read = _stored(df, families, target)
-    out = family_scores_of(blocks, read, families, target, alpha, whole)
-    forget(blocks)
-    return out
+    return family_scores_of(blocks, read, families, target, alpha, whole)
 
 
 def family_scores_of(blocks: DataFrame, read: Read, families: Mapping[str, Sequence[str]], target: str, alpha: float = 1.0, whole: str | None = "all") -> DataFrame:
-    """``family_scores`` of stored blocks."""
+    """``family_scores`` of stored blocks, which are deleted."""
     scores, weights = block_scores(blocks, read, families, target, alpha=alpha, whole=whole)
     spark = blocks.sparkSession
     return spark.createDataFrame(weights, WEIGHTS).join(spark.createDataFrame(scores, SCORES).drop("n"), ["family", "feature"], "left")

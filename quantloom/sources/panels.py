@@ -21,11 +21,12 @@ def supplier_candles(spark: SparkSession, sf_dir: str, dealt_by: Sequence[str] =
     symbol's candles into one task in any case deals by ``symbol`` and saves its own shuffle and sort; one that joins by symbol and
     ``month`` deals by both, and its candles have a column more, the first day of their month.
     """
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", F.col("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("timeframe"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", F.col("l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("timeframe"))
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
     rows = rows.withColumn("month", F.trunc("timeframe", "month"))
     keys = list(dict.fromkeys([*dealt_by, "symbol", "timeframe"]))
-    found = rows.repartition(*dealt_by).groupBy(*keys).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.max("px").alias("high"), F.min("px").alias("low"), F.sum("l_quantity").alias("volume"))
+    dealt = rows.repartition(*dealt_by).withColumn("px", F.col("l_extendedprice") / F.col("l_quantity"))  # follows from what is moved
+    found = dealt.groupBy(*keys).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.max("px").alias("high"), F.min("px").alias("low"), F.sum("l_quantity").alias("volume"))
     price = lambda at: (F.col(f"{at}.l_extendedprice") / F.col(f"{at}.l_quantity"))
     return found.select(*keys, price("first").alias("open"), price("last").alias("close"), "high", "low", "volume")
 
