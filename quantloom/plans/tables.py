@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import expr as E
 from ..operators.asof import asof_backward, pad_daily
-from ..operators.blocks import BLOCKS, numbers, pack, record, unpack
+from ..operators.blocks import BLOCKS, numbers, pack, record, rows_of, unpack
 from ..operators.ordered import HOT_ROWS, trailing_windows
 from ..operators.portfolio import _symbols
 from ..sources.writers import brief_shuffles, written
@@ -261,6 +261,36 @@ def scored_values(row: Mapping, names: Collection[str]) -> dict[str, np.ndarray]
     return {c: scores[c] if c in scores else np.where(there, x, np.nan) for c, (x, there) in columns.items()}
 
 
+def labelled_rows(blocks: DataFrame, features: Sequence[str], steps: int, threshold: float, labels: Sequence[str], days: int) -> DataFrame:
+    """Rows of blocks of candles whose ``features`` are all finite, with ``future_class``, the class of the return to the open ``steps`` rows on,
+    and ``is_test``: the last ``days`` days of those with a class. They are made when they are read."""
+
+    def classes(row: Mapping, names: Collection[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
+        _, day, columns = candle_columns(row, dict.fromkeys(["open", "future_price", *names]), steps)
+        (price, has), (later, known) = columns["open"], columns["future_price"]
+        with np.errstate(all="ignore"):
+            rise = later / price - 1
+        return has & known & (price != 0) & (day != NO_DAY), np.where(rise <= -threshold, 0, np.where(rise <= threshold, 1, 2)), day, columns  # NaN is above all
+
+    def latest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            held, _, day, _ = classes(row, ())
+            if held.any():
+                yield pa.RecordBatch.from_arrays([pa.array([int(day[held].max())])], ["day"])
+
+    last = blocks.mapInArrow(latest, "day long").agg(F.max("day")).first()[0] or 0
+    schema = pa.schema([*[(c, pa.float64()) for c in features], ("future_class", pa.string()), ("is_test", pa.bool_())])
+    names = pa.array(labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            held, label, day, columns = classes(row, features)
+            held = np.logical_and.reduce([held, *[columns[c][1] & np.isfinite(columns[c][0]) for c in features]])
+            yield pa.RecordBatch.from_arrays([*[pa.array(columns[c][0][held]) for c in features], names.take(pa.array(label[held])), pa.array(day[held] >= last - days)], schema=schema)
+
+    return blocks.mapInArrow(run, ", ".join([*[f"`{c}` double" for c in features], "future_class string", "is_test boolean"]))
+
+
 def implied_float_shares(filings: DataFrame, candles: DataFrame) -> DataFrame:
     """``filings`` whose float, in money, is divided by the open of the period's last day; null without that day."""
     prices = candles.select(F.col("symbol").alias("cik"), F.col("timeframe").alias("period_end"), "open")

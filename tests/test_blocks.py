@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from quantloom.operators import blocks as K
 from quantloom.operators import features as X
 from quantloom.operators import labels as L
+from quantloom.operators import trees
 from quantloom.plans import more_queries, registry  # noqa: F401
 from quantloom.plans import tables as T
+from quantloom.sources import panels as P
 from quantloom.sources import writers as W
 
 DATA = "/root/testdata/sf0.001"
@@ -104,3 +106,31 @@ def test_shuffle_files_go_when_a_query_ends(spark):
         time.sleep(0.2)
     assert not files() - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") != "true"
+
+
+def test_unit_prices_are_not_moved(spark):
+    text = P.supplier_candles(spark, DATA, ["symbol"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in text and " / " not in text.split("RepartitionByExpression")[1]  # a quotient of two columns that are moved anyway
+
+
+def test_labelled_rows_are_those_of_tables(spark):
+    candles = odd_candles(spark).where("open is null or open <> 0")  # SQL may not divide by 0
+    features = [c for c in (*T.PRICES, *T.INDICATORS) if c not in ("volatility_1_steps_1d", "sharpe_1_steps_1d", "rsi_1d") and not c.endswith(("_1y", "_6m"))]  # rows of both kinds have the others
+    table = T.append_future_returns(T.candles_daily(candles, None), 5, [0.05], ["down", "flat", "up"]).where("future_class is not null")
+    table = L.finite_rows(L.time_split(table).select(*features, "future_class", "is_test"))
+    rows = T.labelled_rows(T.candle_blocks(candles.repartition(3, "symbol")), features, 5, 0.05, ["down", "flat", "up"], 365)
+    listed = lambda df: sorted(tuple(repr(round(v, 9) + 0.0) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert listed(rows) == listed(table) and {r.is_test for r in table.collect()} == {True, False}
+
+
+def test_a_grid_stores_bins_only(spark, monkeypatch):
+    names = []
+    for module in (W, trees, T):
+        monkeypatch.setattr(module, "written", lambda df, name, *more, own=W.written: names.append(name) or own(df, name, *more))
+    registry.QUERIES["L6_tree_grid"](spark, DATA)
+    assert sorted(set(names)) == ["binned", "candles"]  # rows of doubles were written first, keyed candles too
+
+
+def test_a_grid_of_nothing(spark):
+    rows = spark.createDataFrame([(1.0, "x", True)], "a double, y string, held boolean")
+    assert trees.split_grid(rows.limit(0), "held", ["a"], "y", {}).count() == 0 and trees.split_grid(rows, "held", ["a"], "y", {}).count() == 0
